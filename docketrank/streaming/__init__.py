@@ -1,0 +1 @@
+"""Kept empty on purpose: every layer is a full-refresh batch, nothing here keeps stream state."""
