@@ -20,6 +20,7 @@ from docketrank.operators.regions import (
     region_label,
     region_parent_label,
     region_rollup,
+    rollup_by_label,
     suboffice_rollup,
 )
 from docketrank.operators.reports import in_rank_order, priority_bar_order, priority_display
@@ -55,6 +56,7 @@ __all__ = [
     "region_rollup",
     "registry_representative",
     "representative",
+    "rollup_by_label",
     "schema_snapshot",
     "stage",
     "stage_actions",

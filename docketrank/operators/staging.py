@@ -13,15 +13,14 @@ from docketrank.functions.money import clean_money_text, finite, plain_number
 from docketrank.sources.schemas import ACTION_STAGING, REGISTRY_STAGING, Staged
 
 
+ByKind = dict[str, Callable[[Column], Column]]
+
+
 def raw_column(name: str) -> Column:
     """A raw column by its exact name, whatever signs the name holds."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _unchanged(column: Column) -> Column:
-    return column
-
-
 def stage(
     raw: DataFrame, columns: Iterable[Staged], date_floor: date | None = None, two_digit_year: str = "literal"
 ) -> DataFrame:
@@ -32,26 +31,21 @@ def stage(
     staged columns still makes the scan read three raw ones.
     """
     columns = tuple(columns)
-    clean: dict[str, Callable[[Column], Column]] = {
-        "key": normalize_key,
-        "text": trim_text,
-        "number": _unchanged,
-        "money": clean_money_text,
-        "date": _unchanged,
-    }
-    read: dict[str, Callable[[Column], Column]] = {
+    clean: ByKind = {"key": normalize_key, "text": trim_text, "money": clean_money_text}
+    read: ByKind = {
         "number": parse_double,
         "money": plain_number,
         "date": lambda text: parse_date(text, two_digit_year=two_digit_year),
     }
-    guard: dict[str, Callable[[Column], Column]] = {"money": finite}
+    guard: ByKind = {"money": finite}
     if date_floor is not None:
         guard["date"] = lambda day: floor_date(day, date_floor)
 
-    def step(rows: DataFrame, change: dict[str, Callable[[Column], Column]]) -> DataFrame:
-        return rows.select(*(change.get(c.kind, _unchanged)(F.col(c.name)).alias(c.name) for c in columns))
+    def step(rows: DataFrame, change: ByKind) -> DataFrame:
+        changed = {c.name: change[c.kind](F.col(c.name)) for c in columns if c.kind in change}
+        return rows.withColumns(changed) if changed else rows
 
-    rows = raw.select(*(clean[c.kind](raw_column(c.raw)).alias(c.name) for c in columns))
+    rows = step(raw.select(*(raw_column(c.raw).alias(c.name) for c in columns)), clean)
     for column in columns:
         if column.kind == "key":
             rows = rows.where(F.col(column.name) != "")

@@ -7,55 +7,105 @@ chooses how a value is written: which date format, padded or blank, readable or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketrank.functions import exact_sum
 from docketrank.sources.schemas import ACTION_COLUMNS, REGISTRY_COLUMNS
 
-NO_BREAK_SPACE = "\u00a0"
-
 # The region codes dealt out over facilities.
-REGION_CODES = ("1", "2", "3", "4", "5S", "5F", "5R", "6A", "6B", "7", "8", "9", "NA")
-
-# Order priority -> action type, the last three informal.
-ACTION_TYPE_OF_PRIORITY = {
-    "1-URGENT": "Admin Civil Liability",
-    "2-HIGH": "Cease and Desist Order",
-    "3-MEDIUM": "13267 Letter",
-    "4-NOT SPECIFIED": "Notice of Violation",
-    "5-LOW": "Oral Communication",
+REGION_CODES = "array('1', '2', '3', '4', '5S', '5F', '5R', '6A', '6B', '7', '8', '9', 'NA')"
+
+# Order priority -> action type (the last three informal), order status -> status.
+ACTION_TYPES = """map(
+    '1-URGENT', 'Admin Civil Liability',
+    '2-HIGH', 'Cease and Desist Order',
+    '3-MEDIUM', '13267 Letter',
+    '4-NOT SPECIFIED', 'Notice of Violation',
+    '5-LOW', 'Oral Communication')"""
+STATUSES = "map('O', 'Active', 'F', 'Historical', 'P', 'Withdrawn')"
+
+# How an action column is written, in terms of an order: k and c are order and customer number,
+# day the order date, pad a blank or a no-break space. Columns not listed are NULL.
+ACTION_TEXT = {
+    "REGION": f"' ' || {REGION_CODES}[c % 13]",
+    "FACILITY ID": "c",
+    "FACILITY NAME": "CASE WHEN k % 3 = 0 THEN NULL WHEN c % 19 = 0 THEN '' ELSE 'Facility ' || c || ' ' END",
+    "AGENCY NAME": "CASE WHEN k % 4 <> 0 THEN 'Agency ' || o_orderstatus END",
+    "PLACE TYPE": "'Type ' || (c % 5)",
+    "PLACE SUBTYPE": "pad || 'Sub ' || (c % 2)",
+    "PLACE LATITUDE": "CASE WHEN c % 31 = 0 THEN 'bad' ELSE ' ' || (c % 90) || '.25' END",
+    "PLACE LONGITUDE": "'-' || (c % 180) || '.5 '",
+    "WDID": """CASE WHEN k % 89 = 0 THEN NULL WHEN k % 97 = 0 THEN '   '
+                    ELSE pad || 'wd' || lpad(c, 8, '0') || pad END""",
+    "REG MEASURE ID": "'R' || c || '-1'",
+    "REG MEASURE TYPE": "' Permit'",
+    "ENFORCEMENT ID (EID)": "'  E' || CASE WHEN k % 211 = 0 THEN k + 1 ELSE k END || ' '",
+    "ORDER / RESOLUTION NUMBER": "'ORD-' || k",
+    "ENFORCEMENT ACTION TYPE": f"""CASE WHEN k % 53 = 0 THEN '' WHEN k % 59 = 0 THEN NULL
+                    WHEN k % 61 = 0 THEN lower({ACTION_TYPES}[o_orderpriority])
+                    ELSE {ACTION_TYPES}[o_orderpriority] || pad END""",
+    "EFFECTIVE DATE": """CASE WHEN k % 20 = 4 THEN 'N/A' WHEN k % 20 = 9 THEN NULL
+                    WHEN k % 5 = 1 THEN date_format(day, 'MM/dd/yyyy')
+                    WHEN k % 5 = 2 THEN date_format(day, 'yyyy-MM-dd')
+                    WHEN k % 5 = 3 THEN date_format(day, 'MM/dd/yy')
+                    ELSE pad || date_format(day, 'M/d/yyyy') END""",
+    "ADOPTION / ISSUANCE DATE": """CASE WHEN k % 6 = 0 THEN ''
+                    ELSE '  ' || date_format(date_add(day, 30), 'MM/dd/yyyy') || ' ' END""",
+    "TERMINATION DATE": """CASE WHEN o_orderstatus = 'F'
+                    THEN date_format(date_add(day, CAST(k % 400 AS INT)), 'yyyy-M-d') END""",
+    "STATUS": f"{STATUSES}[o_orderstatus] || pad",
+    "TITLE": "' Action ' || k || ' '",
+    "DESCRIPTION": "'\u00a0 Follow-up  for facility ' || c || pad",
+    "PROGRAM": "'P' || (k % 4)",
+    "PROGRAM CATEGORY": "'Category ' || (c % 3)",
+    "TOTAL ASSESSMENT AMOUNT": """CASE WHEN k % 41 = 0 THEN '' WHEN k % 43 = 0 THEN 'pending'
+                    WHEN k % 47 = 0 THEN '(' || format_number(o_totalprice, 2) || ')'
+                    ELSE '$' || format_number(o_totalprice, 2) END""",
+    "INITIAL ASSESSED AMOUNT": "' ' || CAST(o_totalprice AS DECIMAL(18,2)) || ' '",
+    "LIABILITY $ AMOUNT": "coalesce('$' || format_number(liability, 2), '')",
+    "PROJECT $ AMOUNT": "coalesce('$' || format_number(project, 2), '')",
+    "LIABILITY $ PAID": "coalesce('$' || format_number(liability_paid, 2), '')",
+    "PROJECT $ COMPLETED": "coalesce('$' || format_number(project_done, 2), '')",
+    "TOTAL $ PAID/COMPLETED AMOUNT": "coalesce('$' || format_number(total_paid, 2), '')",
+    "Location 1": "'(' || (c % 90) || '.25, -' || (c % 180) || '.5)'",
 }
 
-# Order status -> action status.
-STATUS_OF_ORDER = {"O": "Active", "F": "Historical", "P": "Withdrawn"}
+# How a registry column is written, in terms of a party: n its number, copy the permit, granted
+# a day that follows from both. Columns not listed are NULL.
+REGISTRY_TEXT = {
+    "reg_measure_id": "'R' || n || '-' || copy",
+    "reg_measure_type": "' Order ' || copy",
+    "order_number": "'N-' || n",
+    "program_category": "segment",
+    "wdid": "' ' || prefix || lpad(n, 8, '0')",
+    "status": "CASE WHEN closed THEN 'Historical ' ELSE 'Active ' END",
+    "effective_date": """CASE n % 4 WHEN 0 THEN date_format(granted, 'M/d/yyyy')
+                    WHEN 1 THEN date_format(granted, 'yyyy-MM-dd') WHEN 2 THEN 'N/A'
+                    ELSE ' ' || date_format(granted, 'MM/dd/yyyy') || ' ' END""",
+    "expiration_review_date": "date_format(granted, 'MM/dd/yy')",
+    "termination_date": """CASE WHEN closed
+                    THEN date_format(date_add(granted, CAST(n % 700 AS INT)), 'yyyy-M-d') END""",
+    "adoption_date": "date_format(date_sub(granted, 30), 'M/d/yyyy')",
+    "number_of_amendments": "copy",
+    "facility_id": "n || ' '",
+    "facility_region": f"CASE WHEN n % 17 <> 0 THEN {REGION_CODES}[(n + 1) % 13] || ' ' END",
+    "facility_name": "CASE WHEN n % 7 <> 0 OR copy > 1 THEN 'Site ' || n || ' #' || copy END",
+    "place_type": "CASE WHEN n % 13 = 5 THEN NULL WHEN n % 11 = 0 THEN '' ELSE 'Place ' || (n % 7) END",
+    "place_address": "n || ' Main St'",
+    "place_city": "'City ' || nation",
+    "place_zip": "lpad(n % 100000, 5, '0')",
+    "place_county": "'County ' || (nation % 7)",
+    "latitude_decimal_degrees": "CASE WHEN n % 31 = 0 THEN 'bad' ELSE (n % 90) || '.75' END",
+    "longitude_decimal_degrees": "'-' || (n % 180) || '.125'",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-
-
-def _lookup(pairs: dict[str, str], key: Column) -> Column:
-    return F.create_map(*(F.lit(part) for pair in pairs.items() for part in pair))[key]
-
-
-def _region_code(number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, REGION_CODES)), (number % len(REGION_CODES) + 1).cast("int"))
-
-
-def _currency(amount: Column) -> Column:
-    return F.coalesce(_text("$", F.format_number(amount, 2)), F.lit(""))
-
-
-def _facility_code(prefix: Column | str, number: Column) -> Column:
-    return _text(prefix, F.lpad(number.cast("string"), 8, "0"))
-
-
-def _days_after(day: Column, days: Column) -> Column:
-    return F.date_add(day, days.cast("int"))
+def _written(rows: DataFrame, columns: tuple[str, ...], how: dict[str, str]) -> DataFrame:
+    return rows.selectExpr(*(f"CAST({how.get(name, 'NULL')} AS STRING) AS `{name}`" for name in columns))
 
 
 def order_payments(lineitem: DataFrame) -> DataFrame:
@@ -72,117 +122,32 @@ def order_payments(lineitem: DataFrame) -> DataFrame:
 
 def raw_actions(spark: SparkSession, folder: str) -> DataFrame:
     """The action log: 32 text columns, one row per order."""
-    orders = table(spark, folder, "orders").join(
-        order_payments(table(spark, folder, "lineitem")), "o_orderkey", "left"
+    payments = order_payments(table(spark, folder, "lineitem"))
+    orders = table(spark, folder, "orders").join(payments, "o_orderkey", "left")
+    rows = orders.selectExpr(
+        "*",
+        "o_orderkey AS k",
+        "o_custkey AS c",
+        "CAST(o_orderdate AS DATE) AS day",
+        "CASE WHEN o_orderkey % 5 = 0 THEN '\u00a0' ELSE ' ' END AS pad",
     )
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.col("o_orderdate").cast("date")
-    padding = F.when(k % 5 == 0, F.lit(NO_BREAK_SPACE)).otherwise(F.lit(" "))
-    action_type = _lookup(ACTION_TYPE_OF_PRIORITY, F.col("o_orderpriority"))
-    assessed = F.col("o_totalprice")
-    values = {
-        "REGION": _text(" ", _region_code(c)),
-        "FACILITY ID": _text(c),
-        "FACILITY NAME": F.when(k % 3 != 0, F.when(c % 19 == 0, F.lit("")).otherwise(_text("Facility ", c, " "))),
-        "AGENCY NAME": F.when(k % 4 != 0, _text("Agency ", F.col("o_orderstatus"))),
-        "PLACE TYPE": _text("Type ", c % 5),
-        "PLACE SUBTYPE": _text(padding, "Sub ", c % 2),
-        "PLACE LATITUDE": F.when(c % 31 == 0, F.lit("bad")).otherwise(_text(" ", c % 90, ".25")),
-        "PLACE LONGITUDE": _text("-", c % 180, ".5 "),
-        "WDID": F.when(k % 89 == 0, F.lit(None))
-        .when(k % 97 == 0, F.lit("   "))
-        .otherwise(_text(padding, F.lower(_facility_code("WD", c)), padding)),
-        "REG MEASURE ID": _text("R", c, "-1"),
-        "REG MEASURE TYPE": F.lit(" Permit"),
-        "ENFORCEMENT ID (EID)": _text("  E", F.when(k % 211 == 0, k + 1).otherwise(k), " "),
-        "ORDER / RESOLUTION NUMBER": _text("ORD-", k),
-        "ENFORCEMENT ACTION TYPE": F.when(k % 53 == 0, F.lit(""))
-        .when(k % 59 == 0, F.lit(None))
-        .when(k % 61 == 0, F.lower(action_type))
-        .otherwise(_text(action_type, padding)),
-        "EFFECTIVE DATE": F.when(k % 20 == 4, F.lit("N/A"))
-        .when(k % 20 == 9, F.lit(None))
-        .when(k % 5 == 1, F.date_format(day, "MM/dd/yyyy"))
-        .when(k % 5 == 2, F.date_format(day, "yyyy-MM-dd"))
-        .when(k % 5 == 3, F.date_format(day, "MM/dd/yy"))
-        .otherwise(_text(padding, F.date_format(day, "M/d/yyyy"))),
-        "ADOPTION / ISSUANCE DATE": F.when(k % 6 == 0, F.lit("")).otherwise(
-            _text("  ", F.date_format(_days_after(day, F.lit(30)), "MM/dd/yyyy"), " ")
-        ),
-        "TERMINATION DATE": F.when(
-            F.col("o_orderstatus") == "F", F.date_format(_days_after(day, k % 400), "yyyy-M-d")
-        ),
-        "STATUS": _text(_lookup(STATUS_OF_ORDER, F.col("o_orderstatus")), padding),
-        "TITLE": _text(" Action ", k, " "),
-        "DESCRIPTION": _text(NO_BREAK_SPACE, " Follow-up  for facility ", c, padding),
-        "PROGRAM": _text("P", k % 4),
-        "PROGRAM CATEGORY": _text("Category ", c % 3),
-        "TOTAL ASSESSMENT AMOUNT": F.when(k % 41 == 0, F.lit(""))
-        .when(k % 43 == 0, F.lit("pending"))
-        .when(k % 47 == 0, _text("(", F.format_number(assessed, 2), ")"))
-        .otherwise(_currency(assessed)),
-        "INITIAL ASSESSED AMOUNT": _text(" ", assessed.cast("decimal(18,2)"), " "),
-        "LIABILITY $ AMOUNT": _currency(F.col("liability")),
-        "PROJECT $ AMOUNT": _currency(F.col("project")),
-        "LIABILITY $ PAID": _currency(F.col("liability_paid")),
-        "PROJECT $ COMPLETED": _currency(F.col("project_done")),
-        "TOTAL $ PAID/COMPLETED AMOUNT": _currency(F.col("total_paid")),
-        "Location 1": _text("(", c % 90, ".25, -", c % 180, ".5)"),
-    }
-    return orders.select(*(values.get(n, F.lit(None)).cast("string").alias(n) for n in ACTION_COLUMNS))
-
-
-def _registry_rows(parties: DataFrame) -> DataFrame:
-    """Registry rows of parties given as (prefix, number, nation, segment, closed, copies)."""
-    n = F.col("number")
-    copy = F.col("copy")
-    granted = _days_after(F.lit("1990-01-01").cast("date"), (n * 7 + copy) % 9000)
-    values = {
-        "reg_measure_id": _text("R", n, "-", copy),
-        "reg_measure_type": _text(" Order ", copy),
-        "order_number": _text("N-", n),
-        "program_category": F.col("segment"),
-        "wdid": _text(" ", _facility_code(F.col("prefix"), n)),
-        "status": F.when(F.col("closed"), F.lit("Historical ")).otherwise(F.lit("Active ")),
-        "effective_date": F.when(n % 4 == 0, F.date_format(granted, "M/d/yyyy"))
-        .when(n % 4 == 1, F.date_format(granted, "yyyy-MM-dd"))
-        .when(n % 4 == 2, F.lit("N/A"))
-        .otherwise(_text(" ", F.date_format(granted, "MM/dd/yyyy"), " ")),
-        "expiration_review_date": F.date_format(granted, "MM/dd/yy"),
-        "termination_date": F.when(F.col("closed"), F.date_format(_days_after(granted, n % 700), "yyyy-M-d")),
-        "adoption_date": F.date_format(F.date_sub(granted, 30), "M/d/yyyy"),
-        "number_of_amendments": _text(copy),
-        "facility_id": _text(n, " "),
-        "facility_region": F.when(n % 17 != 0, _text(_region_code(n + 1), " ")),
-        "facility_name": F.when((n % 7 != 0) | (copy > 1), _text("Site ", n, " #", copy)),
-        "place_type": F.when(n % 13 != 5, F.when(n % 11 == 0, F.lit("")).otherwise(_text("Place ", n % 7))),
-        "place_address": _text(n, " Main St"),
-        "place_city": _text("City ", F.col("nation")),
-        "place_zip": F.lpad((n % 100000).cast("string"), 5, "0"),
-        "place_county": _text("County ", F.col("nation") % 7),
-        "latitude_decimal_degrees": F.when(n % 31 == 0, F.lit("bad")).otherwise(_text(n % 90, ".75")),
-        "longitude_decimal_degrees": _text("-", n % 180, ".125"),
-    }
-    rows = parties.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return rows.select(*(values.get(name, F.lit(None)).cast("string").alias(name) for name in REGISTRY_COLUMNS))
+    return _written(rows, ACTION_COLUMNS, ACTION_TEXT)
 
 
 def raw_registry(spark: SparkSession, folder: str) -> DataFrame:
     """The registry: 40 text columns; customers in debt are listed under a closed code."""
-    customers = table(spark, folder, "customer").select(
-        F.when(F.col("c_acctbal") < 0, "WX").otherwise("WD").alias("prefix"),
-        F.col("c_custkey").alias("number"),
-        F.col("c_nationkey").alias("nation"),
-        F.col("c_mktsegment").alias("segment"),
-        (F.col("c_acctbal") < 0).alias("closed"),
-        (F.col("c_custkey") % 3 + 1).alias("copies"),
+    customers = table(spark, folder, "customer").selectExpr(
+        "CASE WHEN c_acctbal < 0 THEN 'WX' ELSE 'WD' END AS prefix",
+        "c_custkey AS n",
+        "c_nationkey AS nation",
+        "c_mktsegment AS segment",
+        "c_acctbal < 0 AS closed",
+        "explode(sequence(1, c_custkey % 3 + 1)) AS copy",
+    )
+    suppliers = table(spark, folder, "supplier").selectExpr(
+        "'WS' AS prefix", "s_suppkey AS n", "s_nationkey AS nation", "'SUPPLY' AS segment", "false AS closed", "1L AS copy"
     )
-    suppliers = table(spark, folder, "supplier").select(
-        F.lit("WS").alias("prefix"),
-        F.col("s_suppkey").alias("number"),
-        F.col("s_nationkey").alias("nation"),
-        F.lit("SUPPLY").alias("segment"),
-        F.lit(False).alias("closed"),
-        F.lit(1).cast("long").alias("copies"),
+    rows = customers.union(suppliers).selectExpr(
+        "*", "date_add(DATE '1990-01-01', CAST((n * 7 + copy) % 9000 AS INT)) AS granted"
     )
-    return _registry_rows(customers).union(_registry_rows(suppliers))
+    return _written(rows, REGISTRY_COLUMNS, REGISTRY_TEXT)

@@ -1,0 +1,49 @@
+"""Where rows come from and where results go."""
+
+from docketrank.sources.catalog import (
+    describe,
+    read_mart,
+    read_ranked,
+    require_table,
+    row_count,
+    table_exists,
+)
+from docketrank.sources.csv import (
+    MissingExtract,
+    header_columns,
+    line_breaks_by_file,
+    read_text_csv,
+    read_text_csv_flagged,
+    read_text_csv_tolerant,
+    require_rows,
+)
+from docketrank.sources.sinks import (
+    export_csv,
+    export_match_report,
+    export_ranked_csv,
+    export_schema,
+    replace_parquet,
+    replace_table,
+)
+
+__all__ = [
+    "MissingExtract",
+    "describe",
+    "export_csv",
+    "export_match_report",
+    "export_ranked_csv",
+    "export_schema",
+    "header_columns",
+    "line_breaks_by_file",
+    "read_mart",
+    "read_ranked",
+    "read_text_csv",
+    "read_text_csv_flagged",
+    "read_text_csv_tolerant",
+    "replace_parquet",
+    "replace_table",
+    "require_rows",
+    "require_table",
+    "row_count",
+    "table_exists",
+]
