@@ -1,6 +1,6 @@
 """Numbers and money from text, and sums that do not depend on row order.
 
-Parsing comes in small steps (clean, read, guard) because a Column has no local variables: a
+Parsing comes in small steps (clean, then read) because a Column has no local variables: a
 step written as its own projection is computed once per row, while the same steps nested in one
 expression repeat the inner ones for every mention. ``operators.staging`` uses the steps;
 ``parse_money`` is the one-expression form for a single column.
@@ -14,8 +14,10 @@ from docketrank.functions.text import trim_text
 
 # Digits may be grouped by single underscores; Java's own extras (trailing d or f, hex) are out.
 _DIGITS = r"\d++(?:_\d++)*+"
-_NUMBER = rf"[+-]?(?:{_DIGITS}\.?+(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d++)?"
-_NUMBER_OR_ANYTHING = rf"(?s)\A(?:\s*+({_NUMBER})\s*+|.*)\z"
+NUMBER_PATTERN = rf"\A\s*+[+-]?(?:{_DIGITS}\.?+(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d++)?\s*+\z"
+# Nearly every number looks like this, and the check is several times cheaper. So few digits
+# cannot overflow a double.
+_COMMON_NUMBER = r"\A\d{1,300}+(?:\.\d++)?+\z"
 INFINITY_PATTERN = r"(?i)^\s*+[+-]?inf(?:inity)?\s*+$"
 NAN_PATTERN = r"(?i)^\s*+[+-]?nan\s*+$"
 
@@ -23,10 +25,20 @@ NAN_PATTERN = r"(?i)^\s*+[+-]?nan\s*+$"
 _EXACT_CENTS_LIMIT = 1e15
 
 
-def plain_number(text: Column) -> Column:
-    """A plain decimal number from text, NULL for everything else."""
-    number = F.regexp_replace(text, _NUMBER_OR_ANYTHING, "$1")
-    return F.replace(number, F.lit("_")).try_cast("double")
+def _number(text: Column, finite_only: bool) -> Column:
+    # The patterns come first because the cast builds an exception for every text it refuses.
+    unusual = F.replace(text, F.lit("_")).try_cast("double")
+    if finite_only:
+        unusual = F.when(F.abs(unusual) < float("inf"), unusual)
+    return F.when(text.rlike(_COMMON_NUMBER), text.try_cast("double")).when(text.rlike(NUMBER_PATTERN), unusual)
+
+
+def finite_number(text: Column) -> Column:
+    """A plain decimal number from text, NULL for everything else.
+
+    A number too large for a double is NULL too; no exact sum could hold it.
+    """
+    return _number(text, finite_only=True)
 
 
 def parse_double(text: Column) -> Column:
@@ -34,7 +46,7 @@ def parse_double(text: Column) -> Column:
     special = F.when(text.rlike(INFINITY_PATTERN), text.try_cast("double")).when(
         text.rlike(NAN_PATTERN), F.lit(float("nan"))
     )
-    return F.coalesce(plain_number(text), special)
+    return F.coalesce(_number(text, finite_only=False), special)
 
 
 def clean_money_text(text: Column) -> Column:
@@ -42,14 +54,9 @@ def clean_money_text(text: Column) -> Column:
     return F.replace(F.replace(trim_text(text), F.lit("$")), F.lit(","))
 
 
-def finite(value: Column) -> Column:
-    """NULL for a number too large for a double; no exact sum could hold it."""
-    return F.when(F.abs(value) < float("inf"), value)
-
-
 def parse_money(text: Column) -> Column:
     """Currency text to double; bracketed negatives, infinities and NaN are NULL."""
-    return finite(plain_number(clean_money_text(text)))
+    return finite_number(clean_money_text(text))
 
 
 def outstanding(assessed: Column, paid: Column) -> Column:

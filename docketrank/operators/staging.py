@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketrank.functions import floor_date, normalize_key, parse_date, parse_double, trim_text
 from docketrank.functions.dates import ACTION_DATE_FLOOR
-from docketrank.functions.money import clean_money_text, finite, plain_number
+from docketrank.functions.money import clean_money_text, finite_number
 from docketrank.sources.schemas import ACTION_STAGING, REGISTRY_STAGING, Staged
 
 
@@ -34,12 +34,10 @@ def stage(
     clean: ByKind = {"key": normalize_key, "text": trim_text, "money": clean_money_text}
     read: ByKind = {
         "number": parse_double,
-        "money": plain_number,
+        "money": finite_number,
         "date": lambda text: parse_date(text, two_digit_year=two_digit_year),
     }
-    guard: ByKind = {"money": finite}
-    if date_floor is not None:
-        guard["date"] = lambda day: floor_date(day, date_floor)
+    guard: ByKind = {} if date_floor is None else {"date": lambda day: floor_date(day, date_floor)}
 
     def step(rows: DataFrame, change: ByKind) -> DataFrame:
         changed = {c.name: change[c.kind](F.col(c.name)) for c in columns if c.kind in change}

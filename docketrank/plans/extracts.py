@@ -25,7 +25,7 @@ ACTION_TYPES = """map(
 STATUSES = "map('O', 'Active', 'F', 'Historical', 'P', 'Withdrawn')"
 
 # How an action column is written, in terms of an order: k and c are order and customer number,
-# day the order date, pad a blank or a no-break space. Columns not listed are NULL.
+# day the order date, iso its text, pad a blank or a no-break space. Columns not listed are NULL.
 ACTION_TEXT = {
     "REGION": f"' ' || {REGION_CODES}[c % 13]",
     "FACILITY ID": "c",
@@ -45,14 +45,14 @@ ACTION_TEXT = {
                     WHEN k % 61 = 0 THEN lower({ACTION_TYPES}[o_orderpriority])
                     ELSE {ACTION_TYPES}[o_orderpriority] || pad END""",
     "EFFECTIVE DATE": """CASE WHEN k % 20 = 4 THEN 'N/A' WHEN k % 20 = 9 THEN NULL
-                    WHEN k % 5 = 1 THEN date_format(day, 'MM/dd/yyyy')
-                    WHEN k % 5 = 2 THEN date_format(day, 'yyyy-MM-dd')
-                    WHEN k % 5 = 3 THEN date_format(day, 'MM/dd/yy')
-                    ELSE pad || date_format(day, 'M/d/yyyy') END""",
+                    WHEN k % 5 = 1 THEN substr(iso, 6, 2) || '/' || substr(iso, 9, 2) || '/' || year(day)
+                    WHEN k % 5 = 2 THEN iso
+                    WHEN k % 5 = 3 THEN substr(iso, 6, 2) || '/' || substr(iso, 9, 2) || '/' || substr(iso, 3, 2)
+                    ELSE pad || month(day) || '/' || day(day) || '/' || year(day) END""",
     "ADOPTION / ISSUANCE DATE": """CASE WHEN k % 6 = 0 THEN ''
                     ELSE '  ' || date_format(date_add(day, 30), 'MM/dd/yyyy') || ' ' END""",
     "TERMINATION DATE": """CASE WHEN o_orderstatus = 'F'
-                    THEN date_format(date_add(day, CAST(k % 400 AS INT)), 'yyyy-M-d') END""",
+                    THEN date_add(day, CAST(k % 400 AS INT)) END""",
     "STATUS": f"{STATUSES}[o_orderstatus] || pad",
     "TITLE": "' Action ' || k || ' '",
     "DESCRIPTION": "'\u00a0 Follow-up  for facility ' || c || pad",
@@ -62,10 +62,10 @@ ACTION_TEXT = {
                     WHEN k % 47 = 0 THEN '(' || format_number(o_totalprice, 2) || ')'
                     ELSE '$' || format_number(o_totalprice, 2) END""",
     "INITIAL ASSESSED AMOUNT": "' ' || CAST(o_totalprice AS DECIMAL(18,2)) || ' '",
-    "LIABILITY $ AMOUNT": "coalesce('$' || format_number(liability, 2), '')",
-    "PROJECT $ AMOUNT": "coalesce('$' || format_number(project, 2), '')",
-    "LIABILITY $ PAID": "coalesce('$' || format_number(liability_paid, 2), '')",
-    "PROJECT $ COMPLETED": "coalesce('$' || format_number(project_done, 2), '')",
+    "LIABILITY $ AMOUNT": "coalesce('$' || CAST(liability AS DECIMAL(18,2)), '')",
+    "PROJECT $ AMOUNT": "coalesce('$' || CAST(project AS DECIMAL(18,2)), '')",
+    "LIABILITY $ PAID": "coalesce('$' || CAST(liability_paid AS DECIMAL(18,2)), '')",
+    "PROJECT $ COMPLETED": "coalesce('$' || CAST(project_done AS DECIMAL(18,2)), '')",
     "TOTAL $ PAID/COMPLETED AMOUNT": "coalesce('$' || format_number(total_paid, 2), '')",
     "Location 1": "'(' || (c % 90) || '.25, -' || (c % 180) || '.5)'",
 }
@@ -104,6 +104,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that comes in fewer splits than there are cores.
+
+    Writing and reading text costs far more than scanning, so a small one-file table would keep
+    a single core busy. A table with enough splits stays as it is and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _written(rows: DataFrame, columns: tuple[str, ...], how: dict[str, str]) -> DataFrame:
     return rows.selectExpr(*(f"CAST({how.get(name, 'NULL')} AS STRING) AS `{name}`" for name in columns))
 
@@ -123,12 +133,13 @@ def order_payments(lineitem: DataFrame) -> DataFrame:
 def raw_actions(spark: SparkSession, folder: str) -> DataFrame:
     """The action log: 32 text columns, one row per order."""
     payments = order_payments(table(spark, folder, "lineitem"))
-    orders = table(spark, folder, "orders").join(payments, "o_orderkey", "left")
+    orders = spread(table(spark, folder, "orders")).join(payments, "o_orderkey", "left")
     rows = orders.selectExpr(
         "*",
         "o_orderkey AS k",
         "o_custkey AS c",
         "CAST(o_orderdate AS DATE) AS day",
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS iso",
         "CASE WHEN o_orderkey % 5 = 0 THEN '\u00a0' ELSE ' ' END AS pad",
     )
     return _written(rows, ACTION_COLUMNS, ACTION_TEXT)
@@ -136,7 +147,7 @@ def raw_actions(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_registry(spark: SparkSession, folder: str) -> DataFrame:
     """The registry: 40 text columns; customers in debt are listed under a closed code."""
-    customers = table(spark, folder, "customer").selectExpr(
+    customers = spread(table(spark, folder, "customer")).selectExpr(
         "CASE WHEN c_acctbal < 0 THEN 'WX' ELSE 'WD' END AS prefix",
         "c_custkey AS n",
         "c_nationkey AS nation",
