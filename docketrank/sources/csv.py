@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from docketrank.sources.schemas import text_schema
 
@@ -49,20 +48,68 @@ def _schema(spark: SparkSession, path: str, columns: tuple[str, ...] | None) ->
     return text_schema(found)
 
 
+def whole_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Records of files with line breaks inside fields, put together from lines by many tasks.
+
+    Rows of (file, record_number, record). A line starts a record when an even number of quotes
+    precedes it in its file. Quotes are counted per scan split, added up over the splits of a
+    file (one row per split), and then along the lines inside each split, which is as long as a
+    scan split and no longer. Only the lines of one record meet in one group.
+    """
+    file, split, line = F.col("file"), F.col("split"), F.col("line")
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    before_in_split = F.sum("quotes").over(Window.partitionBy(file, split).orderBy(line)) - F.col("quotes")
+    lines = lines.withColumn("quotes", quotes % 2).withColumn("before", before_in_split % 2)
+
+    # Starts are counted for both cases, an even and an odd number of quotes before the split.
+    per_split = lines.groupBy(file, split).agg(
+        F.sum("quotes").alias("quotes"),
+        F.sum(1 - F.col("before")).alias("starts_if_even"),
+        F.sum("before").alias("starts_if_odd"),
+    )
+    earlier = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
+    per_split = per_split.withColumn("carried", F.coalesce(F.sum("quotes").over(earlier) % 2, F.lit(0)))
+    starts = F.when(F.col("carried") == 0, F.col("starts_if_even")).otherwise(F.col("starts_if_odd"))
+    per_split = per_split.withColumn("starts", starts).select(
+        "file", "split", "carried", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records_before")
+    )
+
+    placed = lines.join(per_split, ["file", "split"])
+    is_start = F.when((F.col("before") + F.col("carried")) % 2 == 0, 1).otherwise(0)
+    started = F.sum(is_start).over(Window.partitionBy(file, split).orderBy(line))
+    numbered = placed.withColumn("record_number", F.col("records_before") + started)
+    pieces = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
+    return numbered.groupBy("file", "record_number").agg(
+        F.array_join(F.transform(pieces, lambda piece: piece["value"]), "\n").alias("record")
+    )
+
+
+def _parse_records(records: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
+    options = {**_DIALECT, "header": "false", "mode": mode, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    names = ", ".join(f"`{field.name}` STRING" for field in schema.fields)
+    # The first record of a file is its header; blank lines between records are no rows.
+    rows = records.where((F.col("record_number") > 1) & (F.trim("record") != ""))
+    return rows.select(F.from_csv("record", names, options).alias("row")).select("row.*")
+
+
 def _split_by_line_breaks(
     spark: SparkSession, path: str, schema: T.StructType, mode: str, multi_line: bool | None
 ) -> DataFrame:
     if multi_line is not None:
         return _read(spark, path, schema, mode, multi_line)
     files = line_breaks_by_file(spark, path)
-    if not any(files.values()):
+    cut = [name for name, is_cut in files.items() if is_cut]
+    plain = [name for name, is_cut in files.items() if not is_cut]
+    if not cut:
         return _read(spark, path, schema, mode, False)
-    parts = []
-    for cut in (True, False):
-        names = [name for name, is_cut in files.items() if is_cut == cut]
-        if names:
-            parts.append(_read(spark, names, schema, mode, cut))
-    return reduce(DataFrame.union, parts)
+    assembled = _parse_records(whole_records(spark, cut), schema, mode)
+    return assembled.union(_read(spark, plain, schema, mode, False)) if plain else assembled
 
 
 def read_text_csv(

@@ -16,6 +16,10 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def rows_with_null(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(v or "" for v in r))
+
+
 def test_text_csv_keeps_text_and_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", "id,name,note", '1,"a ""b"" c",', '2,"x, y","NA"', '3,"",007')
     df = sources.read_text_csv(spark, path, ("id", "name", "note"))
@@ -33,6 +37,24 @@ def test_line_breaks_are_read_whole_only_where_they_are(spark, tmp_path):
     assert rows(sources.read_text_csv(spark, str(tmp_path), multi_line=True)) == expected
 
 
+def test_records_over_many_splits_equal_a_whole_file_read(spark, tmp_path):
+    """Splits far shorter than the records' distance, so that records run over their ends."""
+    notes = ['"a\nb"', '"q ""x"",\n\n""y"""', "plain", '"one, two"', "", '"\n"', '"x\ny\nz"', '""']
+    lines = [f"{i},{notes[i * i % 8]},{i % 3 or ''}" for i in range(600)]
+    write(tmp_path / "one.csv", "id,note,n", *lines)
+    write(tmp_path / "two.csv", "id,note,n", *(line.replace(",", "0,", 1) for line in lines[:50]))
+    whole = rows_with_null(sources.read_text_csv(spark, str(tmp_path), multi_line=True))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        split = sources.read_text_csv(spark, str(tmp_path))
+        assert split.columns == ["id", "note", "n"]
+        assert rows_with_null(split) == whole and len(whole) == 650
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_strict_reader_fails_on_a_bad_row_and_a_wrong_header(spark, tmp_path):
     path = write(tmp_path / "a.csv", "id,name", "1,a", "2")
     with pytest.raises(Exception, match="MALFORMED"):
