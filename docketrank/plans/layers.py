@@ -30,7 +30,7 @@ class Layers:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, folder: str) -> Layers:
-        return cls(extracts.raw_registry(spark, folder), extracts.raw_actions(spark, folder))
+        return _TableLayers(spark, folder)
 
     @cached_property
     def registry(self) -> DataFrame:
@@ -59,3 +59,18 @@ class Layers:
     @cached_property
     def ranked(self) -> DataFrame:
         return priority_facilities(self.fact, self.facilities)
+
+
+class _TableLayers(Layers):
+    """Layers over extracts derived from order tables; an extract nobody asks for is not built."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+
+    @cached_property
+    def raw_registry(self) -> DataFrame:
+        return extracts.raw_registry(self._spark, self._folder)
+
+    @cached_property
+    def raw_actions(self) -> DataFrame:
+        return extracts.raw_actions(self._spark, self._folder)
