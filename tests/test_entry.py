@@ -72,3 +72,5 @@ def test_layers_agree_with_each_other(spark, tables):
     assert regional + outside == headline["total_actions"]
     assert facilities.count() == facilities.select("wdid").distinct().count()
     assert fact.join(facilities, "wdid").count() == fact.join(facilities, "wdid", "left").count() == fact.count()
+    for cached in (mart, fact, facilities):
+        cached.unpersist()
