@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docketrank.llm import language, packing, pii, quality, simhash
+from docketrank.llm import chat, embeddings, language, licenses, packing, pages, pii, quality, simhash
 from docketrank.llm.common import prepare, read_table
 
 
@@ -58,10 +58,68 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = embeddings.near_duplicates(read_table(prepare(spark), folder, "embeddings"))
+    return found
+
+
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read_table(prepare(spark), folder, "documents"))
+
+
+# A conversation that says control strings, added to the table.
+CONTROL_ROWS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(prepare(spark), folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
+    read = chat.examples(rows.unionByName(control)).select(
+        "conv_id",
+        "example",
+        F.length("formatted").alias("chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_length")).alias("loss"),
+    )
+    whole = read.groupBy("conv_id").agg(
+        F.max_by("turns", "example").alias("turns"),
+        F.sort_array(F.collect_list(F.struct("example", "loss"))).alias("losses"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(F.transform("losses", lambda x: x["loss"]), "")
+    return whole.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    table = read_table(prepare(spark), folder, "pages").select("page_id", "url", "html")
+    model = pages.fit(table)
+    texts = table.select("page_id", "url", pages.main_text(F.col("html"), model).alias("text"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(prepare(spark), folder, "documents"), packing.public_vocabulary())
 
 
 QUERIES = {
-    f.__name__: f for f in (op3_quality_rules, op4_language_id, op5_simhash_dedup, op6_pii, op10_packing)
+    f.__name__: f
+    for f in (
+        op2_embedding_dedup,
+        op3_quality_rules,
+        op4_language_id,
+        op5_simhash_dedup,
+        op6_pii,
+        op7_license_scan,
+        op8_chat_format,
+        op9_main_text,
+        op10_packing,
+    )
 }
