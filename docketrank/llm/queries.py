@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docketrank.llm import chat, embeddings, language, licenses, packing, pages, pii, quality, simhash
+from docketrank.llm import chat, embeddings, language, licenses, packing, pages, pieces, pii, quality, simhash
 from docketrank.llm.common import prepare, read_table
 
 
@@ -58,6 +58,11 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = pieces.encode(read_table(prepare(spark), folder, "documents"), pieces.public_model())
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = embeddings.near_duplicates(read_table(prepare(spark), folder, "embeddings"))
     return found
@@ -112,6 +117,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
         op2_embedding_dedup,
         op3_quality_rules,
         op4_language_id,
