@@ -283,7 +283,8 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> D
                 "shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("places").alias("guest")
             )
             start = islands.join(own, ["shard", "island"]).join(guest, ["shard", "island"])
-        start = start.repartition("shard", "island")
+        # One task each: a few kilobytes here are seconds of work, which no merging by size may gather.
+        start = start.repartition(n_shards * ISLANDS, "shard", "island")
         elites = stored(
             start.mapInPandas(_round(capacity, epoch), "shard long, island int, n_bins int, cost long, places array<int>")
         )

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import random
+import re
+
+from docketrank.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_luhn(digits):
+    doubled = [int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def valid(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    return {
+        "email": lambda: True,
+        "ip": lambda: all(int(p) <= 255 for p in text.split(".")),
+        "card": lambda: 12 <= len(digits) <= 19 and plain_luhn(digits),
+        "phone": lambda: 9 <= len(digits) <= 15,
+    }[kind]()
+
+
+def base_spans(text):
+    found = [
+        (m.start(), i, kind, m.end())
+        for i, (kind, pattern) in enumerate(PATTERNS.items())
+        for m in re.finditer(pattern, text)
+        if valid(kind, m[0])
+    ]
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+def of(text):
+    return [(s.kind, s.start, s.end) for s in pii.find_spans(text)]
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(4)
+    parts = [
+        "a", ".", "@", "-", "_", "+", " ", "%", "x.y", "@b.c", "1.2.3.4", "256", "10.0.0.300", "4111 1111 1111 1111",
+        "4111111111111111", "+1 (555) 010-9999", "+44", "00", "7", "(", ")", "é", "日", "\n", "..", "@@", "a@b.c_d@e.f", "0001.1.1.1",
+    ]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 16)))
+        assert [s for s in of(text) if s[0] in PATTERNS] == base_spans(text), text
+
+
+def test_checksums():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB83WEST12345698765432")
+
+
+def test_own_spans_need_checksum_or_context():
+    assert ("iban", 5, 27) in of("IBAN GB82WEST12345698765432 ok")
+    assert all(s[0] != "iban" for s in of("IBAN GB83WEST12345698765432 ok"))
+    assert [s[0] for s in of('token = "0641917ea4e9feb9cda83477b57ac2654884f485"')] == ["secret"]
+    assert of("nothing to see here: 42 items, 3.14") == []
+
+
+def test_context_moves_the_score():
+    plain, near, against = (pii.find_spans(x + "+1 555 010 9999")[0].score for x in ("", "call me: ", "order "))
+    assert against < plain < near
+
+
+def test_long_texts_take_linear_time():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1(" * 100_000, "a@" * 150_000, "1 " * 150_000):
+        pii.find_spans(text)
+
+
+def test_masking():
+    assert pii.mask("mail bo.b@mail.example.com, +1 (555) 010-9999!") == "mail <EMAIL>, <PHONE>!"
+    assert pii.mask("clean") is None and pii.mask(None) is None and pii.mask("") is None
+
+
+def test_edge_rows(documents, edge_rows):
+    docs = documents([*edge_rows, (30, "é a@b.cd")])
+    rows = docs.select("doc_id", pii.personal_data(docs["text"]).alias("spans")).collect()
+    spans = {r["doc_id"]: r["spans"] for r in rows}
+    assert len(rows) == len(edge_rows) + 1 and all(spans[k] == [] for k in (None, 1, 2, 3, 6, 7, 8))
+    assert [(s["kind"], s["start"], s["end"]) for s in spans[30]] == [("email", 2, 8)]
+    masked = pii.mask_personal_data(docs)
+    by_id = {r["doc_id"]: r for r in masked.collect()}
+    assert masked.columns == docs.columns
+    assert (by_id[30]["text"], by_id[30]["n_chars"]) == ("é <EMAIL>", 9) and by_id[1]["text"] is None
+    assert pii.mask_personal_data(documents([]).limit(0)).count() == 0
