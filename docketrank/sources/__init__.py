@@ -22,6 +22,7 @@ from docketrank.sources.sinks import (
     export_match_report,
     export_ranked_csv,
     export_schema,
+    read_parquet_layer,
     replace_parquet,
     replace_table,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "header_columns",
     "line_breaks_by_file",
     "read_mart",
+    "read_parquet_layer",
     "read_ranked",
     "read_text_csv",
     "read_text_csv_flagged",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docketrank.sources.schemas import text_schema
 
@@ -19,10 +19,10 @@ class MissingExtract(RuntimeError):
 
 
 def line_breaks_by_file(spark: SparkSession, path: str) -> dict[str, bool]:
-    """Whether some field of a file holds a line break; only file names reach the driver.
+    """Whether some field of a file may hold a line break; only file names reach the driver.
 
     A record cut by a line break has an odd number of quotes on its first line, so one scan by
-    lines, which splits files freely, tells.
+    lines, which splits files freely, tells which files can't have any.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
@@ -48,68 +48,23 @@ def _schema(spark: SparkSession, path: str, columns: tuple[str, ...] | None) ->
     return text_schema(found)
 
 
-def whole_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records of files with line breaks inside fields, put together from lines by many tasks.
-
-    Rows of (file, record_number, record). A line starts a record when an even number of quotes
-    precedes it in its file. Quotes are counted per scan split, added up over the splits of a
-    file (one row per split), and then along the lines inside each split, which is as long as a
-    scan split and no longer. Only the lines of one record meet in one group.
-    """
-    file, split, line = F.col("file"), F.col("split"), F.col("line")
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    before_in_split = F.sum("quotes").over(Window.partitionBy(file, split).orderBy(line)) - F.col("quotes")
-    lines = lines.withColumn("quotes", quotes % 2).withColumn("before", before_in_split % 2)
-
-    # Starts are counted for both cases, an even and an odd number of quotes before the split.
-    per_split = lines.groupBy(file, split).agg(
-        F.sum("quotes").alias("quotes"),
-        F.sum(1 - F.col("before")).alias("starts_if_even"),
-        F.sum("before").alias("starts_if_odd"),
-    )
-    earlier = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
-    per_split = per_split.withColumn("carried", F.coalesce(F.sum("quotes").over(earlier) % 2, F.lit(0)))
-    starts = F.when(F.col("carried") == 0, F.col("starts_if_even")).otherwise(F.col("starts_if_odd"))
-    per_split = per_split.withColumn("starts", starts).select(
-        "file", "split", "carried", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records_before")
-    )
-
-    placed = lines.join(per_split, ["file", "split"])
-    is_start = F.when((F.col("before") + F.col("carried")) % 2 == 0, 1).otherwise(0)
-    started = F.sum(is_start).over(Window.partitionBy(file, split).orderBy(line))
-    numbered = placed.withColumn("record_number", F.col("records_before") + started)
-    pieces = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
-    return numbered.groupBy("file", "record_number").agg(
-        F.array_join(F.transform(pieces, lambda piece: piece["value"]), "\n").alias("record")
-    )
-
-
-def _parse_records(records: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
-    options = {**_DIALECT, "header": "false", "mode": mode, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    names = ", ".join(f"`{field.name}` STRING" for field in schema.fields)
-    # The first record of a file is its header; blank lines between records are no rows.
-    rows = records.where((F.col("record_number") > 1) & (F.trim("record") != ""))
-    return rows.select(F.from_csv("record", names, options).alias("row")).select("row.*")
-
-
 def _split_by_line_breaks(
     spark: SparkSession, path: str, schema: T.StructType, mode: str, multi_line: bool | None
 ) -> DataFrame:
+    """Read each file by Spark's own parser: in whole where a record may span lines, split elsewhere.
+
+    Where quotes on a line don't pair up there may be a line break in a field, or just a stray
+    quote; only a parser that goes through the file from its start can tell. So such a file is
+    read by one task. All other files are split among tasks.
+    """
     if multi_line is not None:
         return _read(spark, path, schema, mode, multi_line)
     files = line_breaks_by_file(spark, path)
     cut = [name for name, is_cut in files.items() if is_cut]
     plain = [name for name, is_cut in files.items() if not is_cut]
-    if not cut:
-        return _read(spark, path, schema, mode, False)
-    assembled = _parse_records(whole_records(spark, cut), schema, mode)
-    return assembled.union(_read(spark, plain, schema, mode, False)) if plain else assembled
+    if not cut or not plain:
+        return _read(spark, path, schema, mode, bool(cut))
+    return _read(spark, cut, schema, mode, True).union(_read(spark, plain, schema, mode, False))
 
 
 def read_text_csv(
@@ -119,7 +74,7 @@ def read_text_csv(
 
     ``columns`` is the expected header, checked by exact name and order; by default whatever the
     header says. A file with line breaks inside fields cannot be split among tasks, so by
-    default (``multi_line=None``) only the files that have some are read in one piece.
+    default (``multi_line=None``) only the files that may have some are read in one piece.
     """
     schema = _schema(spark, path, columns)
     return _split_by_line_breaks(spark, path, schema, "FAILFAST", multi_line)
@@ -137,7 +92,8 @@ def read_text_csv_flagged(
     """Read an extract with malformed rows in one pass: its columns, the raw record of every
     malformed row, and ``rejected``.
 
-    A row with too many fields is cut to the width and kept, one with too few is rejected.
+    A row with too few fields is rejected. One with too many is cut to the width and kept, and
+    ``cut`` says so: what was cut off is in the raw record.
     """
     schema = _schema(spark, path, columns)
     flagged = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
@@ -145,8 +101,13 @@ def read_text_csv_flagged(
     # Spark refuses a CSV query that needs the raw record alone, as a row count would; the first
     # condition always holds and makes every such query read one more column.
     readable = F.length(F.coalesce(rows[rows.columns[0]], F.lit(""))) >= 0
-    too_short = readable & (_field_count(F.col(CORRUPT_COLUMN)) < len(schema))
-    return rows.withColumn("rejected", F.coalesce(too_short, F.lit(False)))
+    fields = _field_count(F.col(CORRUPT_COLUMN))
+    return rows.withColumns(
+        {
+            "rejected": F.coalesce(readable & (fields < len(schema)), F.lit(False)),
+            "cut": F.coalesce(readable & (fields > len(schema)), F.lit(False)),
+        }
+    )
 
 
 def read_text_csv_tolerant(
@@ -154,7 +115,7 @@ def read_text_csv_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """Read an extract with malformed rows; returns (rows, rejects with their raw record)."""
     rows = read_text_csv_flagged(spark, path, columns, multi_line)
-    kept = rows.where(~F.col("rejected")).drop(CORRUPT_COLUMN, "rejected")
+    kept = rows.where(~F.col("rejected")).drop(CORRUPT_COLUMN, "rejected", "cut")
     rejects = rows.where("rejected").select(F.col(CORRUPT_COLUMN).alias("record"), rows.columns[0])
     return kept, rejects
 

@@ -4,23 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+
+def _storage(spark: SparkSession, path: str):
+    """Hadoop's view of a path: its file system, and a maker of paths."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
 def replace_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh of a layer."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Full refresh of a layer: the new rows are complete beside the old before they take their place.
+
+    A write that fails or is killed leaves the layer as it was. The switch is two renames; a
+    driver that dies between them leaves the old rows in ``<path>__previous``, where
+    ``read_parquet_layer`` finds them.
+    """
+    following, previous = f"{path}__next", f"{path}__previous"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(following)
+    files, at = _storage(df.sparkSession, path)
+    if files.exists(at(path)):
+        files.delete(at(previous), True)
+        files.rename(at(path), at(previous))
+    if not files.rename(at(following), at(path)):
+        raise OSError(f"{following} could not be renamed to {path}")
+    files.delete(at(previous), True)
+
+
+def read_parquet_layer(spark: SparkSession, path: str) -> DataFrame:
+    """A layer, or what it was before a switch that broke off."""
+    files, at = _storage(spark, path)
+    previous = f"{path}__previous"
+    broken_off = not files.exists(at(path)) and files.exists(at(previous))
+    return spark.read.parquet(previous if broken_off else path)
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    """Full refresh of a table in the session catalog."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Full refresh of a table in the session catalog: the new rows are complete before the old go."""
+    spark = df.sparkSession
+    following = f"{name}__next"
+    df.write.mode("overwrite").saveAsTable(following)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
 
 
 def plain_double_text(value: Column) -> Column:
-    """A double as text without an exponent, where Spark would write ``1.25E7``."""
-    plain = F.regexp_replace(value.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(value) >= 1e7, F.coalesce(plain, value.cast("string"))).otherwise(value.cast("string"))
+    """A double as text without an exponent, where Spark would write ``1.25E7``; no digit is lost.
+
+    The digits are those of Spark's shortest text, with the point moved by the exponent.
+    """
+    text = value.cast("string")
+    digits = F.regexp_replace(F.regexp_extract(text, r"^-?([\d.]+)E", 1), r"\.", "")
+    digits = F.regexp_replace(digits, r"(?<=\d)0$", "")
+    whole = F.regexp_extract(text, r"E(\d+)$", 1).try_cast("int") + 1
+    padded = F.rpad(digits, F.greatest(whole + 1, F.length(digits)), "0")
+    plain = F.concat(
+        F.when(value < 0, "-").otherwise(""), F.substring(padded, F.lit(1), whole), F.lit("."),
+        F.substring(padded, whole + 1, F.length(padded)),
+    )
+    return F.when(F.abs(value) >= 1e7, F.coalesce(plain, text)).otherwise(text)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -42,6 +85,6 @@ def export_schema(snapshot: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").options(header="true", sep="\t").csv(path)
 
 
-def export_match_report(profile: DataFrame, path: str) -> None:
-    """The one-row key match profile as CSV."""
-    export_csv(profile, path, single_file=True)
+def export_match_report(report: DataFrame, path: str) -> None:
+    """The join report, a line of text per row, in its order; a few dozen lines."""
+    report.coalesce(1).sortWithinPartitions("line").select("text").write.mode("overwrite").text(path)

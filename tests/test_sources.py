@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from docketrank import sources
@@ -37,24 +39,52 @@ def test_line_breaks_are_read_whole_only_where_they_are(spark, tmp_path):
     assert rows(sources.read_text_csv(spark, str(tmp_path), multi_line=True)) == expected
 
 
-def test_records_over_many_splits_equal_a_whole_file_read(spark, tmp_path):
-    """Splits far shorter than the records' distance, so that records run over their ends."""
-    notes = ['"a\nb"', '"q ""x"",\n\n""y"""', "plain", '"one, two"', "", '"\n"', '"x\ny\nz"', '""']
-    lines = [f"{i},{notes[i * i % 8]},{i % 3 or ''}" for i in range(600)]
-    write(tmp_path / "one.csv", "id,note,n", *lines)
-    write(tmp_path / "two.csv", "id,note,n", *(line.replace(",", "0,", 1) for line in lines[:50]))
+@pytest.mark.parametrize("seed", range(3))
+def test_stray_quotes_lose_no_row(spark, tmp_path, seed):
+    """Inch marks and quotes in unquoted fields beside line breaks in quoted ones, over small splits."""
+    rng = random.Random(seed)
+    notes = ['"a\nb"', '"q ""x"",\n""y"""', "plain", '"one, two"', "", 'pipe 5" wide', '12" outfall', 'say "hi"', '""']
+    for name, some in (("one.csv", notes), ("two.csv", notes[2:5]), ("three.csv", notes[5:6])):
+        lines = [f"{name}{i},{rng.choice(some)},{rng.choice(['', 7])}" for i in range(120)]
+        write(tmp_path / name, "id,note,n", *lines, f'{name}last,stray " here,1')
     whole = rows_with_null(sources.read_text_csv(spark, str(tmp_path), multi_line=True))
+    assert len(whole) == 363
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     try:
-        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
-        split = sources.read_text_csv(spark, str(tmp_path))
-        assert split.columns == ["id", "note", "n"]
-        assert rows_with_null(split) == whole and len(whole) == 650
+        assert rows_with_null(sources.read_text_csv(spark, str(tmp_path))) == whole
+        kept, rejects = sources.read_text_csv_tolerant(spark, str(tmp_path))
+        assert rows_with_null(kept) == whole and rejects.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_every_header_is_checked(spark, tmp_path):
+    write(tmp_path / "a.csv", "a,b,c", "1,2,3")
+    write(tmp_path / "b.csv", "c,b,a", '1,"x', 'y",3')
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_text_csv(spark, str(tmp_path)).collect()
+
+
+def test_cut_rows_are_flagged(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,a", "1,x", "2,x,more", "3")
+    found = {r["id"]: (r["rejected"], r["cut"]) for r in sources.read_text_csv_flagged(spark, path).collect()}
+    assert found == {"1": (False, False), "2": (False, True), "3": (True, False)}
+
+
+def test_a_failed_write_leaves_the_layer(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    sources.replace_parquet(spark.range(5), path)
+    bad = spark.range(9).selectExpr("CASE WHEN id < 8 THEN id ELSE raise_error('broken') END AS id")
+    with pytest.raises(Exception, match="broken"):
+        sources.replace_parquet(bad, path)
+    assert sources.read_parquet_layer(spark, path).count() == 5
+    sources.replace_parquet(spark.range(7), path)
+    assert sources.read_parquet_layer(spark, path).count() == 7
+    (tmp_path / "layer").rename(tmp_path / "layer__previous")  # a switch that broke off half way
+    assert sources.read_parquet_layer(spark, path).count() == 7
+
+
 def test_strict_reader_fails_on_a_bad_row_and_a_wrong_header(spark, tmp_path):
     path = write(tmp_path / "a.csv", "id,name", "1,a", "2")
     with pytest.raises(Exception, match="MALFORMED"):
@@ -89,10 +119,11 @@ def test_catalog(spark, tmp_path):
 
 
 def test_csv_export_writes_plain_numbers_and_tells_null_from_blank(spark, tmp_path):
-    df = spark.createDataFrame([(1, 12345678.9, ""), (2, 0.5, None), (3, -2e8, 'q"')], "i int, v double, t string")
+    values = [(1, 12345678.9, ""), (2, 0.5, None), (3, -2e8, 'q"'), (4, 12345678.12345678, "x"), (5, 1.5e20, "x")]
+    df = spark.createDataFrame(values, "i int, v double, t string")
     sources.export_csv(df.orderBy("i"), str(tmp_path / "out"), single_file=True)
     [part] = (tmp_path / "out").glob("*.csv")
-    assert part.read_text().splitlines() == ["i,v,t", '1,12345678.9,""', "2,0.5,", '3,-200000000.0,"q"""']
+    assert part.read_text().splitlines() == ["i,v,t", '1,12345678.9,""', "2,0.5,", '3,-200000000.0,"q"""', "4,12345678.12345678,x", "5,150000000000000000000.0,x"]
 
 
 def csv_line(columns, **values):
@@ -132,8 +163,9 @@ def test_full_refresh(spark, tmp_path, extracts):
     assert counts["raw_permits_orders"] == 40 and counts["raw_enforcement_actions"] == 199
     assert counts["fact_enforcement"] == 199 and counts["dim_facility"] == 45 and counts["priority_facilities"] == 25
     assert [r["record"] for r in refresh.rejects().collect()] == ["too,short"]
+    assert counts["raw_enforcement_actions, rejected"] == 1 and counts["raw_enforcement_actions, cut"] == 0
     for layer, expected in counts.items():
-        assert refresh.read(layer).count() == expected
+        assert "," in layer or refresh.read(layer).count() == expected
     fact = refresh.read(FACT)
     assert fact.where("enforcement_eid = '7'").first()["description"] == 'two\nlines, "quoted"'
     assert fact.agg({"total_assessment_amount": "sum"}).first()[0] == sum(range(1, 200)) * 1000 + 199 * 0.5
@@ -147,15 +179,24 @@ def test_full_refresh(spark, tmp_path, extracts):
     [ranked] = (exports / "priority_facilities").glob("*.csv")
     lines = ranked.read_text().splitlines()
     assert lines[0].startswith("rank,wdid,facility_name") and [x.split(",")[0] for x in lines[1:4]] == ["1", "2", "3"]
-    [report] = (exports / "join_report").glob("*.csv")
+    [report] = (exports / "join_report").glob("*.txt")
     # Numbers 40 to 44 are not registered; each of the five has four actions.
-    assert report.read_text().splitlines()[1].startswith("179,199,20,")
+    assert report.read_text().splitlines()[-3:] == ["Action rows with a key: 199", "Matched: 179 (89.9%)", "Unmatched: 20"]
     [schema] = (exports / "raw_schema").glob("*.csv")
     assert len(schema.read_text().splitlines()) == 73
     again = refresh.run(*extracts)
     assert again == counts
 
 
+def test_a_failed_load_leaves_the_layers(spark, tmp_path, extracts):
+    refresh = Refresh(spark, str(tmp_path / "warehouse"), str(tmp_path / "exports"))
+    refresh.load(*extracts)
+    bare = write(tmp_path / "bare.csv", header(ACTION_COLUMNS))
+    with pytest.raises(sources.MissingExtract):
+        refresh.load(extracts[0], bare)
+    assert refresh.read(RAW_ACTIONS).count() == 199
+
+
 def test_steps_read_what_was_written(spark, tmp_path, extracts):
     refresh = Refresh(spark, str(tmp_path / "warehouse"), str(tmp_path / "exports"))
     refresh.load(*extracts)
