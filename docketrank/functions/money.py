@@ -21,8 +21,11 @@ _COMMON_NUMBER = r"\A\d{1,300}+(?:\.\d++)?+\z"
 INFINITY_PATTERN = r"(?i)^\s*+[+-]?inf(?:inity)?\s*+$"
 NAN_PATTERN = r"(?i)^\s*+[+-]?nan\s*+$"
 
-# Beyond this a double no longer holds every cent.
-_EXACT_CENTS_LIMIT = 1e15
+# A double holds every cent below this; larger amounts are summed as decimals.
+_EXACT_CENTS_BELOW = 2.0**46
+# Junk in a register, not money: left out of sums, and counted by ``implausible``. A decimal of 38
+# digits holds the sum of a thousand million such amounts.
+PLAUSIBLE_BELOW = 1e27
 
 
 def _number(text: Column, finite_only: bool) -> Column:
@@ -64,20 +67,32 @@ def outstanding(assessed: Column, paid: Column) -> Column:
     return F.greatest(assessed - paid, F.lit(0.0))
 
 
+def implausible(amount: Column) -> Column:
+    """Whether an amount is out of the range of money, so that sums leave it out."""
+    return F.coalesce(~(F.abs(amount) < PLAUSIBLE_BELOW), F.lit(False))
+
+
 def exact_sum(amount: Column) -> Column:
     """Sum of money in whole cents, returned as double; the same for every order of the rows.
 
-    Whole cents in a bigint keep the aggregate in the hash table's fixed-width buffer, several
-    times faster than a decimal sum. One group may hold 9.2e16 dollars; past that ANSI
-    arithmetic raises. Amounts too large for exact cents are summed beside it as doubles.
+    Cents are summed as two bigints, millions of dollars and the rest, which stay in the hash
+    table's fixed-width buffer, several times faster than a decimal sum, and don't overflow for
+    fewer than 9e10 rows of a group whatever the amounts. The few amounts too large for exact
+    cents are summed beside them as decimals. NULL and implausible amounts add nothing; a group
+    with no other is NULL.
     """
-    fits = F.abs(amount) < _EXACT_CENTS_LIMIT
-    cents = F.sum(F.when(fits, F.floor(amount * 100 + 0.5)))
-    beyond = F.sum(F.when(~fits, amount))
-    in_dollars = cents.cast("double") / 100.0
-    return F.when(beyond.isNull(), in_dollars).otherwise(F.coalesce(in_dollars, F.lit(0.0)) + beyond)
+    size = F.abs(amount)
+    cents = F.floor(F.when(size < _EXACT_CENTS_BELOW, amount) * 100 + 0.5)
+    million = F.lit(100_000_000).cast("bigint")
+    high = F.sum(F.call_function("div", cents, million)).cast("decimal(20,0)")
+    low = F.sum(cents % million).cast("decimal(20,0)")
+    beyond = F.when((size >= _EXACT_CENTS_BELOW) & (size < PLAUSIBLE_BELOW), amount).cast("decimal(30,2)")
+    exact = high * F.lit(1_000_000).cast("decimal(8,0)") + low / 100
+    parts = F.array_compact(F.array(exact.cast("decimal(38,2)"), F.sum(beyond).cast("decimal(38,2)")))
+    total = F.aggregate(parts, F.lit(0).cast("decimal(38,2)"), lambda a, b: (a + b).cast("decimal(38,2)"))
+    return F.when(F.size(parts) > 0, total.cast("double"))
 
 
 def exact_total(subtotal: Column) -> Column:
-    """Sum of sub-totals that are already few; decimal, so a grand total has room to grow."""
-    return F.sum(subtotal.cast("decimal(28,2)")).cast("double")
+    """Sum of sub-totals that are already few; decimals of 38 digits, so a grand total has room."""
+    return F.sum(F.when(F.abs(subtotal) < 1e35, subtotal).cast("decimal(38,2)")).cast("double")

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import date
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from docketrank import functions as fx
 from docketrank.functions.dates import ACTION_DATE_FLOOR
@@ -144,3 +146,17 @@ def test_exact_sum_keeps_cents_and_large_amounts(spark):
     got = {r["k"]: r["s"] for r in df.groupBy("k").agg(fx.exact_sum(df.v).alias("s")).collect()}
     assert got == {"a": 724772.09, "b": 0.0, "c": 1e17, "d": None}
     assert df.where("k = 'a'").agg(fx.exact_total(df.v).alias("s")).first()["s"] == 724772.09
+
+
+def test_money_sums_have_no_cliff(spark):
+    """Junk and huge amounts neither stop a sum nor make it depend on the order of the rows."""
+    amounts = [1e30, -1e300] + [9e14] * 120 + [1e15, 1e15 + 0.25, 123456789012345.67, 0.1, 0.2, -0.3, -5e20, 5e20] + [None] * 3
+    results = set()
+    for seed in range(4):
+        rows = [(a,) for a in random.Random(seed).sample(amounts, len(amounts))]
+        df = spark.createDataFrame(rows, "v double").repartition(5 + seed)
+        sums = df.agg(fx.exact_sum(df.v).alias("s"), fx.exact_total(df.v).alias("t"), F.sum(fx.implausible(df.v).cast("int")).alias("n"))
+        row = sums.first()
+        results.add((row["s"], row["n"]))
+    assert results == {(9e14 * 120 + 1e15 + 1e15 + 0.25 + 123456789012345.67, 2)}
+    assert spark.createDataFrame([(None,)], "v double").agg(fx.exact_sum(F.col("v")).alias("s")).first()["s"] is None
