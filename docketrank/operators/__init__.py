@@ -10,9 +10,9 @@ from docketrank.operators.dimensions import (
     representative,
 )
 from docketrank.operators.facts import action_formality, fact_actions
-from docketrank.operators.joins import fits_broadcast, lookup_join
+from docketrank.operators.joins import lookup_join, unique_lookup
 from docketrank.operators.mart import kpi_totals, mart_facility_monthly, monthly_totals
-from docketrank.operators.profile import key_match_profile
+from docketrank.operators.profile import key_match_profile, match_report
 from docketrank.operators.quality import duplicate_ids, layer_row_counts, quality_report, schema_snapshot
 from docketrank.operators.ranking import action_summary, facility_summary, priority_facilities, rank_facilities
 from docketrank.operators.regions import (
@@ -35,10 +35,10 @@ __all__ = [
     "duplicate_ids",
     "facility_summary",
     "fact_actions",
-    "fits_broadcast",
     "in_rank_order",
     "is_formal_type",
     "key_match_profile",
+    "match_report",
     "key_spine",
     "kpi_totals",
     "layer_row_counts",
@@ -62,4 +62,5 @@ __all__ = [
     "stage_actions",
     "stage_registry",
     "suboffice_rollup",
+    "unique_lookup",
 ]

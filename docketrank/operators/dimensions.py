@@ -49,13 +49,25 @@ def action_attributes() -> dict[str, str]:
     return {name: pair[1] for name, pair in _REGISTRY_FIRST.items()} | _ACTIONS_ONLY
 
 
+def _spellings(rows: DataFrame) -> DataFrame:
+    """Every row once, by hash.
+
+    They are counted, and the count is asked for, because Spark drops a plain ``distinct`` below
+    minima as if it were of no use.
+    """
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("_rows")).where("_rows > 0").drop("_rows")
+
+
 def representative(staged: DataFrame, attributes: dict[str, str], key: str = "wdid") -> DataFrame:
     """One row per key with a non-NULL value per attribute, NULL where the key has none.
 
-    Any value would do; the smallest one makes reruns agree. Minima combine before the shuffle,
-    so a key with a third of all rows sends one row per task.
+    Any value would do; the smallest one makes reruns agree. Spellings are made distinct first, by
+    hash: minima of text would need a sort of every staged row, where now only the few spellings
+    of a key are sorted. Both steps combine before a shuffle, so a key with a third of all rows
+    sends its few spellings per task.
     """
-    return staged.groupBy(key).agg(*(F.min(column).alias(name) for name, column in attributes.items()))
+    columns = list(dict.fromkeys(attributes.values()))
+    return _spellings(staged.select(key, *columns)).groupBy(key).agg(*(F.min(column).alias(name) for name, column in attributes.items()))
 
 
 def registry_representative(registry: DataFrame) -> DataFrame:
@@ -75,7 +87,7 @@ def dim_facility(registry: DataFrame, actions: DataFrame) -> DataFrame:
     """One row per key of either source, the registry's value before the action log's.
 
     Both sources go through one aggregate side by side instead of two aggregates, a key spine
-    and two joins: the same result for one shuffle, and Catalyst then knows the key is unique,
+    and two joins, and Catalyst then knows the key is unique,
     so a reader that needs no attribute drops its join to this table altogether.
     """
     from_registry, from_actions = registry_attributes(), action_attributes()
@@ -90,7 +102,7 @@ def dim_facility(registry: DataFrame, actions: DataFrame) -> DataFrame:
         ]
         return F.coalesce(*sides).alias(name)
 
-    both = registry_side.unionByName(action_side, allowMissingColumns=True)
+    both = _spellings(registry_side.unionByName(action_side, allowMissingColumns=True))
     return both.groupBy("wdid").agg(*(pick(name) for name in DIM_FACILITY_COLUMNS[1:]))
 
 

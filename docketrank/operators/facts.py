@@ -37,7 +37,7 @@ def fact_actions(
     if action_types is None:
         formal = action_formality(F.col("enforcement_action_type"), informal)
     else:
-        actions = lookup_join(actions, action_types, "enforcement_action_type", spread_by="enforcement_eid")
+        actions = lookup_join(actions, action_types, "enforcement_action_type")
         formal = F.coalesce("is_formal", F.lit(False))
     money = {name: F.coalesce(name, F.lit(0.0)) for name in _MONEY_COLUMNS}
     return actions.select(

@@ -2,47 +2,26 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
 
-# A lookup is broadcast up to this many rows and this much text.
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+def unique_lookup(lookup: DataFrame, key: str) -> DataFrame:
+    """The lookup, which fails while it runs if some key occurs twice; NULL keys are left out."""
+    others = [name for name in lookup.columns if name != key]
+    counted = lookup.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count("*").alias("_rows"), *(F.first(name).alias(name) for name in others)
+    )
+    doubled = F.concat(F.lit(f"lookup key {key} occurs more than once: "), F.col(key).cast("string"))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(doubled)).otherwise(F.col(key))
+    return counted.select(checked.cast(dict(lookup.dtypes)[key]).alias(key), *others)
 
-# Beyond it every key is spread over this many join partitions.
-SALT_BUCKETS = 32
 
+def lookup_join(large: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Left join to a lookup with one row per key; no row of ``large`` is lost or doubled.
 
-def _row_bytes(df: DataFrame) -> Column:
-    sizes = (F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16 for name in df.columns)
-    return reduce(add, sizes)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure a lookup with one distributed count; cheapest on a table already written."""
-    measured = df.agg(F.count("*").alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
-
-
-def lookup_join(
-    large: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: str,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-    salt_buckets: int = SALT_BUCKETS,
-) -> DataFrame:
-    """Left join to a lookup with one row per key; no row of ``large`` is lost or moved twice.
-
-    A lookup measured to be small is broadcast and the large side stays where it is. Otherwise
-    both sides shuffle on key and salt, so that one key with a third of all rows is dealt out
-    over ``salt_buckets`` partitions (by the hash of ``spread_by``).
+    No job runs while the plan is made. Spark decides from the sizes it meets: a small lookup is
+    broadcast and the large side stays where it is; otherwise both sides shuffle by key, and a
+    partition that one key makes far larger than the others is split among tasks (adaptive skew
+    join), on which a left join allows.
     """
-    if fits_broadcast(lookup, max_rows, max_bytes):
-        return large.join(F.broadcast(lookup), key, "left")
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salt_buckets)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    return large.join(unique_lookup(lookup, key), key, "left")

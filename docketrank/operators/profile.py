@@ -43,3 +43,26 @@ def key_match_profile(
         (F.col("total") - F.col("matched")).alias("unmatched"),
         F.coalesce(F.try_divide("matched", "total"), F.lit(0.0)).alias("match_rate"),
     )
+
+
+def match_report(
+    raw_registry: DataFrame, raw_actions: DataFrame, registry_key: str = "wdid", action_key: str = "WDID"
+) -> DataFrame:
+    """The join report as numbered lines: column lists of both extracts, then the key match.
+
+    Where a key column is missing the report says so and ends there.
+    """
+    lines = []
+    for title, raw in (("Registry columns", raw_registry), ("Action log columns", raw_actions)):
+        lines += [title, *(f"  {name}" for name in raw.columns), ""]
+    absent = [key for raw, key in ((raw_registry, registry_key), (raw_actions, action_key)) if not has_column(raw, key)]
+    if absent:
+        lines += [f"Key column not found: {', '.join(absent)}; no match was computed"]
+    else:
+        found = key_match_profile(raw_registry, raw_actions, registry_key, action_key).first()
+        lines += [
+            f"Action rows with a key: {found['total']:,}",
+            f"Matched: {found['matched']:,} ({found['match_rate']:.1%})",
+            f"Unmatched: {found['unmatched']:,}",
+        ]
+    return raw_registry.sparkSession.createDataFrame(list(enumerate(lines)), "line int, text string")

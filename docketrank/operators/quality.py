@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docketrank.functions import is_nonblank
+from docketrank.functions import implausible, is_nonblank
 from docketrank.operators.staging import raw_column
 from docketrank.sources.schemas import NO_REGION
 
@@ -32,38 +32,52 @@ def quality_report(
 ) -> DataFrame:
     """The documented checks as rows of (check, result).
 
-    Each part is one scan with global sums; only the distinct counts shuffle.
+    The log is scanned four times: raw once; the fact once, grouped by identifier with the other
+    figures added up beside it; the keys of both extracts once each, in one frame with flags that
+    answers every question about keys. Everything combines before it is shuffled.
     """
 
     def tally(condition):
-        return F.sum(F.when(condition, 1).otherwise(0))
+        return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0))
 
     key_parts = raw_actions.agg(
         F.count("*").alias("action_rows"),
-        F.coalesce(tally(~F.coalesce(is_nonblank(raw_column("WDID")), F.lit(False))), F.lit(0)).alias("key_missing"),
+        tally(~F.coalesce(is_nonblank(raw_column("WDID")), F.lit(False))).alias("key_missing"),
     )
     assessed, paid = F.col("total_assessment_amount"), F.col("total_paid_completed")
-    fact_parts = fact.agg(
-        F.count("*").alias("fact_rows"),
-        F.coalesce(tally(assessed == 0), F.lit(0)).alias("zero_assessment"),
-        F.coalesce(tally(F.col("outstanding_amount") == 0), F.lit(0)).alias("zero_outstanding"),
-        F.coalesce(tally(assessed < paid), F.lit(0)).alias("negative_before_floor"),
+    by_id = fact.groupBy("enforcement_eid").agg(
+        F.count("*").alias("rows"),
+        tally(assessed == 0).alias("zero_assessment"),
+        tally(F.col("outstanding_amount") == 0).alias("zero_outstanding"),
+        tally(assessed < paid).alias("negative_before_floor"),
+        tally(implausible(assessed) | implausible(paid)).alias("implausible_amounts"),
     )
-    regions = facilities.where(F.col("region") != NO_REGION).agg(F.countDistinct("region").alias("region_codes"))
-    without_actions = (
-        facilities.where(F.col("region") == NO_REGION)
-        .join(actions.select("wdid").distinct(), "wdid", "left_anti")
-        .agg(F.count("*").alias("registry_only_without_region"))
+    fact_parts = by_id.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("fact_rows"),
+        *(
+            F.coalesce(F.sum(name), F.lit(0)).alias(name)
+            for name in ("zero_assessment", "zero_outstanding", "negative_before_floor", "implausible_amounts")
+        ),
+        tally(F.col("enforcement_eid").isNotNull() & (F.col("rows") > 1)).alias("duplicate_ids"),
     )
-    duplicates = duplicate_ids(fact).agg(F.count("*").alias("duplicate_ids"))
-    unregistered = (
-        actions.select("wdid")
-        .distinct()
-        .join(registry.select("wdid").distinct(), "wdid", "left_anti")
-        .agg(F.count("*").alias("facilities_without_registry_row"))
+    flagged = registry.select("wdid", F.lit(1).alias("r"), F.lit(0).alias("a")).unionAll(
+        actions.select("wdid", F.lit(0).alias("r"), F.lit(1).alias("a"))
     )
-    parts = (key_parts, fact_parts, regions, without_actions, duplicates, unregistered)
-    return reduce(DataFrame.unionByName, (_checks(part) for part in parts))
+    keys = flagged.groupBy("wdid").agg(F.max("r").alias("registered"), F.max("a").alias("acted"))
+    # Every facility is a key of an extract, so the facilities' join keeps all keys.
+    facility_parts = (
+        keys.join(facilities.select("wdid", "region"), "wdid", "left")
+        .groupBy("region")
+        .agg(tally(F.col("acted") == 0).alias("idle"), tally(F.col("registered") == 0).alias("unregistered"))
+        .agg(
+            tally(F.col("region") != NO_REGION).alias("region_codes"),
+            F.coalesce(F.sum(F.when(F.col("region") == NO_REGION, F.col("idle"))), F.lit(0)).alias(
+                "registry_only_without_region"
+            ),
+            F.coalesce(F.sum("unregistered"), F.lit(0)).alias("facilities_without_registry_row"),
+        )
+    )
+    return reduce(DataFrame.unionByName, (_checks(part) for part in (key_parts, fact_parts, facility_parts)))
 
 
 def layer_row_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

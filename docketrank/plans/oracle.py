@@ -333,6 +333,8 @@ UNION ALL SELECT 'fact_rows', COUNT(*) FROM fact
 UNION ALL SELECT 'zero_assessment', COUNT(*) FROM fact WHERE total_assessment_amount = 0
 UNION ALL SELECT 'zero_outstanding', COUNT(*) FROM fact WHERE outstanding_amount = 0
 UNION ALL SELECT 'negative_before_floor', COUNT(*) FROM fact WHERE total_assessment_amount < total_paid_completed
+UNION ALL SELECT 'implausible_amounts', COUNT(*) FROM fact
+          WHERE abs(total_assessment_amount) >= 1e27 OR abs(total_paid_completed) >= 1e27
 UNION ALL SELECT 'region_codes', COUNT(DISTINCT region) FROM facilities WHERE region <> 'NA'
 UNION ALL SELECT 'registry_only_without_region', COUNT(*) FROM facilities
           WHERE region = 'NA' AND wdid NOT IN (SELECT wdid FROM actions)

@@ -16,8 +16,8 @@ from docketrank.operators import (
     dim_action_type,
     dim_facility,
     fact_actions,
-    key_match_profile,
     mart_facility_monthly,
+    match_report,
     priority_facilities,
     schema_snapshot,
     stage_actions,
@@ -29,10 +29,12 @@ from docketrank.sources import (
     export_ranked_csv,
     export_schema,
     read_text_csv,
+    read_parquet_layer,
     read_text_csv_flagged,
     replace_parquet,
+    require_rows,
 )
-from docketrank.sources.csv import CORRUPT_COLUMN, MissingExtract
+from docketrank.sources.csv import CORRUPT_COLUMN
 from docketrank.sources.schemas import ACTION_COLUMNS, REGISTRY_COLUMNS
 
 # Names of the written layers.
@@ -56,16 +58,21 @@ class Refresh:
 
     def read(self, layer: str) -> DataFrame:
         """A written layer; of the landed action log only the rows that were not rejected."""
-        rows = self.spark.read.parquet(self.path(layer))
+        rows = read_parquet_layer(self.spark, self.path(layer))
         if layer == RAW_ACTIONS:
-            return rows.where(F.col("rejected") == "false").drop(CORRUPT_COLUMN, "rejected")
+            return rows.where(F.col("rejected") == "false").drop(CORRUPT_COLUMN, "rejected", "cut")
         return rows
 
     def rejects(self) -> DataFrame:
         """Rows of the action log with too few fields, as raw records."""
-        landed = self.spark.read.parquet(self.path(RAW_ACTIONS))
+        landed = read_parquet_layer(self.spark, self.path(RAW_ACTIONS))
         return landed.where(F.col("rejected") == "true").select(F.col(CORRUPT_COLUMN).alias("record"))
 
+    def cut_rows(self) -> DataFrame:
+        """Kept rows of the action log that had too many fields, as raw records."""
+        landed = read_parquet_layer(self.spark, self.path(RAW_ACTIONS))
+        return landed.where((F.col("rejected") == "false") & F.col("cut")).select(F.col(CORRUPT_COLUMN).alias("record"))
+
     def _write(self, layer: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         observed = Observation(f"rows of {layer}")
         kept = F.sum(F.when(F.col("rejected"), 0).otherwise(1)) if "rejected" in df.columns else F.count(F.lit(1))
@@ -76,19 +83,22 @@ class Refresh:
         """Land both CSV extracts as text columns, each parsed once.
 
         Rejected rows of the action log go to a partition of their own, which later steps skip
-        by partition pruning.
+        by partition pruning. Both extracts have to have a usable row before any layer is touched.
+        Rows that were cut or rejected are counted beside the layers' rows.
         """
-        self._write(RAW_REGISTRY, read_text_csv(self.spark, registry_csv, REGISTRY_COLUMNS, multi_line))
+        registry = read_text_csv(self.spark, registry_csv, REGISTRY_COLUMNS, multi_line)
         actions = read_text_csv_flagged(self.spark, actions_csv, ACTION_COLUMNS, multi_line)
+        require_rows(registry, RAW_REGISTRY)
+        require_rows(actions.where(~F.col("rejected")), RAW_ACTIONS)
+        self._write(RAW_REGISTRY, registry)
         self._write(RAW_ACTIONS, actions, ["rejected"])
-        for layer in (RAW_REGISTRY, RAW_ACTIONS):
-            if self.rows[layer] == 0:
-                raise MissingExtract(f"{layer} has no rows")
+        for name, rows in (("rejected", self.rejects()), ("cut", self.cut_rows())):
+            self.rows[f"{RAW_ACTIONS}, {name}"] = rows.count()
         tables = {layer: self.read(layer) for layer in (RAW_REGISTRY, RAW_ACTIONS)}
         export_schema(schema_snapshot(self.spark, tables), f"{self.exports}/raw_schema")
 
     def profile(self) -> None:
-        report = key_match_profile(self.read(RAW_REGISTRY), self.read(RAW_ACTIONS))
+        report = match_report(self.read(RAW_REGISTRY), self.read(RAW_ACTIONS))
         export_match_report(report, f"{self.exports}/join_report")
 
     def model(self, two_digit_year: str = "literal") -> None:
@@ -107,11 +117,18 @@ class Refresh:
         self._write(RANKED, priority_facilities(self.read(FACT), self.read(FACILITIES), top))
         export_ranked_csv(self.read(RANKED), f"{self.exports}/{RANKED}")
 
-    def run(self, registry_csv: str, actions_csv: str) -> dict[str, int]:
+    def run(
+        self,
+        registry_csv: str,
+        actions_csv: str,
+        top: int = 25,
+        two_digit_year: str = "literal",
+        multi_line: bool | None = None,
+    ) -> dict[str, int]:
         """All steps in order; returns the rows of every layer."""
-        self.load(registry_csv, actions_csv)
+        self.load(registry_csv, actions_csv, multi_line)
         self.profile()
-        self.model()
+        self.model(two_digit_year)
         self.mart()
-        self.answer()
+        self.answer(top)
         return self.rows

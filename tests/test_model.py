@@ -102,15 +102,19 @@ def test_formality(actions):
         assert {k: v["is_formal"] for k, v in by_key(fact).items()} == expected
 
 
-@pytest.mark.parametrize("bound", [{}, {"max_rows": 1}, {"max_bytes": 10}])
-def test_lookup_join_keeps_every_row(spark, plan, bound):
+def test_lookup_join_keeps_every_row(spark):
     large = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 'k' || id % 50 END AS k")
-    lookup = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(40))], "k string, v int")
-    joined = ops.lookup_join(large, lookup, "k", spread_by="id", **bound)
+    lookup = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(40)), (None, 7), (None, 8)], "k string, v int")
+    joined = ops.lookup_join(large, lookup, "k")
     assert joined.columns == ["k", "id", "v"]
     plain = {r["id"]: r["v"] for r in large.join(lookup, "k", "left").collect()}
     assert {r["id"]: r["v"] for r in joined.collect()} == plain and len(plain) == 1000
-    assert ("_salt" in plan(joined)) == bool(bound)
+
+
+def test_lookup_with_a_doubled_key_fails(spark):
+    lookup = spark.createDataFrame([("a", 1), ("a", 1)], "k string, v int")
+    with pytest.raises(Exception, match="more than once: a"):
+        ops.lookup_join(spark.createDataFrame([("a",)], "k string"), lookup, "k").collect()
 
 
 def test_outstanding_is_floored_per_action(registry, actions):
@@ -195,7 +199,7 @@ def test_empty_inputs(registry, actions):
     mart = ops.mart_facility_monthly(fact, facilities)
     assert mart.count() == 0 and ops.kpi_totals(mart).first()["total_facilities"] == 0
     checks = {r["check"]: r["result"] for r in ops.quality_report(log, *staged, fact, facilities).collect()}
-    assert len(checks) == 10 and set(checks.values()) == {0}
+    assert len(checks) == 11 and set(checks.values()) == {0}
 
 
 def test_reports_keep_rank_order(registry, actions):
@@ -213,3 +217,10 @@ def test_reports_keep_rank_order(registry, actions):
 def test_duplicate_ids(spark):
     fact = spark.createDataFrame([("E1",), ("E1",), ("E2",), (None,), (None,)], "enforcement_eid string")
     assert [tuple(r) for r in ops.duplicate_ids(fact).collect()] == [("E1", 2)]
+
+
+def test_match_report_goes_on_without_a_key_column(registry, actions):
+    lines = [r["text"] for r in ops.match_report(registry([]), actions([action("a")])).orderBy("line").collect()]
+    assert "Registry columns" in lines and "  WDID" in lines and lines[-1] == "Unmatched: 1"
+    lines = [r["text"] for r in ops.match_report(registry([]).drop("wdid"), actions([action("a")])).orderBy("line").collect()]
+    assert lines[-1].startswith("Key column not found: wdid")

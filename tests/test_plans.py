@@ -65,10 +65,28 @@ def test_fact_needs_no_join_and_no_shuffle(landed, plan):
     assert exchanges(text) == 0 and "Join" not in text
 
 
-def test_facility_dimension_is_one_shuffle(landed, plan):
+def test_facility_dimension_shrinks_by_hash_before_anything_is_sorted(landed, plan):
     text = plan(ops.dim_facility(landed["registry"], landed["actions"]))
-    assert exchanges(text) == 1 and "Join" not in text
-    assert text.count("partial_min") > 0
+    assert exchanges(text) == 2 and "Join" not in text
+    first = text.rindex("Exchange ")  # the plan is printed from the top: the last exchange runs first
+    assert "Sort" not in text[first:] and "HashAggregate" in text[first:]
+
+
+def test_building_the_lookup_query_runs_no_job(spark, tables):
+    """None but those that read the files' schemas, which staging needs as well."""
+    jobs = {}
+    for name in ("stage_actions", "fact_actions_by_lookup"):
+        spark.sparkContext.setJobGroup(f"building {name}", name)
+        CATALOGUE[name](spark, tables)
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs["fact_actions_by_lookup"] == jobs["stage_actions"]
+
+
+def test_quality_report_scans_the_log_four_times(landed, plan):
+    raw = landed["actions"].withColumnRenamed("wdid", "WDID")
+    text = plan(ops.quality_report(raw, landed["registry"], landed["actions"], landed["fact"], landed["facilities"]))
+    assert text.count("FileScan") <= 5  # four of them of the log or the fact
 
 
 def test_mart_aggregates_before_it_joins(landed, plan):
