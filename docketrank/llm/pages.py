@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Fitted on about so many pages, dealt out by a hash.
 FIT_PAGES = 600
-ROUNDS, PAGES_A_STEP, RATE, SEED = 6, 32, 0.01, 7
+STEPS, PAGES_A_STEP, RATE, SEED = 240, 32, 0.01, 7
+# Training ends early once no block of a round is off by more.
+GOOD = 0.05
 HIDDEN = 12
 # A block is a vector: hashed tags and names of its path, hashed words, and four figures.
 PATH_SLOTS, WORD_SLOTS = 96, 32
@@ -224,14 +226,15 @@ class Labeller:
         both = np.concatenate([ahead, back[:, ::-1]], axis=2)
         return both, _sigmoid(both @ self.out["v"] + self.out["c"]), kept_a, kept_b
 
-    def gradients(self, x: np.ndarray, mask: np.ndarray, wanted: np.ndarray) -> list[dict[str, np.ndarray]]:
+    def gradients(self, x: np.ndarray, mask: np.ndarray, wanted: np.ndarray) -> tuple[list[dict[str, np.ndarray]], float]:
+        """Gradients of the mean log loss, and how far the worst block is off."""
         both, p, kept_a, kept_b = self._run(x, mask)
         d = (p - wanted) * mask / max(1.0, mask.sum())
         d_both = d[:, :, None] * self.out["v"]
         out = {"v": (d[:, :, None] * both).sum(axis=(0, 1)), "c": np.array([d.sum()])}
         ahead = _lstm_back(x, mask, self.ahead, kept_a, d_both[:, :, :HIDDEN])
         back = _lstm_back(x[:, ::-1], mask[:, ::-1], self.back, kept_b, d_both[:, ::-1, HIDDEN:])
-        return [ahead, back, out]
+        return [ahead, back, out], float(np.abs((p - wanted) * mask).max())
 
     def parameters(self) -> list[dict[str, np.ndarray]]:
         return [self.ahead, self.back, self.out]
@@ -275,15 +278,17 @@ def train(pages: list[list[Block]]) -> Labeller:
     groups = [range(a, min(a + PAGES_A_STEP, len(pages))) for a in range(0, len(pages), PAGES_A_STEP)]
     first = [{k: np.zeros_like(v) for k, v in part.items()} for part in model.parameters()]
     second = [{k: np.zeros_like(v) for k, v in part.items()} for part in model.parameters()]
-    step = 0
-    for _ in range(ROUNDS):
+    step, worst = 0, 1.0
+    while groups and step < STEPS and worst > GOOD:
+        worst = 0.0
         for g in rng.permutation(len(groups)):
             x, mask = padded([rows[i] for i in groups[g]])
             y = np.zeros(mask.shape)
             for r, i in enumerate(groups[g]):
                 y[r, : len(wanted[i])] = wanted[i]
             step += 1
-            grads = model.gradients(x, mask, y)
+            grads, off = model.gradients(x, mask, y)
+            worst = max(worst, off)
             for part, grad, m1, m2 in zip(model.parameters(), grads, first, second, strict=True):
                 for k, d in grad.items():
                     m1[k] = 0.9 * m1[k] + 0.1 * d

@@ -21,12 +21,14 @@ def test_phrases_and_spans(documents):
         (5, " ".join(words[::-1])),
         (6, "GENERAL\nPUBLIC license"),
         (7, "Licensed under CC BY-NC 4.0."),
+        (9, " ".join(words[:14] + words[15:])),  # a word less
         (8, "mit Ｌicense mit licensé"),
     ]
     found = scanned(documents(rows))
     assert (found[1]["n_base"], found[1]["first_word"], found[1]["last_word"], found[1]["base_labels"]) == (3, 1, 7, "mit")
     assert (found[2]["labels"], found[2]["score"], found[2]["base_labels"]) == ("apache", 1.0, "")
-    assert found[3]["labels"] == "apache" and 0.75 <= found[3]["score"] < 1
+    assert (found[3]["labels"], found[3]["n_spans"]) == ("apache", 1)
+    assert found[9]["labels"] == "apache" and 0.75 <= found[9]["score"] < 1
     assert found[4]["labels"] == found[5]["labels"] == "" and found[4]["score"] == 0
     assert found[6]["base_labels"] == "gpl" and found[6]["score"] == licenses.PHRASE_SCORE
     assert found[7]["labels"] == "cc" and found[7]["n_base"] == 0
