@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docketrank import functions as fx, operators as ops
 from docketrank.functions.dates import ACTION_DATE_FLOOR
+from docketrank.plans import refresh
 from docketrank.plans.layers import Layers
 from docketrank.session import apply_settings
+from docketrank.sources import csv_records, parse_csv_records
+from docketrank.sources.schemas import ACTION_COLUMNS, REGISTRY_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,6 +127,33 @@ def stage_actions(layers: Layers) -> DataFrame:
     return layers.actions
 
 
+def csv_round_trip(layers: Layers) -> DataFrame:
+    """The whole registry written as CSV records and read back strictly, then staged."""
+    return ops.stage_registry(parse_csv_records(csv_records(layers.raw_registry), REGISTRY_COLUMNS))
+
+
+def csv_tolerant_round_trip(layers: Layers) -> DataFrame:
+    """The whole action log as CSV records with a short and a long one beside each, then staged.
+
+    The short ones must go, the surplus of the long ones too; the rest comes back as it was.
+    """
+    records = csv_records(layers.raw_actions)
+    kinds = F.array(F.col("record"), F.concat("record", F.lit(",surplus")), F.lit("short,record"))
+    read = parse_csv_records(records.select(F.explode(kinds).alias("record")), ACTION_COLUMNS, tolerant=True)
+    return ops.stage_actions(read.distinct())
+
+
+def display_texts(layers: Layers) -> DataFrame:
+    """Report texts of the mart's sums that no other report shows."""
+    totals = layers.mart.groupBy("wdid").agg(F.sum("enforcement_count").cast("long").alias("actions"))
+    return totals.select(
+        "wdid",
+        fx.millions_text(F.col("actions") * F.lit(1_000_000.0)).alias("millions"),
+        fx.count_text(F.col("actions") * 1000).alias("thousands"),
+        fx.percent_text(F.col("actions") / F.lit(8.0)).alias("eighths"),
+    )
+
+
 def key_spine(layers: Layers) -> DataFrame:
     return ops.key_spine(layers.registry, layers.actions)
 
@@ -218,22 +248,22 @@ def key_match_profile(layers: Layers) -> DataFrame:
 def layer_row_counts(layers: Layers) -> DataFrame:
     return ops.layer_row_counts(
         {
-            "raw_permits_orders": layers.raw_registry,
-            "raw_enforcement_actions": layers.raw_actions,
-            "stg_permits": layers.registry,
-            "stg_enforcement": layers.actions,
-            "dim_facility": layers.facilities,
-            "dim_action_type": layers.action_types,
-            "fact_enforcement": layers.fact,
-            "mart_facility_monthly": layers.mart,
-            "priority_facilities": layers.ranked,
+            refresh.RAW_REGISTRY: layers.raw_registry,
+            refresh.RAW_ACTIONS: layers.raw_actions,
+            refresh.STAGED_REGISTRY: layers.registry,
+            refresh.STAGED_ACTIONS: layers.actions,
+            refresh.FACILITIES: layers.facilities,
+            refresh.ACTION_TYPES: layers.action_types,
+            refresh.FACT: layers.fact,
+            refresh.MART: layers.mart,
+            refresh.RANKED: layers.ranked,
         }
     )
 
 
 def schema_snapshot(layers: Layers) -> DataFrame:
     """What the load step reports: columns and row count of both raw tables."""
-    tables = {"raw_permits_orders": layers.raw_registry, "raw_enforcement_actions": layers.raw_actions}
+    tables = {refresh.RAW_REGISTRY: layers.raw_registry, refresh.RAW_ACTIONS: layers.raw_actions}
     counts = ops.layer_row_counts(tables).withColumnRenamed("layer", "table")
     return ops.schema_snapshot(layers.raw_actions.sparkSession, tables).join(counts, "table")
 
@@ -261,6 +291,9 @@ _QUERIES = (
     region_parent_label,
     stage_registry,
     stage_actions,
+    csv_round_trip,
+    csv_tolerant_round_trip,
+    display_texts,
     key_spine,
     registry_representative,
     actions_representative,

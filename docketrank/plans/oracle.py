@@ -6,7 +6,31 @@ the typed value each row must come back with. The two sides share no cleaning lo
 
 from __future__ import annotations
 
-from docketrank.sources.schemas import ACTION_COLUMNS, OFFICE_LABELS, PARENT_LABELS, REGISTRY_COLUMNS
+from docketrank.sources.schemas import ACTION_COLUMNS, REGISTRY_COLUMNS
+
+# Fixed values, written out once more so that a wrong label on the other side shows.
+OFFICE_LABELS = {
+    "1": "1 - North Coast",
+    "2": "2 - San Francisco Bay",
+    "3": "3 - Central Coast",
+    "4": "4 - Los Angeles",
+    "5S": "5S - Central Valley (Sacramento)",
+    "5F": "5F - Central Valley (Fresno)",
+    "5R": "5R - Central Valley (Redding)",
+    "6A": "6A - Lahontan (South Lake Tahoe)",
+    "6B": "6B - Lahontan (Victorville)",
+    "7": "7 - Colorado River",
+    "8": "8 - Santa Ana",
+    "9": "9 - San Diego",
+}
+PARENT_LABELS = {
+    **OFFICE_LABELS,
+    "5S": "5 - Central Valley",
+    "5F": "5 - Central Valley",
+    "5R": "5 - Central Valley",
+    "6A": "6 - Lahontan",
+    "6B": "6 - Lahontan",
+}
 
 _REGION_LIST = "['1','2','3','4','5S','5F','5R','6A','6B','7','8','9','NA']"
 
@@ -345,3 +369,13 @@ UNION ALL SELECT 'facilities_without_registry_row', COUNT(DISTINCT wdid) FROM ac
     "duplicate_ids": f"""{_with(*_UP_TO_ACTIONS)}
 SELECT enforcement_eid, COUNT(*) AS occurrences FROM actions GROUP BY enforcement_eid HAVING COUNT(*) > 1""",
 }
+# A CSV file doesn't tell an empty text from none: both are read as NULL.
+ORACLE["csv_round_trip"] = f"""SELECT * REPLACE (nullif(place_type, '') AS place_type,
+       nullif(facility_name, '') AS facility_name) FROM ({ORACLE["stage_registry"]}) staged"""
+ORACLE["csv_tolerant_round_trip"] = f"""SELECT * REPLACE (nullif(facility_name, '') AS facility_name,
+       nullif(enforcement_action_type, '') AS enforcement_action_type) FROM ({ORACLE["stage_actions"]}) staged"""
+ORACLE["display_texts"] = f"""WITH counted AS (
+  SELECT wdid, CAST(SUM(enforcement_count) AS BIGINT) AS actions FROM ({ORACLE["mart_monthly"]}) mart GROUP BY wdid)
+SELECT wdid, '$' || actions || '.0M' AS millions, actions || ',000' AS thousands,
+       (100 * actions // 8) || CASE WHEN actions % 2 = 0 THEN '.0%' ELSE '.5%' END AS eighths
+FROM counted"""

@@ -10,8 +10,10 @@ from docketrank.sources.catalog import (
 )
 from docketrank.sources.csv import (
     MissingExtract,
+    csv_records,
     header_columns,
     line_breaks_by_file,
+    parse_csv_records,
     read_text_csv,
     read_text_csv_flagged,
     read_text_csv_tolerant,
@@ -29,6 +31,7 @@ from docketrank.sources.sinks import (
 
 __all__ = [
     "MissingExtract",
+    "csv_records",
     "describe",
     "export_csv",
     "export_match_report",
@@ -36,6 +39,7 @@ __all__ = [
     "export_schema",
     "header_columns",
     "line_breaks_by_file",
+    "parse_csv_records",
     "read_mart",
     "read_parquet_layer",
     "read_ranked",

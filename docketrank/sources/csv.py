@@ -120,6 +120,27 @@ def read_text_csv_tolerant(
     return kept, rejects
 
 
+def csv_records(rows: DataFrame) -> DataFrame:
+    """Each row as one CSV record in the dialect of the extracts (column ``record``)."""
+    options = {name: value for name, value in _DIALECT.items() if name != "header"}
+    return rows.select(F.to_csv(F.struct("*"), options).alias("record"))
+
+
+def parse_csv_records(records: DataFrame, columns: tuple[str, ...], tolerant: bool = False) -> DataFrame:
+    """Columns of text from column ``record``, by the rules of the readers above.
+
+    A malformed record fails; with ``tolerant`` a short one is left out and a long one cut.
+    """
+    mode = "PERMISSIVE" if tolerant else "FAILFAST"
+    options = {**_DIALECT, "header": "false", "mode": mode, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    names = ", ".join(f"`{name}` STRING" for name in (*columns, *([CORRUPT_COLUMN] if tolerant else [])))
+    rows = records.select(F.from_csv("record", names, options).alias("row")).select("row.*")
+    if not tolerant:
+        return rows
+    complete = F.coalesce(_field_count(F.col(CORRUPT_COLUMN)) >= len(columns), F.lit(True))
+    return rows.where(complete).drop(CORRUPT_COLUMN)
+
+
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     """Stop early on an empty extract; stops at the first row it finds."""
     if df.isEmpty():
