@@ -331,4 +331,6 @@ def _over_tables(build: Callable[[Layers], DataFrame]) -> Query:
     return query
 
 
+# Queries on any pair of raw extracts, and on the extracts derived from the tables of a folder.
+BUILDS: dict[str, Callable[[Layers], DataFrame]] = {build.__name__: build for build in _QUERIES}
 CATALOGUE: dict[str, Query] = {build.__name__: _over_tables(build) for build in _QUERIES}
