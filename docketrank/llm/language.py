@@ -217,8 +217,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.select(F.struct("*").alias("row"), found(F.col(text)).alias("found"))
 
 
-def keep_known(docs: DataFrame, model: Model, least_share: float = 0.5) -> DataFrame:
-    """The rows whose text has a main language, with at least half of the letters in it.
+def keep_known(docs: DataFrame, model: Model, least_share: float = 0.4) -> DataFrame:
+    """The rows whose text has a main language, with at least 40 % of the letters in it.
 
     Column ``lang`` takes the language found; the other columns stay.
     """

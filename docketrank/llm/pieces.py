@@ -223,29 +223,25 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(1, -(-total // GROUP_CHARS))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # The group follows from the row's values, so it is the same whenever a row is computed again; the
+    # number only tells rows of equal values apart.
     dealt = rows.withColumn("row", F.monotonically_increasing_id()).withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"), F.lit(0))
+        "part", F.coalesce(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"), F.lit(0))
     )
     # Both uses of the words below ask for the same columns without a filter, so that one shuffle
     # of the texts serves both.
     split = dealt.repartition("part").select("part", "row", "doc_id", words_of(F.col("text")).alias("words"))
-    placed = split.select("part", "row", F.posexplode_outer("words").alias("place", "word"))
-    by_word = placed.groupBy("part", "row", "word").agg(F.collect_list("place").alias("places"))
+    placed = split.select("part", "row", "doc_id", F.posexplode_outer("words").alias("place", "word"))
+    by_word = placed.groupBy("part", "row", "doc_id", "word").agg(F.collect_list("place").alias("places"))
     distinct = by_word.groupBy("part", "word").agg(F.count("*").alias("rows")).where("word IS NOT NULL AND rows > 0")
     coded = encode_words(distinct.select("part", "word"), ["part"], model, spark)
     word_ids = F.coalesce("ids", _byte_ids(F.col("word"), model.first_byte))
-    found = by_word.join(coded, ["part", "word"], "left").where("word IS NOT NULL").select("part", "row", "places", word_ids.alias("ids"))
-    ids = found.groupBy("part", "row").agg(
-        F.array_sort(
-            F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("place"), F.col("ids").alias("ids")))))
-        ).alias("parts")
-    )
-    coded_rows = ids.select("part", "row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
-    return (
-        split.select("part", "row", "doc_id")
-        .join(coded_rows, ["part", "row"], "left")
-        .select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    found = by_word.join(coded, ["part", "word"], "left").select("part", "row", "doc_id", "word", "places", word_ids.alias("ids"))
+    at_places = F.transform("places", lambda p: F.struct(p.alias("place"), F.col("ids").alias("ids")))
+    ids = found.groupBy("part", "row", "doc_id").agg(
+        F.array_sort(F.flatten(F.collect_list(F.when(F.col("word").isNotNull(), at_places)))).alias("parts")
     )
+    return ids.select("doc_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
 def decode(coded: DataFrame, model: PieceModel, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
