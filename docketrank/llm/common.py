@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,10 +20,27 @@ ARROW_SETTINGS = {
 }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, in case they can't import it.
+
+    As ``--py-files`` would; where the package itself came as an archive there is nothing to do.
+    """
+    context, root = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "_docketrank_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="docketrank-")) / f"docketrank-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as files:
+        for source in sorted(root.rglob("*.py")):
+            files.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._docketrank_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the bounds of Arrow batches on a session somebody else made."""
+    """Set the bounds of Arrow batches on a session somebody else made, and send it this package."""
     for key, value in ARROW_SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
