@@ -18,10 +18,11 @@ BLOCK = 1500
 FIT_ROWS, MAX_CENTRES, FIT_ROUNDS = 20_000, 1024, 8
 # Every vector lies in the shards of so many nearest centres.
 OVERLAP = 2
-# Graph: neighbours kept, candidates looked at, the factor of robust pruning (on angles).
-DEGREE, CANDIDATES, ALPHA = 16, 48, 1.2
-# Search: beam to begin with; while the range expands, nodes down to this cosine lead on.
-BEAM, LEAD = 8, 0.95
+# Graph: neighbours kept, candidates looked at, the factor of robust pruning (on angles), and among
+# how many near nodes one is chosen that leads to a node which nothing else leads to.
+DEGREE, CANDIDATES, ALPHA, HOOKS = 16, 48, 1.2, 4
+# Search: beam to begin with, entry points; while the range expands, nodes down to this cosine lead on.
+BEAM, ENTRIES, LEAD = 32, 16, 0.95
 # Audit: about one query in so many is compared with everything; below this recall the beam doubles.
 AUDIT_EVERY, AUDIT_RECALL = 20, 0.99
 
@@ -80,10 +81,28 @@ def build_graph(units: np.ndarray) -> list[list[int]]:
         for other in neighbours:
             if node not in graph[other] and len(graph[other]) < 2 * DEGREE:
                 graph[other].append(node)
+    # What no walk from the medoids reaches hangs on one of the nearest nodes that a walk does.
+    lost = np.flatnonzero(~_reached(graph, medoids(units)))
+    there = np.setdiff1d(np.arange(n), lost)
+    for node in lost.tolist():
+        close = there[np.argpartition(-sims[node, there], min(HOOKS, len(there)) - 1)[:HOOKS]]
+        graph[min(close.tolist(), key=lambda x: len(graph[x]))].append(node)
     return graph
 
 
-def medoids(units: np.ndarray, how_many: int = 4) -> np.ndarray:
+def _reached(graph: list[list[int]], entry: np.ndarray) -> np.ndarray:
+    seen = np.zeros(len(graph), bool)
+    seen[entry] = True
+    waiting = entry.tolist()
+    while waiting:
+        for node in graph[waiting.pop()]:
+            if not seen[node]:
+                seen[node] = True
+                waiting.append(node)
+    return seen
+
+
+def medoids(units: np.ndarray, how_many: int = ENTRIES) -> np.ndarray:
     """Entry points: the vector nearest the mean, then each time the one farthest from those."""
     found = [int((units @ units.mean(axis=0)).argmax())]
     nearest = units @ units[found[0]]
@@ -94,12 +113,14 @@ def medoids(units: np.ndarray, how_many: int = 4) -> np.ndarray:
 
 
 def range_search(
-    units: np.ndarray, table: np.ndarray, queries: np.ndarray, beam: int, threshold: float = SIMILAR
+    units: np.ndarray, table: np.ndarray, queries: np.ndarray, beam: int, own: np.ndarray | None = None,
+    threshold: float = SIMILAR,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, vector) with cosine >= threshold that a search of the graph meets.
 
-    ``table`` has the neighbours of every vector, -1 for none. From the medoids each query walks
-    greedily with a beam; then the range expands: every vector met that is near enough leads on to
+    ``table`` has the neighbours of every vector, -1 for none. From the medoids, and from the
+    vector that it is itself (``own``) if the graph holds it, each query walks greedily with a
+    beam; then the range expands: every vector met that is near enough leads on to
     its neighbours, until nothing new is near.
     """
     n, n_queries = len(units), len(queries)
@@ -107,8 +128,13 @@ def range_search(
     entry = medoids(units)
     beam_ids = np.tile(entry, (n_queries, 1))
     beam_sims = queries @ units[entry].T
-    open_ = np.ones(beam_ids.shape, bool)
     seen[:, entry] = True
+    if own is not None:
+        sims = np.where(seen[np.arange(n_queries), own], -3.0, np.einsum("qd,qd->q", queries, units[own]))
+        seen[np.arange(n_queries), own] = True
+        beam_ids, beam_sims = np.column_stack([beam_ids, own]), np.column_stack([beam_sims, sims])
+    open_ = beam_sims > -3.0
+    beam = max(beam, beam_ids.shape[1])
     hits_q, hits_v, lead_q, lead_v = [], [], [], []
 
     def note(q: np.ndarray, v: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +142,7 @@ def range_search(
         hits_v.append(v[s >= threshold])
         return q[s >= LEAD], v[s >= LEAD]
 
-    q0 = np.repeat(np.arange(n_queries), len(entry))
+    q0 = np.repeat(np.arange(n_queries), beam_ids.shape[1])
     first = note(q0, beam_ids.ravel(), beam_sims.ravel())
     lead_q.append(first[0])
     lead_v.append(first[1])
@@ -172,7 +198,9 @@ def range_search(
     return np.concatenate(hits_q), np.concatenate(hits_v)
 
 
-def audited_search(units: np.ndarray, table: np.ndarray, queries: np.ndarray, audited: np.ndarray):
+def audited_search(
+    units: np.ndarray, table: np.ndarray, queries: np.ndarray, audited: np.ndarray, own: np.ndarray | None = None
+):
     """Range search whose beam doubles until the audited queries miss next to nothing.
 
     Returns the pairs, how many links the audited queries have, and how many were found.
@@ -180,7 +208,7 @@ def audited_search(units: np.ndarray, table: np.ndarray, queries: np.ndarray, au
     beam = min(BEAM, len(units))
     truth = queries[audited] @ units.T >= SIMILAR
     while True:
-        q, v = range_search(units, table, queries, beam)
+        q, v = range_search(units, table, queries, beam, own)
         found = np.zeros((len(queries), len(units)), bool)
         found[q, v] = True
         met = int((found[audited] & truth).sum())
@@ -226,7 +254,9 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
         table[i, : len(p)] = p
     units, queries = _matrix(index["unit"]), _matrix(asked["unit"])
     audited = np.flatnonzero(asked_ids % AUDIT_EVERY == 0)
-    q, v, links, met = audited_search(units, table, queries, audited)
+    # Within a block every query is a node of the graph; across blocks it has to be led there.
+    own = np.arange(len(ids)) if low == high else None
+    q, v, links, met = audited_search(units, table, queries, audited, own)
     if low == high:
         # A search may meet a pair from one side only.
         a, b = np.minimum(q, v), np.maximum(q, v)
@@ -244,27 +274,24 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
     )
     q, v = q[exact >= SIMILAR], v[exact >= SIMILAR]
     counts: dict[int, int] = {}
-    for nodes, others in (
+    for linked, others in (
         (asked_ids[q], index["copies"].to_numpy()[v]),
         (ids[v], asked["copies"].to_numpy()[q]),
     ):
-        unique, place = np.unique(nodes, return_inverse=True)
+        unique, place = np.unique(linked, return_inverse=True)
         for node, total in zip(unique.tolist(), np.bincount(place, weights=others, minlength=len(unique)), strict=True):
             counts[node] = counts.get(node, 0) + int(total)
-    head: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while head.get(x, x) != x:
-            head[x] = head.get(head[x], head[x])
-            x = head[x]
-        return x
-
-    edges = []
-    for x, y in zip(asked_ids[q].tolist(), ids[v].tolist(), strict=True):
-        x, y = root(x), root(y)
-        if x != y:
-            head[max(x, y)] = min(x, y)
-            edges.append((1, x, y))
+    nodes, place = np.unique(np.concatenate([asked_ids[q], ids[v]]), return_inverse=True)
+    left, right, label = place[: len(q)], place[len(q) :], np.arange(len(nodes))
+    while len(left):
+        x, y = label[left], label[right]
+        apart = x != y
+        left, right, x, y = left[apart], right[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+    member = np.flatnonzero(label != np.arange(len(nodes)))
+    edges = [(1, x, y) for x, y in zip(nodes[member].tolist(), nodes[label[member]].tolist(), strict=True)]
     out = [(0, node, total) for node, total in counts.items()] + edges + [(2, links, met)]
     return pd.DataFrame(out, columns=["kind", "a", "b"]).astype({"kind": "int32", "a": "int64", "b": "int64"})
 
