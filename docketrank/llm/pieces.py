@@ -12,7 +12,7 @@ from docketrank.llm.common import let
 # Fixed value: what stands for a blank in pieces.
 BLANK = "▁"
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
-GROUP_CHARS = 8_000_000
+GROUP_CHARS = 2_000_000
 # Score of a character without a piece, below the least score of the table.
 UNKNOWN_BELOW = 10.0
 
@@ -220,6 +220,9 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     spark = docs.sparkSession
     # A join by (group, word) may rest on rows that are dealt by group alone.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    # A group's words and edges are gathered in hash tables, which its size bounds; by default such
+    # an aggregate begins to sort, and spill, all its rows after 128 keys.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(1, -(-total // GROUP_CHARS))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -230,7 +233,7 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     )
     # Both uses of the words below ask for the same columns without a filter, so that one shuffle
     # of the texts serves both.
-    split = dealt.repartition("part").select("part", "row", "doc_id", words_of(F.col("text")).alias("words"))
+    split = dealt.repartition(groups, "part").select("part", "row", "doc_id", words_of(F.col("text")).alias("words"))
     placed = split.select("part", "row", "doc_id", F.posexplode_outer("words").alias("place", "word"))
     by_word = placed.groupBy("part", "row", "doc_id", "word").agg(F.collect_list("place").alias("places"))
     distinct = by_word.groupBy("part", "word").agg(F.count("*").alias("rows")).where("word IS NOT NULL AND rows > 0")
