@@ -24,25 +24,36 @@ SEGMENTS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 BLOCK = 1024
 # Children of a node of the index.
 FANOUT = 8
+# Near copies by similarity: shingles of so many words, and the least Jaccard similarity of their
+# sets as a fraction (top, bottom). Common shingles are looked for in a sample of about so many
+# documents; of those that occur twice there, so many at most count as common.
+PASSAGE, ALIKE = 5, (4, 5)
+COMMON_ROWS, COMMON = 2_000, 20_000
 # Bounds of what one step of a search may hold: fingerprints indexed at once, possible hits.
 INDEX_AT_ONCE = 100_000
 HITS_AT_ONCE = 2_000_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The signed 64-bit SimHash of a text; zero if it has no word."""
+def shingle_hashes(text: str | None, shingle: int) -> list[int]:
+    """One hash per run of ``shingle`` words, of all words if there are fewer; none if there is no word."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[: len(words) - shingle + 1]
-        stops = ends[shingle - 1 :] - 1
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(joined, 42)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[: len(words) - shingle + 1]
+    stops = ends[shingle - 1 :] - 1
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The signed 64-bit SimHash of a text; zero if it has no word."""
+    hashes = shingle_hashes(text, shingle)
+    if not hashes:
+        return 0
     bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(ones, bitorder="little").view(np.int64)[0])
@@ -193,7 +204,121 @@ def fingerprint_links(groups: DataFrame) -> DataFrame:
     return tasks.mapInArrow(_search, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct shingles of ``PASSAGE`` words, as signed hashes in ascending order."""
+    return np.unique(np.array(shingle_hashes(text, PASSAGE), np.uint64).view(np.int64))
+
+
+def _digest(held: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(held.tobytes(), 42)).view(np.int64)) if len(held) else 0
+
+
+def rare_part(held: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles by which a set meets every set that is alike, the rarest ones.
+
+    Sets that are alike share ``ALIKE`` of either, so of the rest and one more of each, both taken
+    by one order of all shingles, at least one is shared. The order, from rare to common, only
+    decides how many others meet there, not whether a pair does.
+    """
+    size = len(held)
+    take = size - -(-ALIKE[0] * size // ALIKE[1]) + 1 if size else 0
+    weight = np.zeros(size, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, held), len(common) - 1)
+        weight = np.where(common[at] == held, counts[at], 0)
+    return held[np.lexsort((held, weight))[:take]]
+
+
+def _common_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur again and again in a bounded sample, ascending, and how often."""
+    share = min(1.0, COMMON_ROWS / max(1, docs.count()))
+    sample = docs.select(F.col(text).alias("text")).where(
+        F.pmod(F.xxhash64(F.col(text), F.monotonically_increasing_id()), F.lit(1_000_000)) < int(share * 1_000_000)
+    )
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"key": np.concatenate([shingle_set(x) for x in batch["text"]] or [np.zeros(0, np.int64)])})
+
+    found = sample.mapInPandas(each, "key long").groupBy("key").count().where("count > 1")
+    rows = found.orderBy(F.desc("count"), "key").limit(COMMON).toPandas().sort_values("key")
+    return rows["key"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Those of the pairs (fa, fb, ra, rb) whose sets are alike, by the sets themselves."""
+    wanted = pairs.select(F.col("fa").alias("fp"), F.col("ra").alias("rep"))
+    wanted = stored(wanted.union(pairs.select("fb", "rb")).distinct())
+    ids = wanted.select(F.col("rep").alias("w_id")).distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [shingle_set(x) for x in batch["text"]]
+            yield pd.DataFrame({"fp": pd.Series(map(_digest, held), dtype="int64"), "held": [x.tolist() for x in held]})
+
+    read = texts.join(ids, texts["doc_id"] == ids["w_id"], "left_semi").mapInPandas(sets, "fp long, held array<long>")
+    held = stored(read.join(wanted.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
+    left = held.select(F.col("fp").alias("fa"), F.col("held").alias("ha"))
+    right = held.select(F.col("fp").alias("fb"), F.col("held").alias("hb"))
+    shared, both = F.size(F.array_intersect("ha", "hb")), F.size("ha") + F.size("hb")
+    return pairs.join(left, "fa").join(right, "fb").where(shared * sum(ALIKE) >= both * ALIKE[0]).select("ra", "rb")
+
+
+def _similar(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Digests of all rows' shingle sets, and links between the smallest ids of digests that are alike.
+
+    Every pair of alike sets meets at a shingle of both rare parts. First every set is compared with
+    one other it meets; then all pairs that meet and aren't connected by that, so a large group of
+    near copies doesn't cost the square of its size where one of them is like the rest.
+    """
+    common, counts = _common_shingles(docs, text)
+    known = docs.sparkSession.sparkContext.broadcast((common, counts))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [shingle_set(x) for x in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "fp": pd.Series(map(_digest, held), dtype="int64"),
+                    "size": pd.Series(map(len, held), dtype="int32"),
+                    "rare": [rare_part(x, *known.value).tolist() for x in held],
+                }
+            )
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    prints = stored(texts.mapInPandas(read, "doc_id long, fp long, size int, rare array<long>"))
+    reps = stored(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    one = prints.join(reps, ["fp"]).where("doc_id = rep").select("fp", "rep", "size", F.explode("rare").alias("key"))
+    # Most shingles are in one text only: what meets nothing is left out before anything is joined.
+    met = one.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least <> most")
+    places = stored(one.join(stored(met.select("key")), "key").distinct())
+    fits = F.least("size", "h_size") * ALIKE[1] >= F.greatest("size", "h_size") * ALIKE[0]
+    heads = places.groupBy("key").agg(F.min(F.struct("rep", "fp", "size")).alias("head"))
+    first = (
+        places.join(heads, "key")
+        .select("fp", "rep", "size", F.col("head.fp").alias("h_fp"), F.col("head.rep").alias("h_rep"), F.col("head.size").alias("h_size"))
+        .where((F.col("fp") != F.col("h_fp")) & fits)
+        .groupBy("fp", "rep")
+        .agg(F.min(F.struct("h_rep", "h_fp")).alias("head"))
+    )
+    tried = stored(first.select(F.col("fp").alias("fa"), F.col("head.h_fp").alias("fb"), F.col("rep").alias("ra"), F.col("head.h_rep").alias("rb")))
+    links = stored(_alike(tried, docs, doc_id, text))
+    parts = stored(connected_components(links).withColumnsRenamed({"node": "p_rep", "component": "p_part"}))
+    split = places.join(parts, places["rep"] == parts["p_rep"], "left").select(
+        "key", "fp", "rep", "size", F.coalesce("p_part", "rep").alias("part")
+    )
+    open_keys = split.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most")
+    left = stored(split.join(open_keys.select("key"), "key"))
+    other = left.select("key", *(F.col(x).alias(f"h_{x}") for x in ("fp", "rep", "size", "part")))
+    rest = left.join(other, "key").where((F.col("rep") < F.col("h_rep")) & (F.col("part") != F.col("h_part")) & fits)
+    rest = rest.select(F.col("fp").alias("fa"), F.col("h_fp").alias("fb"), F.col("rep").alias("ra"), F.col("h_rep").alias("rb"))
+    more = _alike(stored(rest.distinct()), docs, doc_id, text)
+    return prints.select("doc_id", "fp"), links.union(more)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", by_similarity: bool = False) -> DataFrame:
     """``doc_id``, ``fp`` (signed long) and ``component_id`` of every row.
 
     Texts link if their fingerprints differ in at most four bits; ``component_id`` is the smallest
@@ -201,11 +326,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     link like any other. A row without id belongs to the component of its fingerprint's smallest
     id, if there is one, else to none, and links nothing. Repeated rows share a component. Equal
     fingerprints are merged before anything else, so a group of copies counts once.
+
+    ``by_similarity`` links texts instead whose sets of ``PASSAGE``-word shingles have a Jaccard
+    similarity of ``ALIKE`` or more, all of them; ``fp`` is then a digest of the set.
     """
-    prints = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint_of(F.col(text)).alias("fp")))
+    if by_similarity:
+        prints, links = _similar(docs, doc_id, text)
+    else:
+        prints = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint_of(F.col(text)).alias("fp")))
     groups = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
     groups = stored(groups)
-    components = connected_components(fingerprint_links(groups.select("fp", "rep")))
+    components = connected_components(links if by_similarity else fingerprint_links(groups.select("fp", "rep")))
     joined = groups.join(components, groups["rep"] == components["node"], "left")
     shared = joined.where("n > 1 OR component IS NOT NULL").select(
         F.col("fp").alias("g_fp"), F.coalesce("component", "rep").alias("component")
@@ -215,13 +346,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, by_similarity: bool = False) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest id; columns unchanged.
 
     Of rows that repeat an id one stays; rows without id stay, as nothing tells them apart.
     The ids to drop are stored first: what joins the texts is a small table of known size.
     """
-    found = stored(near_duplicates(docs))
+    found = stored(near_duplicates(docs, by_similarity=by_similarity))
     drop = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct())
     again = stored(
         found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1").drop("count")
