@@ -21,11 +21,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?i:password|passwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_/+.-]{8,128})"
+    r"|(?i:password|passwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_/+.-]{8,}+)"
 )
 
-# Score before context, and words near a span that raise it. Spans of the base kinds always stay;
-# the method's own need ``ENOUGH``.
+# Score before context, and words near a span that raise it. A span matches a full pattern (and its
+# checksum, where there is one), so it stays whatever its score.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "secret": 0.6}
 CONTEXT = {
     "email": ("mail", "contact", "write", "address"),
@@ -35,9 +35,9 @@ CONTEXT = {
     "iban": ("iban", "bank", "account", "konto", "transfer"),
     "secret": ("key", "password", "token", "secret", "login"),
 }
-# Words that speak against every kind.
+# Words that lower the score of every kind.
 AGAINST = ("example", "version", "isbn", "order", "serial", "sample")
-NEAR, RAISE, LOWER, ENOUGH = 40, 0.15, 0.3, 0.5
+NEAR, RAISE, LOWER = 40, 0.15, 0.3
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -121,8 +121,7 @@ def find_spans(text: str | None) -> list[Span]:
     if not text:
         return []
     spans = [Span(kind, start, end, _score(text, kind, start, end)) for kind, start, end in _proposed(text)]
-    kept = [s for s in spans if s.kind in KINDS[:4] or s.score >= ENOUGH]
-    return sorted(kept, key=lambda s: (s.start, KINDS.index(s.kind)))
+    return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
 def mask(text: str | None) -> str | None:
