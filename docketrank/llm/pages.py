@@ -25,18 +25,20 @@ WIDTH = PATH_SLOTS + WORD_SLOTS + 4
 CELLS = 20_000
 
 # Elements whose content is no text of the page; those that don't end a block; those
-# without content; those that a new block closes; and those that it closes them within.
+# whose classes describe the whole page; those without content; those that a new block closes; and those
+# that it closes them within.
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong "
     "sub sup time tt u var wbr br img".split()
 )
+WHOLE_PAGE = ("html", "body")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
-# Names (of elements, classes, ids, roles) that stand for what isn't the article, and
-# for what holds it. They label the training blocks.
+# Names (of elements, whole classes, ids, roles) that stand for what isn't the article,
+# and for what holds it. They label the training blocks.
 BESIDE = frozenset(
     "nav navbar navigation menu header footer sidebar aside ad ads advert adverts advertisement banner sponsor cookie cookies "
     "consent notice notices alert popup modal form search login newsletter subscribe comment comments reply replies share "
@@ -46,13 +48,12 @@ ARTICLE = frozenset("article main content post entry story".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # tags and names from the outermost element inwards
+    path: tuple[str, ...]  # tags and names from the outermost element inwards, less those that say nothing here
     linked: int  # characters of the text inside links
 
 
@@ -61,11 +62,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
     A tag that is not inline ends a block. White space in a block is one blank; character
     references are decoded after the markup is gone. Markup that is left open or closed twice is
-    taken as browsers take it in the main cases; nothing here fails on broken pages.
+    taken as browsers take it in the main cases; nothing here fails on broken pages. Names in
+    ``BESIDE`` are left out of the path where their element holds the article (``_holders``).
     """
     page = page or ""
-    blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    found_blocks: list[tuple[str, tuple[int, ...], int]] = []
+    elements: list[tuple[str, ...]] = []
+    stack: list[tuple[str, int]] = []
     parts: list[str] = []
     links, linked, at = 0, 0, 0
 
@@ -73,7 +76,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            blocks.append(Block(text, tuple(name for _, names in stack for name in names), min(linked, len(text))))
+            found_blocks.append((text, tuple(element for _, element in stack), min(linked, len(text))))
         parts.clear()
         linked = 0
 
@@ -119,11 +122,38 @@ def leaf_blocks(page: str | None) -> list[Block]:
                         del stack[depth:]
                         break
             names = [tag]
-            for found in _NAMED.finditer(token[3]):
-                names += _NAME.findall((found[1] or found[2] or found[3] or "").lower())
-            stack.append((tag, tuple(names)))
+            if tag not in WHOLE_PAGE:
+                for found in _NAMED.finditer(token[3]):
+                    names += (found[1] or found[2] or found[3] or "").lower().split()
+            stack.append((tag, len(elements)))
+            elements.append(tuple(names))
     finish()
-    return blocks
+    for element in _holders(elements, found_blocks):
+        elements[element] = tuple(name for name in elements[element] if name not in BESIDE)
+    return [Block(text, tuple(name for e in within for name in elements[e]), n) for text, within, n in found_blocks]
+
+
+def _holders(elements: list[tuple[str, ...]], blocks: list[tuple[str, tuple[int, ...], int]]) -> list[int]:
+    """Elements with a name in ``BESIDE`` that hold the article all the same.
+
+    That is, more than half of the page's text, or at least half of its text in ``ARTICLE`` elements,
+    in such elements below them. An aside with a short article of its own holds less.
+    """
+    beside = {e for e, names in enumerate(elements) if not BESIDE.isdisjoint(names)}
+    if not beside:
+        return []
+    article = {e for e, names in enumerate(elements) if not ARTICLE.isdisjoint(names)}
+    held, below = dict.fromkeys(beside, 0), dict.fromkeys(beside, 0)
+    total = in_article = 0
+    for text, within, _ in blocks:
+        total += len(text)
+        innermost = max((place for place, e in enumerate(within) if e in article), default=-1)
+        in_article += len(text) if innermost >= 0 else 0
+        for place, element in enumerate(within):
+            if element in beside:
+                held[element] += len(text)
+                below[element] += len(text) if place < innermost else 0
+    return [e for e in beside if 2 * held[e] > total or 0 < in_article <= 2 * below[e]]
 
 
 def weak_label(path: tuple[str, ...], page_has_article: bool) -> bool:
@@ -315,7 +345,7 @@ def main_texts(pages: list[str | None], model: Labeller) -> list[str]:
     """The article of each page, its blocks joined by line ends; empty if there is none.
 
     Blocks the model takes for the article are checked: none inside an element that can't be one
-    (a menu, a form, a footer and so on) stays.
+    (a menu, a form, a footer and so on) stays, unless that element holds the article itself.
     """
     blocks = [leaf_blocks(page) for page in pages]
     labels = model.label(blocks)

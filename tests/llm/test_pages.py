@@ -86,3 +86,27 @@ def test_table(spark, model):
     assert {r["page_id"]: r["found"] for r in out} == {1: "", 2: "", None: "t", 3: "t"}
     empty = df.limit(0)
     assert empty.select(pages.main_text(empty["html"], pages.fit(empty))).count() == 0
+
+
+ARTICLE_HTML = "<article><h1>A long title of it</h1><p>Words of the article that go on for a while.</p><p>More of them here.</p></article>"
+ARTICLE_TEXT = "A long title of it\nWords of the article that go on for a while.\nMore of them here."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<html><body class='single no-sidebar'>{}</body></html>",
+        "<body class='banner form'>{}</body>",
+        "<body><main class='content has-banner'>{}</main></body>",
+        "<body><div id='article-with-comments'>{}</div></body>",
+        "<body><form action=x><nav>Home</nav>{}<footer>End</footer></form></body>",
+    ],
+)
+def test_names_around_the_article_do_not_drop_it(model, around):
+    assert pages.main_texts([around.format(ARTICLE_HTML)], model) == [ARTICLE_TEXT]
+
+
+def test_names_beside_the_article_still_count():
+    page = f"<body><form>{ARTICLE_HTML}<aside><article>Short teaser</article></aside><div class='big comments'>I disagree</div></form></body>"
+    beside = {b.text: not pages.BESIDE.isdisjoint(b.path) for b in pages.leaf_blocks(page)}
+    assert beside.pop("Short teaser") and beside.pop("I disagree") and not any(beside.values())
