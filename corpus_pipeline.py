@@ -25,9 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates by similarity (5-word shingles, Jaccard 0.8)."""
+    """One document of each group of near-duplicates, by the operator's own shingles and distance."""
     prepare(spark)
-    return simhash.keep_one(docs, by_similarity=True)
+    return simhash.keep_one(docs)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
