@@ -5,10 +5,8 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from docketrank.llm import pii, simhash
-from tests.llm.test_graph import components_of
 from tests.llm.test_packing import checked
 from tests.llm.test_quality import measures
-from tests.llm.test_simhash import alike, passages
 
 
 @pytest.fixture(scope="module")
@@ -84,11 +82,3 @@ def test_edge_tables(spark, tables, documents, edge_rows):
         out.count()
         if out.columns[:2] == ["doc_id", "text"]:
             assert out.columns == docs.columns
-
-
-def test_dedup_stage_by_similarity(stages):
-    """Near copies by 5-word shingles go, whatever their fingerprints; everything else stays."""
-    before, after = by_id(stages[2]), by_id(stages[3])
-    sets = {k: passages(r["text"]) for k, r in before.items()}
-    heads = components_of([(a, b) for a in sets for b in sets if b < a and alike(sets[a], sets[b])])
-    assert set(after) == {k for k in sets if heads.get(k, k) == k}

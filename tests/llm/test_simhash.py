@@ -106,35 +106,3 @@ def test_one_of_repeated_ids_stays(documents):
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents([]).limit(0)).count() == 0
     assert simhash.keep_one(documents([]).limit(0)).count() == 0
-
-
-def passages(text):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def alike(a, b):
-    return a == b or (bool(a and b) and 5 * len(a & b) >= 4 * len(a | b))
-
-
-def test_near_copies_by_similarity(documents):
-    """All pairs of Jaccard 0.8 or more link, whatever their fingerprints, and no others."""
-    rng = random.Random(3)
-    rows = []
-    for base in range(12):
-        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 60, 150, 400]))]
-        for copy in range(6):
-            changed = list(words)
-            for at in rng.sample(range(len(words)), copy * len(words) // 150):
-                changed[at] = f"x{rng.randrange(3000)}"
-            rows.append((len(rows), " ".join(["a line that all of the texts share", *changed])))
-    rows += [(900, None), (901, ""), (902, "short text"), (903, "Short  text"), (None, "short text"), (904, "other text")]
-    sets = {k: passages(t) for k, t in rows if k is not None}
-    pairs = [(a, b) for a in sets for b in sets if b < a and alike(sets[a], sets[b])]
-    prints = {k: plain_fingerprint(t) & (2**64 - 1) for k, t in rows}
-    assert sum((prints[a] ^ prints[b]).bit_count() > 4 for a, b in pairs) > len(pairs) // 3
-    heads = components_of(pairs)
-    found = simhash.near_duplicates(documents(rows), by_similarity=True).collect()
-    assert {r["doc_id"]: r["component_id"] for r in found if r["doc_id"] is not None} == {k: heads.get(k, k) for k in sets}
-    kept = simhash.keep_one(documents(rows), by_similarity=True).collect()
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [k for k in sets if heads.get(k, k) == k]
