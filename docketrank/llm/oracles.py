@@ -165,9 +165,86 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM counted GROUP BY conv_id
 """
 
+OP11 = r"""
+WITH plain AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+)
+SELECT doc_id, min(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+    doc_id = min(doc_id) OVER copies AS kept, sha256(text) AS text_sha256
+FROM plain WINDOW copies AS (PARTITION BY text)
+"""
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Trees of up to so many levels, level by level; a level with one node has no siblings and passes it up."""
+
+    def level(name: str, key: str) -> str:
+        return f"""{name} AS (
+            SELECT *, count(*) OVER (PARTITION BY {key}) > 1 AS several,
+                coalesce(string_agg(node, '') OVER (PARTITION BY {key}, r // 16 ORDER BY r
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(node, '') OVER (PARTITION BY {key}, r // 16 ORDER BY r
+                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS g
+            FROM {name}_nodes
+        )"""
+
+    def above(name: str, of: str, key: str) -> str:
+        return f"""{name}_nodes AS (
+            SELECT {key}, r // 16 AS r, CASE WHEN bool_or(several) THEN sha256(string_agg(node, '' ORDER BY r)) ELSE any_value(node) END AS node
+            FROM {of} GROUP BY {key}, r // 16
+        )"""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    # CRC-32 bit by bit, with the reversed polynomial 0xEDB88320.
+    crc = """xor(4294967295, list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+            lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+    parts = [
+        f"""rows AS (
+            SELECT doc_id, {leaf("text")} AS leaf, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+                {leaf(f"(CASE WHEN {crc} % 5 = 0 THEN translate(text, '{upper}', '{upper.lower()}') ELSE text END)")} AS again
+            FROM documents
+        )""",
+        "f0 AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, '' AS proof, again AS f FROM rows)",
+        "a0_nodes AS (SELECT s, r, leaf AS node FROM f0)",
+        level("a0", "s"),
+    ]
+    for k in range(1, levels):
+        parts += [above(f"a{k}", f"a{k - 1}", "s"), level(f"a{k}", "s")]
+    parts += [
+        above("subroots", f"a{levels - 1}", "s"),
+        "b0_nodes AS (SELECT 0 AS o, s AS r, node FROM subroots_nodes)",
+        level("b0", "o"),
+    ]
+    for k in range(1, levels):
+        parts += [above(f"b{k}", f"b{k - 1}", "o"), level(f"b{k}", "o")]
+    parts.append(above("roots", f"b{levels - 1}", "o"))
+    for k in range(2 * levels):
+        name, place = (f"a{k}", "f.r") if k < levels else (f"b{k - levels}", "f.s")
+        on = f"{'f.s = n.s AND' if k < levels else ''} {place} // {16 ** (k % levels)} = n.r"
+        parts.append(f"""f{k + 1} AS (
+            SELECT f.doc_id, f.leaf, f.s, f.r, CASE WHEN several THEN proof || l || g ELSE proof END AS proof,
+                CASE WHEN several THEN sha256(l || f || g) ELSE f END AS f
+            FROM f{k} f JOIN {name} n ON {on}
+        )""")
+    return f"""WITH {", ".join(parts)}
+    SELECT doc_id, leaf, t.node AS subroot, roots_nodes.node AS root, sha256(proof) AS proof_sha256, f AS folded_root,
+        f = roots_nodes.node AS verified
+    FROM f{2 * levels} f JOIN subroots_nodes t ON f.s = t.s, roots_nodes"""
+
+
 ORACLE: dict[str, str] = {
     "op2_embedding_dedup": OP2,
     "op3_quality_rules": OP3,
     "op7_license_scan": OP7,
     "op8_chat_format": OP8,
+    "op11_exact_dedup": OP11,
+    "op12_merkle_manifest": _merkle_sql(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docketrank.llm import chat, embeddings, language, licenses, packing, pages, pieces, pii, quality, simhash
+from docketrank.llm import chat, embeddings, language, licenses, manifest, packing, pages, pieces, pii, quality, recipes, simhash
 from docketrank.llm.common import prepare, read_table
 
 
@@ -114,6 +114,38 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(prepare(spark), folder, "documents"), packing.public_vocabulary())
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.exact_duplicates(read_table(prepare(spark), folder, "documents"))
+
+
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _lower_some(docs: DataFrame) -> dict[str, Column]:
+    """Texts of about a fifth of all documents with A-Z in lower case, all others as they are."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return {"text": F.when(chosen, F.translate(F.col("text"), upper, upper.lower())).otherwise(F.col("text"))}
+
+
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    made = manifest.manifest(docs, MANIFEST_COLUMNS, tampered=_lower_some)
+    steps = F.transform("proof", lambda step: F.concat(step["left"], step["right"]))
+    return made.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(steps, ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_rows(read_table(prepare(spark), folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -127,5 +159,7 @@ QUERIES = {
         op8_chat_format,
         op9_main_text,
         op10_packing,
+        op11_exact_dedup,
+        op12_merkle_manifest,
     )
 }
