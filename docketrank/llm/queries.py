@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docketrank.llm import chat, embeddings, language, licenses, manifest, packing, pages, pieces, pii, quality, recipes, simhash
-from docketrank.llm.common import prepare, read_table
+from docketrank.llm import chat, embeddings, language, licenses, manifest, packing, pages, periods, pieces, pii, quality, recipes, simhash
+from docketrank.llm.common import ASCII_SPACE, let, prepare, read_table, split_words
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,6 +146,50 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_rows(read_table(prepare(spark), folder, "documents"))
 
 
+def _partly_periodic(doc_id: Column, text: Column) -> Column:
+    """The words of a text, joined by blanks; in a tenth of all texts words from some place on repeat."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        begin = F.pmod(g, n)
+        period = F.lit(1).cast("long") + F.floor((n - begin) / (F.pmod(g, F.lit(8)) + 3)).cast("long")
+        return F.transform(
+            words, lambda word, i: F.when(i < begin, word).otherwise(F.get(words, (begin + F.pmod(i - begin, period)).cast("int")))
+        )
+
+    changed = let(split_words(text, ASCII_SPACE), lambda words: F.when(F.size(words) > 0, repeated(words)).otherwise(words))
+    return F.when(h % 10 == 0, F.array_join(changed, " ")).otherwise(text)
+
+
+def run_rows(docs: DataFrame) -> DataFrame:
+    found = periods.periodic_runs(docs.select("doc_id", _partly_periodic(F.col("doc_id"), F.col("text")).alias("text")))
+
+    def better(best: Column, run: Column) -> Column:
+        """Whether a run has the greater exponent; runs come by start and period, so of ties the first stays."""
+        return best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+
+    top = F.aggregate(
+        "runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda best, run: F.when(better(best, run), run).otherwise(best)
+    )
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    return found.select("doc_id", "runs", "collapsed", top.alias("top"), F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("listed")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.col("listed")).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_rows(read_table(prepare(spark), folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -161,5 +205,6 @@ QUERIES = {
         op10_packing,
         op11_exact_dedup,
         op12_merkle_manifest,
+        op13_periodic_runs,
     )
 }
