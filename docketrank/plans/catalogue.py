@@ -143,6 +143,17 @@ def csv_tolerant_round_trip(layers: Layers) -> DataFrame:
     return ops.stage_actions(read.distinct())
 
 
+def csv_repair_round_trip(layers: Layers) -> DataFrame:
+    """The whole action log as CSV records, each behind a line whose quote opens and doesn't close.
+
+    Every such pair looks like one record; the lines must come back, those without a key to go in staging.
+    """
+    records = csv_records(layers.raw_actions)
+    stray = F.lit('"12 outfall' + "," * (len(ACTION_COLUMNS) - 1))
+    swallowed = records.select(F.concat(stray, F.lit("\n"), "record").alias("record"))
+    return ops.stage_actions(parse_csv_records(swallowed, ACTION_COLUMNS, tolerant=True))
+
+
 def display_texts(layers: Layers) -> DataFrame:
     """Report texts of the mart's sums that no other report shows."""
     totals = layers.mart.groupBy("wdid").agg(F.sum("enforcement_count").cast("long").alias("actions"))
@@ -293,6 +304,7 @@ _QUERIES = (
     stage_actions,
     csv_round_trip,
     csv_tolerant_round_trip,
+    csv_repair_round_trip,
     display_texts,
     key_spine,
     registry_representative,

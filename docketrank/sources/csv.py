@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,7 +12,11 @@ from docketrank.sources.schemas import text_schema
 CORRUPT_COLUMN = "_corrupt_record"
 
 # RFC 4180: a quote inside a quoted field is doubled.
-_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+_RECORD = {"sep": ",", "quote": '"', "escape": '"'}
+_DIALECT = {"header": "true", **_RECORD}
+
+# A quote at the start of a field, looked for where well-formed quoted fields are gone.
+_OPEN_QUOTE = r'(?<![^,])"'
 
 
 class MissingExtract(RuntimeError):
@@ -30,10 +35,10 @@ def line_breaks_by_file(spark: SparkSession, path: str) -> dict[str, bool]:
     return {unquote(row["file"]): row["cut"] for row in found.toLocalIterator()}
 
 
-def _read(spark: SparkSession, paths: list[str] | str, schema: T.StructType, mode: str, multi_line: bool) -> DataFrame:
-    reader = spark.read.schema(schema).options(**_DIALECT, mode=mode, multiLine=multi_line)
+def _read(spark: SparkSession, paths: list[str] | str, schema: T.StructType, mode: str, **options) -> DataFrame:
+    reader = spark.read.schema(schema).options(**_DIALECT, mode=mode)
     # Every file's own header has to agree with the schema, not only the first one's.
-    return reader.options(enforceSchema=False, columnNameOfCorruptRecord=CORRUPT_COLUMN).csv(paths)
+    return reader.options(**{"enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT_COLUMN, **options}).csv(paths)
 
 
 def header_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -48,23 +53,110 @@ def _schema(spark: SparkSession, path: str, columns: tuple[str, ...] | None) ->
     return text_schema(found)
 
 
-def _split_by_line_breaks(
-    spark: SparkSession, path: str, schema: T.StructType, mode: str, multi_line: bool | None
-) -> DataFrame:
-    """Read each file by Spark's own parser: in whole where a record may span lines, split elsewhere.
-
-    Where quotes on a line don't pair up there may be a line break in a field, or just a stray
-    quote; only a parser that goes through the file from its start can tell. So such a file is
-    read by one task. All other files are split among tasks.
-    """
+def _files(spark: SparkSession, path: str, multi_line: bool | None) -> tuple[list[str], list[str]]:
+    """Paths to read by lines, and paths in which a record may span lines."""
     if multi_line is not None:
-        return _read(spark, path, schema, mode, multi_line)
+        return ([], [path]) if multi_line else ([path], [])
     files = line_breaks_by_file(spark, path)
     cut = [name for name, is_cut in files.items() if is_cut]
-    plain = [name for name, is_cut in files.items() if not is_cut]
-    if not cut or not plain:
-        return _read(spark, path, schema, mode, bool(cut))
-    return _read(spark, cut, schema, mode, True).union(_read(spark, plain, schema, mode, False))
+    return [name for name, is_cut in files.items() if not is_cut], cut
+
+
+def _raw_records(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """The raw text of every record (column ``record``), as Spark's parser finds them over whole files.
+
+    The parser hands out the raw text of malformed records only; with one column more than the files
+    have, all of them are. Where a surplus field makes the width right, it has no date in it.
+    """
+    # With a wider schema the parser can't compare headers; this pass, by lines, parses no column.
+    headers = _read(spark, paths, schema, "PERMISSIVE", columnPruning=False)
+    headers.where(F.monotonically_increasing_id() < 0).isEmpty()
+    surplus = T.StructField("q_surplus", T.DateType())
+    wide = T.StructType([*schema.fields, surplus, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    rows = _read(spark, paths, wide, "PERMISSIVE", multiLine=True, enforceSchema=True, dateFormat="'surplus'")
+    # The parser leaves a quote at the start of a value, with lines behind it, if it never closed.
+    cells = [F.col(f"`{name}`") for name in schema.names]
+    open_ = [F.startswith(cell, F.lit('"')) & F.contains(cell, F.lit("\n")) for cell in cells]
+    again = [F.when(is_open, cell).otherwise(F.to_csv(F.struct(cell), _RECORD)) for cell, is_open in zip(cells, open_, strict=True)]
+    return rows.select(F.coalesce(CORRUPT_COLUMN, F.concat_ws(",", *again, F.lit(""))).alias("record"))
+
+
+def _unquoted(record: Column) -> Column:
+    """A raw record without its well-formed quoted fields."""
+    # Doubled quotes go first: what is left of a quoted field has none inside.
+    return F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'(?s)(?<![^,])"[^"]*+"(?![^,])', "")
+
+
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
+
+
+def _is_one_record(record: Column, width: int) -> Column:
+    """Whether a text of several lines can be one record: line breaks in well-formed quoted fields only.
+
+    It can't where each of its lines, or the first of one that is too wide, makes a record already.
+    """
+    rest, first = _unquoted(record), F.substring_index(record, "\n", 1)
+    sound = ~rest.rlike(r"[\r\n]") & ~rest.rlike(_OPEN_QUOTE)
+    fields = _commas(rest) + 1
+    alone = F.forall(_lines(record), lambda line: _commas(line) + 1 >= width)
+    return sound & (fields >= width) & ~alone & ((fields == width) | (_commas(first) + 1 < width))
+
+
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(",")))
+
+
+def _single_records(records: DataFrame, width: int, strict: bool) -> DataFrame:
+    """Records as they are, but where a stray quote took lines for one field, each line as a record.
+
+    With ``strict`` such a record fails.
+    """
+    record = F.col("record")
+    swallowed = F.contains(record, F.lit("\n")) & ~_is_one_record(record, width)
+    if strict:
+        message = F.concat(F.lit("MALFORMED record, a quote opens and does not close: "), F.substring(record, 1, 200))
+        return records.select(F.when(swallowed, F.raise_error(message)).otherwise(record).alias("record"))
+    return records.select(F.explode(F.when(swallowed, _lines(record)).otherwise(F.array(record))).alias("record"))
+
+
+def _field_count(record: Column) -> Column:
+    """Fields of a raw record: unquoted commas plus one."""
+    return _commas(_unquoted(record)) + 1
+
+
+def _parsed(records: DataFrame, columns: list[str], tolerant: bool) -> DataFrame:
+    """Columns of text from column ``record``; ``tolerant`` adds the raw text of malformed records."""
+    options = {**_RECORD, "mode": "PERMISSIVE" if tolerant else "FAILFAST", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    return records.select(F.from_csv("record", _ddl(columns, tolerant), options).alias("q_row")).select("q_row.*")
+
+
+def _ddl(columns: list[str], tolerant: bool) -> str:
+    return ", ".join(f"`{name}` STRING" for name in (*columns, *([CORRUPT_COLUMN] if tolerant else [])))
+
+
+def _flagged(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with ``rejected`` and ``cut``; a quote that doesn't close is a character like others.
+
+    A record with such a quote that has the right width once quotes mean nothing is taken so, and is
+    whole. Of the others those with too few fields are rejected, the rest is kept and says that it was cut.
+    """
+    options = {**_RECORD, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    raw = F.col(CORRUPT_COLUMN)
+    plain = F.when(_unquoted(raw).rlike(_OPEN_QUOTE), F.from_csv(raw, _ddl(columns, True), options))
+    held = rows.select("*", plain.alias("q_plain"))
+    # Spark refuses a CSV query that needs the raw record alone, as a row count would; the first
+    # condition always holds and makes every such query read one more column.
+    readable = F.length(F.coalesce(held[f"`{columns[0]}`"], F.lit(""))) >= 0
+    fits = F.col("q_plain").isNotNull() & F.col(f"q_plain.{CORRUPT_COLUMN}").isNull()
+    malformed = readable & raw.isNotNull() & ~fits
+    short = _field_count(raw) < len(columns)
+    return held.select(
+        *(F.when(fits, F.col(f"q_plain.`{name}`")).otherwise(F.col(f"`{name}`")).alias(name) for name in columns),
+        F.when(malformed, raw).alias(CORRUPT_COLUMN),
+        F.coalesce(malformed & short, F.lit(False)).alias("rejected"),
+        F.coalesce(malformed & ~short, F.lit(False)).alias("cut"),
+    )
 
 
 def read_text_csv(
@@ -77,13 +169,12 @@ def read_text_csv(
     default (``multi_line=None``) only the files that may have some are read in one piece.
     """
     schema = _schema(spark, path, columns)
-    return _split_by_line_breaks(spark, path, schema, "FAILFAST", multi_line)
-
-
-def _field_count(record: Column) -> Column:
-    """Fields of a raw record: unquoted commas plus one."""
-    unquoted = F.regexp_replace(record, r'(?s)"(?:[^"]|"")*+"', "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
+    by_lines, whole = _files(spark, path, multi_line)
+    parts = [_read(spark, by_lines, schema, "FAILFAST")] if by_lines else []
+    if whole:
+        records = _single_records(_raw_records(spark, whole, schema), len(schema), strict=True)
+        parts.append(_parsed(records, schema.names, tolerant=False))
+    return reduce(DataFrame.union, parts)
 
 
 def read_text_csv_flagged(
@@ -93,21 +184,21 @@ def read_text_csv_flagged(
     malformed row, and ``rejected``.
 
     A row with too few fields is rejected. One with too many is cut to the width and kept, and
-    ``cut`` says so: what was cut off is in the raw record.
+    ``cut`` says so: what was cut off is in the raw record. A quote that opens a field and never closes
+    swallows no row: a record of several lines stays one only if all its quoted fields are well
+    formed and its lines aren't wide enough to be records; if not, each of its lines is a record, in
+    which such a quote is a plain character.
     """
     schema = _schema(spark, path, columns)
-    flagged = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-    rows = _split_by_line_breaks(spark, path, flagged, "PERMISSIVE", multi_line)
-    # Spark refuses a CSV query that needs the raw record alone, as a row count would; the first
-    # condition always holds and makes every such query read one more column.
-    readable = F.length(F.coalesce(rows[rows.columns[0]], F.lit(""))) >= 0
-    fields = _field_count(F.col(CORRUPT_COLUMN))
-    return rows.withColumns(
-        {
-            "rejected": F.coalesce(readable & (fields < len(schema)), F.lit(False)),
-            "cut": F.coalesce(readable & (fields > len(schema)), F.lit(False)),
-        }
-    )
+    by_lines, whole = _files(spark, path, multi_line)
+    parts = []
+    if by_lines:
+        wide = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+        parts.append(_flagged(_read(spark, by_lines, wide, "PERMISSIVE"), schema.names))
+    if whole:
+        records = _single_records(_raw_records(spark, whole, schema), len(schema), strict=False)
+        parts.append(_flagged(_parsed(records, schema.names, tolerant=True), schema.names))
+    return reduce(DataFrame.union, parts)
 
 
 def read_text_csv_tolerant(
@@ -122,23 +213,18 @@ def read_text_csv_tolerant(
 
 def csv_records(rows: DataFrame) -> DataFrame:
     """Each row as one CSV record in the dialect of the extracts (column ``record``)."""
-    options = {name: value for name, value in _DIALECT.items() if name != "header"}
-    return rows.select(F.to_csv(F.struct("*"), options).alias("record"))
+    return rows.select(F.to_csv(F.struct("*"), _RECORD).alias("record"))
 
 
 def parse_csv_records(records: DataFrame, columns: tuple[str, ...], tolerant: bool = False) -> DataFrame:
     """Columns of text from column ``record``, by the rules of the readers above.
 
-    A malformed record fails; with ``tolerant`` a short one is left out and a long one cut.
+    A malformed record fails; with ``tolerant`` a short one is left out and a long one cut, and lines that
+    a stray quote made one record are records again.
     """
-    mode = "PERMISSIVE" if tolerant else "FAILFAST"
-    options = {**_DIALECT, "header": "false", "mode": mode, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    names = ", ".join(f"`{name}` STRING" for name in (*columns, *([CORRUPT_COLUMN] if tolerant else [])))
-    rows = records.select(F.from_csv("record", names, options).alias("row")).select("row.*")
-    if not tolerant:
-        return rows
-    complete = F.coalesce(_field_count(F.col(CORRUPT_COLUMN)) >= len(columns), F.lit(True))
-    return rows.where(complete).drop(CORRUPT_COLUMN)
+    single = _single_records(records, len(columns), strict=not tolerant)
+    rows = _parsed(single, list(columns), tolerant)
+    return _flagged(rows, list(columns)).where(~F.col("rejected")).select(*(F.col(f"`{c}`") for c in columns)) if tolerant else rows
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:

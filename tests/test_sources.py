@@ -59,6 +59,49 @@ def test_stray_quotes_lose_no_row(spark, tmp_path, seed):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+NOTES_WITH_STRAY_QUOTES = ['"12 outfall', '"a"" b', '12 outfall"', '"12" outfall', 'say "hi"', '5" wide', "plain", '"quoted"', '"q, ""x"""', ""]
+
+
+@pytest.mark.parametrize("multi_line", [None, True, False])
+def test_a_quote_that_opens_a_field_swallows_no_row(spark, tmp_path, multi_line):
+    lines = [f"{i},x{i},y{i}" for i in range(1000)]
+    lines[3] = '3,"12 outfall,y3'
+    path = write(tmp_path / "a.csv", "id,a,b", *lines)
+    rows = sources.read_text_csv_flagged(spark, path, multi_line=multi_line)
+    assert rows.count() == 1000 and rows.where("rejected OR cut").count() == 0
+    assert rows.where("id = 3").select("a", "b").first() == ('"12 outfall', "y3")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_stray_quotes_anywhere_in_a_field(spark, tmp_path, seed):
+    """At the start, inside and at the end of fields: every line is a row, whatever the setting."""
+    rng = random.Random(seed)
+    lines = [f"r{i},{rng.choice(NOTES_WITH_STRAY_QUOTES)},n{i},{rng.choice(NOTES_WITH_STRAY_QUOTES)}" for i in range(150)]
+    path = write(tmp_path / "a.csv", "id,a,n,b", *lines)
+    found = [sources.read_text_csv_flagged(spark, path, multi_line=m) for m in (None, True, False)]
+    for rows in found:
+        assert sorted(r["id"] for r in rows.collect()) == sorted(f"r{i}" for i in range(150))
+    sound = [{r["id"]: r["n"] for r in rows.where("NOT rejected AND NOT cut").collect()} for rows in found]
+    assert all(n == f"n{i[1:]}" for values in sound for i, n in values.items() if n and n.startswith("n"))
+    assert sound[0] == sound[1]
+
+
+def test_line_breaks_in_well_formed_fields_stay(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,a,b", '1,"two', 'lines",z', '2,"""Stop"", he', 'said",""', '3,"6 in,q', '4,k,"l1', 'l2"', "5,p,q")
+    kept, rejects = sources.read_text_csv_tolerant(spark, path)
+    got = {r["id"]: tuple(r)[1:] for r in kept.collect()}
+    assert got["1"] == ("two\nlines", "z") and got["2"] == ('"Stop", he\nsaid', None)
+    assert got["3"] == ('"6 in', "q") and got["5"] == ("p", "q")
+    # What follows a stray quote up to the next one is read line by line; no text is lost.
+    assert kept.count() + rejects.count() == 6
+
+
+def test_strict_reader_fails_where_a_quote_swallows_rows(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,a,b", "1,x,y", '3,"12 outfall,y3', '4,"ok",z', "5,p,q")
+    with pytest.raises(Exception, match="MALFORMED"):
+        sources.read_text_csv(spark, path).collect()
+
+
 def test_every_header_is_checked(spark, tmp_path):
     write(tmp_path / "a.csv", "a,b,c", "1,2,3")
     write(tmp_path / "b.csv", "c,b,a", '1,"x', 'y",3')
