@@ -9,7 +9,7 @@ from docketrank.functions.display import (
     millions_text,
     percent_text,
 )
-from docketrank.functions.money import exact_sum, exact_total, implausible, outstanding, parse_double, parse_money
+from docketrank.functions.money import exact_cents, exact_sum, exact_total, implausible, outstanding, parse_double, parse_money
 from docketrank.functions.text import is_nonblank, normalize_key, trim_text
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "count_text",
     "currency_text",
     "date_text",
+    "exact_cents",
     "exact_sum",
     "exact_total",
     "floor_date",

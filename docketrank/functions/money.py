@@ -73,7 +73,12 @@ def implausible(amount: Column) -> Column:
 
 
 def exact_sum(amount: Column) -> Column:
-    """Sum of money in whole cents, returned as double; the same for every order of the rows.
+    """Sum of money in whole cents, returned as double; the same for every order of the rows."""
+    return exact_cents(amount).cast("double")
+
+
+def exact_cents(amount: Column) -> Column:
+    """Sum of money in whole cents as ``decimal(38,2)``, so that sums can be added up further.
 
     Cents are summed as two bigints, millions of dollars and the rest, which stay in the hash
     table's fixed-width buffer, several times faster than a decimal sum, and don't overflow for
@@ -90,7 +95,7 @@ def exact_sum(amount: Column) -> Column:
     exact = high * F.lit(1_000_000).cast("decimal(8,0)") + low / 100
     parts = F.array_compact(F.array(exact.cast("decimal(38,2)"), F.sum(beyond).cast("decimal(38,2)")))
     total = F.aggregate(parts, F.lit(0).cast("decimal(38,2)"), lambda a, b: (a + b).cast("decimal(38,2)"))
-    return F.when(F.size(parts) > 0, total.cast("double"))
+    return F.when(F.size(parts) > 0, total)
 
 
 def exact_total(subtotal: Column) -> Column:

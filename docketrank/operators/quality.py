@@ -22,6 +22,26 @@ def duplicate_ids(fact: DataFrame, id_column: str = "enforcement_eid") -> DataFr
     )
 
 
+# Largest shares of a load's rows that may fail a check before the load is refused.
+LOAD_LIMITS = {"rejected": 0.2, "key_missing": 0.5, "duplicate_ids": 0.1, "implausible_amounts": 0.01}
+
+
+class RefusedLoad(RuntimeError):
+    """A load in which too many rows fail a check; ``figures`` has the counts by check."""
+
+    def __init__(self, layer: str, figures: Mapping[str, int], rows: int, broken: Mapping[str, float]) -> None:
+        listed = ", ".join(f"{name}: {figures[name]} of {rows} (limit {share:.0%})" for name, share in broken.items())
+        super().__init__(f"{layer} keeps its old rows; the new ones fail {listed}")
+        self.figures = dict(figures)
+
+
+def require_quality(layer: str, figures: Mapping[str, int], rows: int, limits: Mapping[str, float]) -> None:
+    """Refuse a load whose counts of failing rows pass their limits; checks without a limit pass."""
+    broken = {name: limits[name] for name, count in figures.items() if name in limits and count > limits[name] * rows}
+    if broken:
+        raise RefusedLoad(layer, figures, rows, broken)
+
+
 def _checks(one_row: DataFrame) -> DataFrame:
     """Turn a one-row frame of figures into rows of (check, result)."""
     return one_row.unpivot([], one_row.columns, "check", "result").select("check", F.col("result").cast("long"))

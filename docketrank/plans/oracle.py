@@ -375,6 +375,8 @@ ORACLE["csv_round_trip"] = f"""SELECT * REPLACE (nullif(place_type, '') AS place
 ORACLE["csv_tolerant_round_trip"] = f"""SELECT * REPLACE (nullif(facility_name, '') AS facility_name,
        nullif(enforcement_action_type, '') AS enforcement_action_type) FROM ({ORACLE["stage_actions"]}) staged"""
 ORACLE["csv_repair_round_trip"] = ORACLE["csv_tolerant_round_trip"]
+ORACLE["mart_in_two_loads"] = ORACLE["mart_monthly"]
+ORACLE["summary_in_two_loads"] = ORACLE["facility_summary"]
 ORACLE["display_texts"] = f"""WITH counted AS (
   SELECT wdid, CAST(SUM(enforcement_count) AS BIGINT) AS actions FROM ({ORACLE["mart_monthly"]}) mart GROUP BY wdid)
 SELECT wdid, '$' || actions || '.0M' AS millions, actions || ',000' AS thousands,

@@ -19,7 +19,11 @@ from docketrank.sources.csv import (
     read_text_csv_tolerant,
     require_rows,
 )
+from docketrank.sources.footers import footer_figures
 from docketrank.sources.sinks import (
+    commit_table_version,
+    commit_version,
+    current_version,
     export_csv,
     export_match_report,
     export_ranked_csv,
@@ -27,16 +31,22 @@ from docketrank.sources.sinks import (
     read_parquet_layer,
     replace_parquet,
     replace_table,
+    write_table_version,
+    write_version,
 )
 
 __all__ = [
     "MissingExtract",
+    "commit_table_version",
+    "commit_version",
     "csv_records",
+    "current_version",
     "describe",
     "export_csv",
     "export_match_report",
     "export_ranked_csv",
     "export_schema",
+    "footer_figures",
     "header_columns",
     "line_breaks_by_file",
     "parse_csv_records",
@@ -52,4 +62,6 @@ __all__ = [
     "require_table",
     "row_count",
     "table_exists",
+    "write_table_version",
+    "write_version",
 ]

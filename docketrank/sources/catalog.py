@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docketrank.sources.sinks import read_parquet_layer
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
@@ -26,8 +28,8 @@ def require_table(spark: SparkSession, name: str) -> DataFrame:
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """The mart as a dashboard reads it: without ``year``, the month as a timestamp."""
-    return spark.read.parquet(path).drop("year").withColumn("month", F.col("month").cast("timestamp_ntz"))
+    return read_parquet_layer(spark, path).drop("year").withColumn("month", F.col("month").cast("timestamp_ntz"))
 
 
 def read_ranked(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).orderBy(F.asc_nulls_last("rank"))
+    return read_parquet_layer(spark, path).orderBy(F.asc_nulls_last("rank"))

@@ -119,3 +119,29 @@ def test_sums_stay_in_the_hash_table(landed, plan):
     for df in (ops.action_summary(landed["fact"]), ops.monthly_totals(landed["fact"])):
         text = plan(df)
         assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_totals_bucketed_by_key_need_no_shuffle(spark, landed, plan):
+    """From totals and facilities in the catalog, the mart and the summary are made where the rows lie."""
+    from docketrank.sources import replace_table
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS docketrank_buckets")
+    try:
+        replace_table(ops.daily_totals(landed["fact"]), "docketrank_buckets.totals", bucket_by="wdid", buckets=4)
+        replace_table(landed["facilities"], "docketrank_buckets.facilities", bucket_by="wdid", buckets=4)
+        totals, facilities = spark.table("docketrank_buckets.totals"), spark.table("docketrank_buckets.facilities")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        mart = ops.mart_from_daily(totals, facilities)
+        assert exchanges(plan(mart)) == 0 and "SortMergeJoin" in plan(mart)
+        replace_table(mart, "docketrank_buckets.mart", ["year"], bucket_by="wdid", buckets=4)
+        by_year = spark.table("docketrank_buckets.mart").where("year = 1995").select("wdid")
+        assert "PartitionFilters: [isnotnull(year" in plan(by_year)
+        latest = totals.agg({"day": "max"}).first()[0]
+        assert exchanges(plan(ops.summary_from_daily(totals, facilities, latest))) == 0
+        assert exchanges(plan(ops.priority_from_daily(totals, facilities, latest=latest))) == 0
+        assert "Exchange" not in plan(spark.table("docketrank_buckets.mart").groupBy("wdid").sum("enforcement_count"))
+        same = ops.mart_facility_monthly(landed["fact"], landed["facilities"])
+        assert mart.exceptAll(same).count() == 0 and same.count() == mart.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE docketrank_buckets CASCADE")
