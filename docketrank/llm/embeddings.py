@@ -325,7 +325,9 @@ def near_duplicates(
         reps.select("id", "label", "v").mapInPandas(unit_vectors, "id long, label int, unit array<double>")
     )
     n, n_labels = units.agg(F.count("*"), F.count_distinct("label")).first()
-    k = int(min(MAX_CENTRES, max(1, round(n / (max(1, n_labels) * BLOCK)))))
+    # With each vector in OVERLAP shards, so many centres that a shard is about a block.
+    k = int(min(MAX_CENTRES, max(1, -(-OVERLAP * n // (max(1, n_labels) * BLOCK)))))
+    k = 1 if n <= max(1, n_labels) * BLOCK else k
     share = min(1.0, FIT_ROWS / max(1, n))
     taken = units.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("id").select("unit")
     sample = _matrix(taken.toPandas()["unit"])

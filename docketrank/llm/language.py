@@ -103,20 +103,23 @@ def _count(langs: tuple[str, ...]):
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Trigram and script frequencies of every language, from a bounded sample of rows.
 
-    The sample takes about ``FIT_ROWS`` rows of each language by a hash of the text, so it is the
-    same in every run. Rows with NULL text or language are left out; with no rows left the model
+    The sample takes about ``FIT_ROWS`` different texts of each language by a hash, so it is the
+    same in every run and a text counts once, however many copies it has. Rows with NULL text or language are left out; with no rows left the model
     knows no language. Counting is done by Spark; what comes to the driver is one number for each
     language and bucket.
     """
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    sizes = {row["lang"]: row["n"] for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    hashed = labelled.withColumn("hash", F.xxhash64("text"))
+    each = hashed.groupBy("lang", "hash").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {row["lang"]: row["n"] for row in each.collect()}
     langs = tuple(sorted(sizes))
     if not langs:
         return Model((), np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPT_NAMES), 0), bool))
     share = F.create_map(*(F.lit(x) for name in langs for x in (name, min(1.0, FIT_ROWS / sizes[name]))))
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    drawn = hashed.where(F.pmod("hash", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    sample = drawn.dropDuplicates(["lang", "hash"]).select("lang", "text")
     counted = sample.mapInPandas(_count(langs), "lang int, feature int, n long").groupBy("lang", "feature").sum("n")
     counts = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(langs)))
     for row in counted.collect():
@@ -223,4 +226,5 @@ def keep_known(docs: DataFrame, model: Model, least_share: float = 0.4) -> DataF
     Column ``lang`` takes the language found; the other columns stay.
     """
     named = identify(docs, model).where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_share))
-    return named.select("row.*", F.col("found.lang_pred").alias("q_lang")).withColumn("lang", F.col("q_lang")).drop("q_lang")
+    kept = [F.col("found.lang_pred").alias(name) if name == "lang" else F.col(f"row.`{name}`") for name in docs.columns]
+    return named.select(*kept)

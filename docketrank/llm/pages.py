@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 from zlib import crc32
@@ -12,8 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fitted on about so many pages, dealt out by a hash.
-FIT_PAGES = 600
+# Fitted on about so many different pages of up to so many characters, dealt out by a hash.
+FIT_PAGES, FIT_CHARS = 600, 200_000
 STEPS, PAGES_A_STEP, RATE, SEED = 240, 32, 0.01, 7
 # Training ends early once no block of a round is off by more.
 GOOD = 0.05
@@ -46,9 +47,15 @@ BESIDE = frozenset(
 )
 ARTICLE = frozenset("article main content post entry story".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# A quote opens a value only right behind "="; elsewhere, as in data-x=don't, it is a character. A tag that
+# another one follows before it ends is text, so that every character is looked at a few times at most.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^<>])*+)>|<[!?][^<>]*+>", re.S
+)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
+# Elements nested deeper are taken for neighbours, as browsers do it.
+DEPTH = 256
 
 
 class Block(NamedTuple):
@@ -60,7 +67,7 @@ class Block(NamedTuple):
 def leaf_blocks(page: str | None) -> list[Block]:
     """The blocks of text of a page in order, whatever they are.
 
-    A tag that is not inline ends a block. White space in a block is one blank; character
+    A tag that is not inline ends a block; scripts and the like leave no trace. White space in a block is one blank; character
     references are decoded after the markup is gone. Markup that is left open or closed twice is
     taken as browsers take it in the main cases; nothing here fails on broken pages. Names in
     ``BESIDE`` are left out of the path where their element holds the article (``_holders``).
@@ -69,22 +76,28 @@ def leaf_blocks(page: str | None) -> list[Block]:
     found_blocks: list[tuple[str, tuple[int, ...], int]] = []
     elements: list[tuple[str, ...]] = []
     stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     links, linked, at = 0, 0, 0
+    within: tuple[int, ...] = ()
+
+    def unstack(depth: int) -> None:
+        nonlocal within
+        opened.subtract(tag for tag, _ in stack[depth:])
+        del stack[depth:]
+        within = tuple(element for _, element in stack)
 
     def finish() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            found_blocks.append((text, tuple(element for _, element in stack), min(linked, len(text))))
+            found_blocks.append((text, within, min(linked, len(text))))
         parts.clear()
         linked = 0
 
     def close(tag: str) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] == tag:
-                del stack[depth:]
-                return
+        if opened[tag]:
+            unstack(max(depth for depth, (name, _) in enumerate(stack) if name == tag))
 
     while True:
         token = _TOKEN.search(page, at)
@@ -104,28 +117,33 @@ def leaf_blocks(page: str | None) -> list[Block]:
             elif tag == "br":
                 parts.append(" ")
             continue
+        if tag in RAW:
+            end = None if closing else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = at if closing else end.end() if end else len(page)
+            continue
         finish()
-        if tag in RAW and not closing:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif closing:
+        if closing:
             close(tag)
         elif tag not in VOID and not token[3].endswith("/"):
             for open_tag in CLOSED_BY_BLOCK:
                 if stack and stack[-1][0] == open_tag:
-                    stack.pop()
+                    unstack(len(stack) - 1)
             if tag in SIBLINGS:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] in SIBLINGS[tag]:
                         break
                     if stack[depth][0] == tag:
-                        del stack[depth:]
+                        unstack(depth)
                         break
+            if len(stack) >= DEPTH:
+                continue
             names = [tag]
             if tag not in WHOLE_PAGE:
                 for found in _NAMED.finditer(token[3]):
                     names += (found[1] or found[2] or found[3] or "").lower().split()
             stack.append((tag, len(elements)))
+            opened[tag] += 1
+            within = (*within, len(elements))
             elements.append(tuple(names))
     finish()
     for element in _holders(elements, found_blocks):
@@ -330,14 +348,17 @@ def train(pages: list[list[Block]]) -> Labeller:
 
 
 def fit(pages: DataFrame, html_column: str = "html") -> Labeller:
-    """A labeller fitted on a bounded sample of the pages (about ``FIT_PAGES``, by a hash).
+    """A labeller fitted on a bounded sample: about ``FIT_PAGES`` different pages, by a hash.
 
-    With no pages it is what it began as; there is nothing to label then.
+    Each page counts once however many copies it has, and only pages of up to ``FIT_CHARS`` characters are
+    in the sample, so what comes to the driver is bounded. With no pages the labeller is what it began as;
+    there is nothing to label then.
     """
-    present = pages.select(F.col(html_column).alias("html")).where("html IS NOT NULL")
-    share = min(1.0, FIT_PAGES / max(1, present.count()))
-    sample = present.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = sorted(row["html"] for row in sample.collect())
+    present = pages.select(F.col(html_column).alias("html")).where(F.length("html") <= FIT_CHARS)
+    hashed = present.withColumn("hash", F.xxhash64("html"))
+    share = min(1.0, FIT_PAGES / max(1, hashed.select("hash").distinct().count()))
+    sample = hashed.where(F.pmod("hash", F.lit(1_000_000)) < int(share * 1_000_000))
+    texts = sorted(row["html"] for row in sample.dropDuplicates(["hash"]).select("html").limit(2 * FIT_PAGES).collect())
     return train([leaf_blocks(text) for text in texts])
 
 

@@ -168,6 +168,11 @@ def mask_personal_data(docs: DataFrame, text: str = "text", n_chars: str = "n_ch
 
     A NULL text stays NULL and keeps its count, as do texts without personal data.
     """
-    masked = docs.withColumn("q_masked", F.pandas_udf(_masked, "string").asNondeterministic()(F.col(text)))
-    length = F.when(F.col("q_masked").isNull(), F.col(n_chars)).otherwise(F.length("q_masked").cast("long"))
-    return masked.withColumns({n_chars: length, text: F.coalesce("q_masked", text)}).drop("q_masked")
+    mask = F.pandas_udf(_masked, "string").asNondeterministic()(F.col(text))
+    both = docs.select(F.struct("*").alias("row"), mask.alias("masked"))
+    masked, before = F.col("masked"), F.col(f"row.`{n_chars}`")
+    changed = {
+        text: F.coalesce(masked, F.col(f"row.`{text}`")),
+        n_chars: F.when(masked.isNull(), before).otherwise(F.length(masked).cast("long")),
+    }
+    return both.select(*(changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns))

@@ -110,3 +110,35 @@ def test_names_beside_the_article_still_count():
     page = f"<body><form>{ARTICLE_HTML}<aside><article>Short teaser</article></aside><div class='big comments'>I disagree</div></form></body>"
     beside = {b.text: not pages.BESIDE.isdisjoint(b.path) for b in pages.leaf_blocks(page)}
     assert beside.pop("Short teaser") and beside.pop("I disagree") and not any(beside.values())
+
+
+def texts_of(page):
+    return [b.text for b in pages.leaf_blocks(page)]
+
+
+def test_quotes_open_values_behind_an_equals_sign_only():
+    assert texts_of("<p data-x=don't>Hello world</p><p>it's here</p><p>last</p>") == ["Hello world", "it's here", "last"]
+    assert texts_of("<p title='a > b' id = \"x > y\">one</p><p \"odd' >two</p>") == ["one", "two"]
+
+
+def test_scripts_inside_a_paragraph_leave_no_trace():
+    page = "<p>one <script>if (a < b) x()</script>two</p><p>th<style>p {}</style>ree</p><template><p>no</p></template>four"
+    assert texts_of(page) == ["one two", "three", "four"]
+
+
+@pytest.mark.parametrize("bit", ["<a ", "<", "<!", "<p x='", '<p x="y', "<div>x", "</p><div>", "<li>a", "<b></i>", "<script>", "<!--", "<p a=b c=' d>"])
+def test_a_megabyte_of_broken_markup_takes_seconds(bit):
+    import time
+
+    start = time.process_time()
+    pages.leaf_blocks(bit * (1_000_000 // len(bit)))
+    assert time.process_time() - start < 15
+
+
+def test_copies_count_once_in_the_sample(spark, monkeypatch):
+    """A page that is most of the table doesn't fill the sample, and pages too long stay out of it."""
+    seen = []
+    monkeypatch.setattr(pages, "train", lambda found: seen.append(len(found)))
+    rows = [("<p>copy</p>",)] * 3000 + [(f"<p>page {i}</p>",) for i in range(50)] + [("<p>" + "x" * pages.FIT_CHARS,)]
+    pages.fit(spark.createDataFrame(rows, "html string").repartition(4))
+    assert seen == [51]
