@@ -13,18 +13,20 @@ from docketrank.llm.graph import connected_components
 
 SIMILAR = 0.98
 # Vectors of a shard that meet in one task; larger shards are met block by block.
-BLOCK = 1500
+BLOCK = 750
 # Cluster centres are fitted on a sample of about so many vectors; at most so many centres.
 FIT_ROWS, MAX_CENTRES, FIT_ROUNDS = 20_000, 1024, 8
-# Every vector lies in the shards of so many nearest centres.
-OVERLAP = 2
+# A vector lies in the shard of its nearest centre and of every centre that is farther by this angle at
+# most; about so many shards are reckoned with for that. The angle grows until the audit is content.
+MARGIN, WIDER, OVERLAP = 0.08, 1.6, 2
 # Graph: neighbours kept, candidates looked at, the factor of robust pruning (on angles), and among
 # how many near nodes one is chosen that leads to a node which nothing else leads to.
 DEGREE, CANDIDATES, ALPHA, HOOKS = 16, 48, 1.2, 4
 # Search: beam to begin with, entry points; while the range expands, nodes down to this cosine lead on.
 BEAM, ENTRIES, LEAD = 32, 16, 0.95
-# Audit: about one query in so many is compared with everything; below this recall the beam doubles.
-AUDIT_EVERY, AUDIT_RECALL = 20, 0.99
+# Audit: about one query in so many is compared with everything its task holds, and so many queries with all
+# vectors of their label; below this recall the beam doubles, or the shards grow.
+AUDIT_EVERY, AUDIT_QUERIES, AUDIT_RECALL = 20, 2_000, 0.99
 
 NEIGHBOURS = "label int, id long, neighbours array<long>"
 COUNTS = "kind int, a long, b long"
@@ -56,16 +58,23 @@ def fit_centres(sample: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
-def robust_prune(sims: np.ndarray, node: int, order: np.ndarray) -> list[int]:
-    """Neighbours of a node, nearest first, less those that a kept one is much nearer to."""
-    kept: list[int] = []
-    angle = np.arccos(np.clip(sims[node], -1, 1))
-    left = order[order != node]
-    while len(left) and len(kept) < DEGREE:
-        best = left[0]
-        kept.append(int(best))
-        left = left[1:]
-        left = left[ALPHA * np.arccos(np.clip(sims[best, left], -1, 1)) > angle[left]]
+def robust_prune(sims: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Neighbours of every node, -1 for none, out of its ``near`` ones in ascending order of distance.
+
+    Each time the nearest one left is kept, and those go that it is much nearer to than the node is. All
+    nodes of a block take a step at once.
+    """
+    rows = np.arange(len(near))[:, None]
+    angle = np.arccos(np.clip(sims, -1, 1))
+    far, left = angle[rows, near], near != rows
+    kept = np.full((len(near), DEGREE), -1)
+    for step in range(DEGREE):
+        first = left.argmax(axis=1)
+        some = left[rows[:, 0], first]
+        best = np.where(some, near[rows[:, 0], first], 0)
+        kept[some, step] = best[some]
+        left &= ALPHA * angle[best[:, None], near] > far
+        left[rows[:, 0], first] = False
     return kept
 
 
@@ -76,7 +85,7 @@ def build_graph(units: np.ndarray) -> list[list[int]]:
     width = min(n, CANDIDATES)
     near = np.argpartition(-sims, width - 1, axis=1)[:, :width]
     near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sims, near, axis=1), axis=1, kind="stable"), axis=1)
-    graph = [robust_prune(sims, node, near[node]) for node in range(n)]
+    graph = [[x for x in kept if x >= 0] for kept in robust_prune(sims, near).tolist()]
     for node, neighbours in enumerate([list(x) for x in graph]):
         for other in neighbours:
             if node not in graph[other] and len(graph[other]) < 2 * DEGREE:
@@ -221,6 +230,23 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 1))
 
 
+def _shard_table(column: pd.Series, none: int) -> np.ndarray:
+    table = np.full((len(column), max(map(len, column))), none, np.int64)
+    for i, shards in enumerate(column):
+        table[i, : len(shards)] = shards
+    return table
+
+
+def shards_of(units: np.ndarray, centres: np.ndarray, margin: float) -> list[list[int]]:
+    """The shards of every vector: its nearest centre and those farther by ``margin`` at most.
+
+    A vector at an angle t from another is at most 2 t farther from the other's nearest centre than from
+    its own, so with a margin of that size every pair shares a shard; in practice far less will do.
+    """
+    angle = np.arccos(np.clip(units @ centres.T, -1, 1))
+    return [np.flatnonzero(row).astype(np.int32).tolist() for row in angle <= angle.min(axis=1, keepdims=True) + margin]
+
+
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     """Adjacency lists of one block of a shard."""
     rows = rows.sort_values("id")
@@ -262,8 +288,7 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
         a, b = np.minimum(q, v), np.maximum(q, v)
         pair = np.unique((a * len(ids) + b)[a != b])
         q, v = pair // len(ids), pair % len(ids)
-    first = np.stack([np.asarray(x) for x in asked["shards"]])[q]
-    second = np.stack([np.asarray(x) for x in index["shards"]])[v]
+    first, second = _shard_table(asked["shards"], -1)[q], _shard_table(index["shards"], -2)[v]
     common = (first[:, :, None] == second[:, None, :]).any(axis=2)
     owner = np.where(common, first, np.iinfo(first.dtype).max).min(axis=1)
     q, v = q[owner == shard], v[owner == shard]
@@ -308,9 +333,11 @@ def near_duplicates(
     as the rows they are. An empty table gives an empty result. Labels must fit in 32 bits.
 
     Shards are the cells of a few k-means centres (fitted on a bounded sample) within a label; each
-    vector lies in its ``OVERLAP`` nearest. A shard of over ``BLOCK`` vectors is dealt into blocks,
-    and each pair of blocks meets in a task of its own: searches of a block's graph. Adjacency
-    lists built in several shards are united before the search.
+    vector lies in its nearest and in others nearly as near. A shard of over ``BLOCK`` vectors is dealt
+    into blocks, and each pair of blocks meets in a task of its own: searches of a block's graph.
+    Adjacency lists built in several shards are united before the search. At last ``AUDIT_QUERIES``
+    vectors are compared with all vectors of their label; while links are missing among theirs beyond
+    ``AUDIT_RECALL``, shards are made to overlap more and all is done again.
     """
     named = vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("int").alias("label"), F.col(embedding).alias("v")
@@ -325,51 +352,27 @@ def near_duplicates(
         reps.select("id", "label", "v").mapInPandas(unit_vectors, "id long, label int, unit array<double>")
     )
     n, n_labels = units.agg(F.count("*"), F.count_distinct("label")).first()
-    # With each vector in OVERLAP shards, so many centres that a shard is about a block.
     k = int(min(MAX_CENTRES, max(1, -(-OVERLAP * n // (max(1, n_labels) * BLOCK)))))
-    k = 1 if n <= max(1, n_labels) * BLOCK else k
-    share = min(1.0, FIT_ROWS / max(1, n))
-    taken = units.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("id").select("unit")
+    drawn = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    taken = units.where(drawn < int(min(1.0, FIT_ROWS / max(1, n)) * 1_000_000)).orderBy("id").select("unit")
     sample = _matrix(taken.toPandas()["unit"])
     centres = fit_centres(sample, min(k, len(sample))) if len(sample) else np.zeros((1, 1))
-    width = min(OVERLAP, len(centres))
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sims = _matrix(batch["unit"]) @ centres.T if len(batch) else np.zeros((0, len(centres)))
-            near = np.argsort(-sims, axis=1, kind="stable")[:, :width]
-            yield batch.assign(shards=[x.astype(np.int32).tolist() for x in near])
-
-    assigned = stored(
-        units.join(reps.select("id", "label", "copies"), ["id", "label"]).mapInPandas(
-            assign, "id long, label int, unit array<double>, copies long, shards array<int>"
+    weighted = units.join(reps.select("id", "label", "copies"), ["id", "label"])
+    queries = weighted.where(drawn >= 1_000_000 - int(min(1.0, AUDIT_QUERIES / max(1, n)) * 1_000_000))
+    truth = stored(_all_links(weighted, queries))
+    margin = MARGIN
+    while True:
+        found = stored(_found(weighted, centres, margin))
+        links = found.where("kind = 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("b").alias("links"))
+        audit = truth.join(links, F.col("q_id") == F.col("l_id"), "left").agg(
+            F.coalesce(F.sum("true_links"), F.lit(0)).alias("links"), F.coalesce(F.sum("links"), F.lit(0)).alias("found")
         )
-    )
-    placed = assigned.select("*", F.explode("shards").alias("shard"))
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    sizes = stored(placed.groupBy("label", "shard").count().select("label", "shard", blocks.alias("blocks")))
-    dealt = placed.join(sizes, ["label", "shard"]).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
-    graph = dealt.groupBy("label", "shard", "block").applyInPandas(
-        lambda rows: _build(rows[["label", "id", "unit"]]), NEIGHBOURS
-    )
-    united = graph.groupBy("label", "id").agg(
-        F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")
-    )
-    tasks = (
-        dealt.join(united, ["label", "id"])
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        .drop("other", "blocks")
-    )
-    found = stored(tasks.groupBy("label", "shard", "low", "high").applyInPandas(_search, COUNTS))
-    links = found.where("kind = 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("b").alias("links"))
+        wanted, met = audit.first()
+        if met >= AUDIT_RECALL * wanted or margin > np.pi:
+            break
+        margin *= WIDER
     edges = found.where("kind = 1").select("a", "b")
     components = connected_components(edges)
-    audit = found.where("kind = 2").agg(
-        F.coalesce(F.sum("a"), F.lit(0)).alias("links"), F.coalesce(F.sum("b"), F.lit(0)).alias("found")
-    )
     classes = (
         reps.join(units.select(F.col("id").alias("u_id")), F.col("id") == F.col("u_id"))
         .join(links, F.col("id") == F.col("l_id"), "left")
@@ -389,3 +392,54 @@ def near_duplicates(
     )
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return result.withColumn("kept", kept), audit
+
+
+def _all_links(units: DataFrame, queries: DataFrame) -> DataFrame:
+    """``q_id`` and ``true_links`` of a bounded set of queries: their links among all vectors of their label."""
+    asked = queries.select("id", "label", "unit").limit(2 * AUDIT_QUERIES).toPandas()
+    by_label = {
+        label: (rows["id"].to_numpy(), _matrix(rows["unit"])) for label, rows in asked.groupby("label")
+    }
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, totals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for label, rows in batch.groupby("label"):
+                if label in by_label:
+                    q_ids, asked_units = by_label[label]
+                    near = _matrix(rows["unit"]) @ asked_units.T >= SIMILAR
+                    near &= rows["id"].to_numpy()[:, None] != q_ids[None, :]
+                    ids.append(q_ids)
+                    totals.append(rows["copies"].to_numpy() @ near)
+            yield pd.DataFrame({"q_id": np.concatenate(ids), "n": np.concatenate(totals)})
+
+    return units.mapInPandas(count, "q_id long, n long").groupBy("q_id").agg(F.sum("n").alias("true_links"))
+
+
+def _found(units: DataFrame, centres: np.ndarray, margin: float) -> DataFrame:
+    """What the searches of all blocks find (``_search``)."""
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(shards=shards_of(_matrix(batch["unit"]), centres, margin) if len(batch) else [])
+
+    assigned = stored(units.mapInPandas(assign, "id long, label int, unit array<double>, copies long, shards array<int>"))
+    placed = assigned.select("*", F.explode("shards").alias("shard"))
+    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
+    sizes = stored(placed.groupBy("label", "shard").count().select("label", "shard", blocks.alias("blocks")))
+    dealt = placed.join(sizes, ["label", "shard"]).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    )
+    graph = dealt.groupBy("label", "shard", "block").applyInPandas(
+        lambda rows: _build(rows[["label", "id", "unit"]]), NEIGHBOURS
+    )
+    united = graph.groupBy("label", "id").agg(
+        F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")
+    )
+    tasks = (
+        dealt.join(united, ["label", "id"])
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .drop("other", "blocks")
+    )
+    return tasks.groupBy("label", "shard", "low", "high").applyInPandas(_search, COUNTS)

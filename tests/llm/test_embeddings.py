@@ -52,6 +52,26 @@ def test_links_and_components(spark, monkeypatch, block):
     assert counts["found"] >= 0.9 * counts["links"]
 
 
+def test_many_shards_lose_no_link(spark, monkeypatch):
+    """Several dozen centres over vectors without clusters, and a margin to begin with that is too small."""
+    monkeypatch.setattr(embeddings, "BLOCK", 60)
+    monkeypatch.setattr(embeddings, "MARGIN", 0.0)
+    rng = np.random.default_rng(6)
+    rows = []
+    for _ in range(600):
+        centre = rng.normal(size=64)
+        for _ in range(2):
+            v = centre + rng.normal(size=64) * 0.09
+            rows.append((len(rows), [float(np.float32(x)) for x in v], 1))
+    found, audit = embeddings.near_duplicates(table(spark, rows))
+    got = {r["vec_id"]: r["n_links"] for r in found.collect()}
+    wanted = {k: n for k, (n, _) in brute(rows).items()}
+    counts = audit.first()
+    assert -(-2 * len(rows) // 60) >= 36 and counts["links"] > 500
+    assert counts["found"] >= 0.99 * counts["links"]
+    assert all(got[k] <= wanted[k] for k in wanted) and sum(got.values()) >= 0.99 * sum(wanted.values())
+
+
 def test_recall_on_the_table(spark, tables):
     df = spark.read.parquet(f"{tables}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
