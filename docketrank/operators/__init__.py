@@ -1,5 +1,6 @@
 """Frame-level operators: each takes DataFrames and returns a lazy DataFrame."""
 
+from docketrank.operators.bitmaps import facility_numbers, kpis_from_bitmaps, month_bitmaps, rollup_from_bitmaps
 from docketrank.operators.daily import (
     daily_totals,
     mart_from_daily,
@@ -52,6 +53,7 @@ __all__ = [
     "dim_action_type",
     "dim_facility",
     "duplicate_ids",
+    "facility_numbers",
     "facility_summary",
     "fact_actions",
     "in_rank_order",
@@ -59,12 +61,14 @@ __all__ = [
     "key_match_profile",
     "key_spine",
     "kpi_totals",
+    "kpis_from_bitmaps",
     "layer_row_counts",
     "lookup_join",
     "mart_facility_monthly",
     "mart_from_daily",
     "match_report",
     "merge_totals",
+    "month_bitmaps",
     "monthly_totals",
     "priority_bar_order",
     "priority_display",
@@ -80,6 +84,7 @@ __all__ = [
     "representative",
     "require_quality",
     "rollup_by_label",
+    "rollup_from_bitmaps",
     "schema_snapshot",
     "stage",
     "stage_actions",

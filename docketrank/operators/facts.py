@@ -11,7 +11,7 @@ from docketrank.operators.dimensions import is_formal_type
 from docketrank.operators.joins import lookup_join
 from docketrank.sources.schemas import INFORMAL_ACTION_TYPES
 
-_MONEY_COLUMNS = (
+MONEY_COLUMNS = (
     "total_assessment_amount",
     "liability_amount",
     "liability_paid",
@@ -39,7 +39,7 @@ def fact_actions(
     else:
         actions = lookup_join(actions, action_types, "enforcement_action_type")
         formal = F.coalesce("is_formal", F.lit(False))
-    money = {name: F.coalesce(name, F.lit(0.0)) for name in _MONEY_COLUMNS}
+    money = {name: F.coalesce(name, F.lit(0.0)) for name in MONEY_COLUMNS}
     return actions.select(
         "enforcement_eid",
         "wdid",
@@ -53,7 +53,7 @@ def fact_actions(
         "program",
         "program_category",
         "region",
-        *(money[name].alias(name) for name in _MONEY_COLUMNS),
+        *(money[name].alias(name) for name in MONEY_COLUMNS),
         outstanding(money["total_assessment_amount"], money["total_paid_completed"]).alias("outstanding_amount"),
         "title",
         "description",

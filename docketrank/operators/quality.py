@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docketrank.functions import implausible, is_nonblank
+from docketrank.operators.facts import MONEY_COLUMNS
 from docketrank.operators.staging import raw_column
 from docketrank.sources.schemas import NO_REGION
 
@@ -70,7 +71,7 @@ def quality_report(
         tally(assessed == 0).alias("zero_assessment"),
         tally(F.col("outstanding_amount") == 0).alias("zero_outstanding"),
         tally(assessed < paid).alias("negative_before_floor"),
-        tally(implausible(assessed) | implausible(paid)).alias("implausible_amounts"),
+        tally(reduce(Column.__or__, (implausible(F.col(name)) for name in MONEY_COLUMNS))).alias("implausible_amounts"),
     )
     fact_parts = by_id.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("fact_rows"),

@@ -12,7 +12,7 @@ from docketrank.plans import refresh
 from docketrank.plans.layers import Layers
 from docketrank.session import apply_settings
 from docketrank.sources import csv_records, parse_csv_records
-from docketrank.sources.schemas import ACTION_COLUMNS, REGISTRY_COLUMNS
+from docketrank.sources.schemas import ACTION_COLUMNS, OFFICE_LABELS, PARENT_LABELS, REGISTRY_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,6 +260,22 @@ def suboffice_rollup(layers: Layers) -> DataFrame:
     return ops.suboffice_rollup(layers.mart)
 
 
+def _bitmaps(layers: Layers) -> DataFrame:
+    return ops.month_bitmaps(layers.mart, ops.facility_numbers(layers.facilities))
+
+
+def kpis_by_bitmaps(layers: Layers) -> DataFrame:
+    return ops.kpis_from_bitmaps(_bitmaps(layers))
+
+
+def region_rollup_by_bitmaps(layers: Layers) -> DataFrame:
+    return ops.rollup_from_bitmaps(_bitmaps(layers), PARENT_LABELS)
+
+
+def suboffice_rollup_by_bitmaps(layers: Layers) -> DataFrame:
+    return ops.rollup_from_bitmaps(_bitmaps(layers), OFFICE_LABELS)
+
+
 def region_display(layers: Layers) -> DataFrame:
     return ops.region_display(ops.suboffice_rollup(layers.mart))
 
@@ -342,6 +358,9 @@ _QUERIES = (
     kpi_totals,
     region_rollup,
     suboffice_rollup,
+    kpis_by_bitmaps,
+    region_rollup_by_bitmaps,
+    suboffice_rollup_by_bitmaps,
     region_display,
     key_match_profile,
     layer_row_counts,

@@ -104,14 +104,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that comes in fewer splits than there are cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal out a table by its key.
 
-    Writing and reading text costs far more than scanning, so a small one-file table would keep
-    a single core busy. A table with enough splits stays as it is and nothing is shuffled.
+    Writing and reading text costs far more than scanning, so a small one-file table would keep a single
+    core busy. A join by the key finds its rows where they are then.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(key)
 
 
 def _written(rows: DataFrame, columns: tuple[str, ...], how: dict[str, str]) -> DataFrame:
@@ -133,7 +132,7 @@ def order_payments(lineitem: DataFrame) -> DataFrame:
 def raw_actions(spark: SparkSession, folder: str) -> DataFrame:
     """The action log: 32 text columns, one row per order."""
     payments = order_payments(table(spark, folder, "lineitem"))
-    orders = spread(table(spark, folder, "orders")).join(payments, "o_orderkey", "left")
+    orders = spread(table(spark, folder, "orders"), "o_orderkey").join(payments, "o_orderkey", "left")
     rows = orders.selectExpr(
         "*",
         "o_orderkey AS k",
@@ -147,7 +146,7 @@ def raw_actions(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_registry(spark: SparkSession, folder: str) -> DataFrame:
     """The registry: 40 text columns; customers in debt are listed under a closed code."""
-    customers = spread(table(spark, folder, "customer")).selectExpr(
+    customers = spread(table(spark, folder, "customer"), "c_custkey").selectExpr(
         "CASE WHEN c_acctbal < 0 THEN 'WX' ELSE 'WD' END AS prefix",
         "c_custkey AS n",
         "c_nationkey AS nation",

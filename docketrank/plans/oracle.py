@@ -166,36 +166,35 @@ def _money_sum(column: str) -> str:
 
 
 _MART = f"""
-mart AS (
-  SELECT f.wdid, d.facility_name, d.agency_name, d.region, d.county, d.city, d.place_type, d.latitude, d.longitude,
-         CAST(DATE_TRUNC('month', f.effective_date) AS DATE) AS month,
-         CAST(EXTRACT(YEAR FROM f.effective_date) AS INTEGER) AS year,
+months AS (
+  SELECT wdid, CAST(DATE_TRUNC('month', effective_date) AS DATE) AS month,
          COUNT(*) AS enforcement_count,
-         CAST(SUM(CASE WHEN f.is_formal THEN 1 ELSE 0 END) AS BIGINT) AS formal_count,
-         {_money_sum("f.total_assessment_amount")} AS total_assessment,
-         {_money_sum("COALESCE(f.liability, 0)")} AS total_liability,
-         {_money_sum("COALESCE(f.liability_paid, 0)")} AS total_paid,
-         {_money_sum("f.outstanding_amount")} AS total_outstanding,
-         CAST(SUM(CASE WHEN f.status = 'Active' THEN 1 ELSE 0 END) AS BIGINT) AS active_count
-  FROM fact f LEFT JOIN facilities d ON f.wdid = d.wdid
-  WHERE f.effective_date IS NOT NULL
-  GROUP BY ALL
+         CAST(COUNT(*) FILTER (WHERE is_formal) AS BIGINT) AS formal_count,
+         {_money_sum("total_assessment_amount")} AS total_assessment,
+         {_money_sum("COALESCE(liability, 0)")} AS total_liability,
+         {_money_sum("COALESCE(liability_paid, 0)")} AS total_paid,
+         {_money_sum("outstanding_amount")} AS total_outstanding,
+         CAST(COUNT(*) FILTER (WHERE status = 'Active') AS BIGINT) AS active_count
+  FROM fact WHERE effective_date IS NOT NULL GROUP BY 1, 2
+), mart AS (
+  SELECT m.wdid, d.facility_name, d.agency_name, d.region, d.county, d.city, d.place_type, d.latitude, d.longitude,
+         m.month, CAST(EXTRACT(YEAR FROM m.month) AS INTEGER) AS year, m.* EXCLUDE (wdid, month)
+  FROM months m LEFT JOIN facilities d ON m.wdid = d.wdid
 )"""
 
 _SUMMARY = f"""
-summary AS (
-  SELECT f.wdid, d.facility_name, d.region, d.county, d.place_type,
-         COUNT(*) AS total_actions,
-         CAST(SUM(CASE WHEN f.is_formal THEN 1 ELSE 0 END) AS BIGINT) AS formal_actions,
-         CAST(SUM(CASE WHEN f.effective_date >= (SELECT CAST(MAX(effective_date) - INTERVAL 3 YEAR AS DATE) FROM fact)
-                       THEN 1 ELSE 0 END) AS BIGINT) AS actions_last_3yr,
-         MAX(f.effective_date) AS most_recent_action,
-         MIN(f.effective_date) AS first_action,
-         {_money_sum("f.total_assessment_amount")} AS total_assessed,
-         {_money_sum("f.total_paid_completed")} AS total_paid,
-         {_money_sum("f.outstanding_amount")} AS outstanding_balance
-  FROM fact f JOIN facilities d ON f.wdid = d.wdid
-  GROUP BY ALL
+recent AS (SELECT CAST(MAX(effective_date) - INTERVAL 3 YEAR AS DATE) AS since FROM fact),
+by_key AS (
+  SELECT wdid, COUNT(*) AS total_actions, CAST(COUNT(*) FILTER (WHERE is_formal) AS BIGINT) AS formal_actions,
+         CAST(COUNT(*) FILTER (WHERE effective_date >= (SELECT since FROM recent)) AS BIGINT) AS actions_last_3yr,
+         MAX(effective_date) AS most_recent_action, MIN(effective_date) AS first_action,
+         {_money_sum("total_assessment_amount")} AS total_assessed,
+         {_money_sum("total_paid_completed")} AS total_paid,
+         {_money_sum("outstanding_amount")} AS outstanding_balance
+  FROM fact GROUP BY wdid
+), summary AS (
+  SELECT k.wdid, d.facility_name, d.region, d.county, d.place_type, k.* EXCLUDE (wdid)
+  FROM by_key k JOIN facilities d ON k.wdid = d.wdid
 )"""
 
 _ORDER = "outstanding_balance DESC NULLS LAST, total_actions DESC NULLS LAST, most_recent_action DESC NULLS LAST, wdid"
@@ -358,7 +357,8 @@ UNION ALL SELECT 'zero_assessment', COUNT(*) FROM fact WHERE total_assessment_am
 UNION ALL SELECT 'zero_outstanding', COUNT(*) FROM fact WHERE outstanding_amount = 0
 UNION ALL SELECT 'negative_before_floor', COUNT(*) FROM fact WHERE total_assessment_amount < total_paid_completed
 UNION ALL SELECT 'implausible_amounts', COUNT(*) FROM fact
-          WHERE abs(total_assessment_amount) >= 1e27 OR abs(total_paid_completed) >= 1e27
+          WHERE greatest(abs(total_assessment_amount), abs(total_paid_completed), abs(liability), abs(liability_paid),
+                         abs(project), abs(project_done)) >= 1e27
 UNION ALL SELECT 'region_codes', COUNT(DISTINCT region) FROM facilities WHERE region <> 'NA'
 UNION ALL SELECT 'registry_only_without_region', COUNT(*) FROM facilities
           WHERE region = 'NA' AND wdid NOT IN (SELECT wdid FROM actions)
@@ -375,6 +375,9 @@ ORACLE["csv_round_trip"] = f"""SELECT * REPLACE (nullif(place_type, '') AS place
 ORACLE["csv_tolerant_round_trip"] = f"""SELECT * REPLACE (nullif(facility_name, '') AS facility_name,
        nullif(enforcement_action_type, '') AS enforcement_action_type) FROM ({ORACLE["stage_actions"]}) staged"""
 ORACLE["csv_repair_round_trip"] = ORACLE["csv_tolerant_round_trip"]
+ORACLE["kpis_by_bitmaps"] = f"""SELECT total_facilities, total_actions, total_outstanding FROM ({ORACLE["kpi_totals"]}) totals"""
+ORACLE["region_rollup_by_bitmaps"] = ORACLE["region_rollup"]
+ORACLE["suboffice_rollup_by_bitmaps"] = ORACLE["suboffice_rollup"]
 ORACLE["mart_in_two_loads"] = ORACLE["mart_monthly"]
 ORACLE["summary_in_two_loads"] = ORACLE["facility_summary"]
 ORACLE["display_texts"] = f"""WITH counted AS (

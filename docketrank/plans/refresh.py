@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -28,6 +29,7 @@ from docketrank.operators import (
     stage_actions,
     stage_registry,
 )
+from docketrank.operators.facts import MONEY_COLUMNS
 from docketrank.operators.staging import raw_column
 from docketrank.sources import (
     commit_version,
@@ -155,7 +157,7 @@ class Refresh:
         registry, actions = self.read(STAGED_REGISTRY), self.read(STAGED_ACTIONS)
         self._write(FACILITIES, dim_facility(registry, actions))
         self._write(ACTION_TYPES, dim_action_type(actions))
-        amounts = implausible(F.col("total_assessment_amount")) | implausible(F.col("total_paid_completed"))
+        amounts = reduce(Column.__or__, (implausible(F.col(name)) for name in MONEY_COLUMNS))
         self._write(FACT, fact_actions(actions), checks={"implausible_amounts": amounts}, unique="enforcement_eid")
 
     def mart(self) -> None:

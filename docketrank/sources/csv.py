@@ -23,7 +23,7 @@ class MissingExtract(RuntimeError):
     """A raw file is absent or has no rows."""
 
 
-def line_breaks_by_file(spark: SparkSession, path: str) -> dict[str, bool]:
+def line_breaks_by_file(spark: SparkSession, path: str | list[str]) -> dict[str, bool]:
     """Whether some field of a file may hold a line break; only file names reach the driver.
 
     A record cut by a line break has an odd number of quotes on its first line, so one scan by
@@ -41,22 +41,26 @@ def _read(spark: SparkSession, paths: list[str] | str, schema: T.StructType, mod
     return reader.options(**{"enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT_COLUMN, **options}).csv(paths)
 
 
-def header_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
+def header_columns(spark: SparkSession, path: str | list[str]) -> tuple[str, ...]:
     """The column names of the header row; reads the first line only."""
     return tuple(spark.read.options(**_DIALECT, inferSchema="false").csv(path).columns)
 
 
-def _schema(spark: SparkSession, path: str, columns: tuple[str, ...] | None) -> T.StructType:
+def _schema(spark: SparkSession, path: str | list[str], columns: tuple[str, ...] | None) -> T.StructType:
     found = header_columns(spark, path)
     if columns is not None and tuple(columns) != found:
         raise ValueError(f"header of {path} is {found}, expected {tuple(columns)}")
     return text_schema(found)
 
 
-def _files(spark: SparkSession, path: str, multi_line: bool | None) -> tuple[list[str], list[str]]:
+Paths = str | list[str]
+
+
+def _files(spark: SparkSession, path: Paths, multi_line: bool | None) -> tuple[list[str], list[str]]:
     """Paths to read by lines, and paths in which a record may span lines."""
     if multi_line is not None:
-        return ([], [path]) if multi_line else ([path], [])
+        given = [path] if isinstance(path, str) else path
+        return ([], given) if multi_line else (given, [])
     files = line_breaks_by_file(spark, path)
     cut = [name for name, is_cut in files.items() if is_cut]
     return [name for name, is_cut in files.items() if not is_cut], cut
@@ -160,7 +164,7 @@ def _flagged(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
+    spark: SparkSession, path: Paths, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
 ) -> DataFrame:
     """Read an extract that must be well formed; a malformed row fails the job.
 
@@ -178,7 +182,7 @@ def read_text_csv(
 
 
 def read_text_csv_flagged(
-    spark: SparkSession, path: str, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
+    spark: SparkSession, path: Paths, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
 ) -> DataFrame:
     """Read an extract with malformed rows in one pass: its columns, the raw record of every
     malformed row, and ``rejected``.
@@ -202,7 +206,7 @@ def read_text_csv_flagged(
 
 
 def read_text_csv_tolerant(
-    spark: SparkSession, path: str, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
+    spark: SparkSession, path: Paths, columns: tuple[str, ...] | None = None, multi_line: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Read an extract with malformed rows; returns (rows, rejects with their raw record)."""
     rows = read_text_csv_flagged(spark, path, columns, multi_line)

@@ -145,3 +145,17 @@ def test_totals_bucketed_by_key_need_no_shuffle(spark, landed, plan):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE docketrank_buckets CASCADE")
+
+
+def test_bitmaps_roll_up_by_month(spark, landed, plan):
+    """Any months can be counted from bitmaps, and no facility key moves for it."""
+    mart = ops.mart_facility_monthly(landed["fact"], landed["facilities"])
+    bitmaps = ops.month_bitmaps(mart, ops.facility_numbers(landed["facilities"], parts=3)).cache()
+    some = "month >= '1994-01-01' AND month < '1995-07-01'"
+    wanted = ops.rollup_by_label(mart.where(some), {"5S": "five", "5F": "five"})
+    found = ops.rollup_from_bitmaps(bitmaps.where(some), {"5S": "five", "5F": "five"})
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert "wdid" not in plan(ops.kpis_from_bitmaps(bitmaps)).split("InMemoryRelation")[0]
+    bitmaps.unpersist()
+    numbers = [r["facility_no"] for r in ops.facility_numbers(landed["facilities"], parts=3).collect()]
+    assert len(set(numbers)) == len(numbers) == landed["facilities"].count() and min(numbers) > 0

@@ -326,3 +326,30 @@ def test_tables_in_the_catalog(spark):
     sources.replace_table(spark.range(5), "docketrank_tests.layer")
     assert sources.row_count(sources.require_table(spark, "docketrank_tests.layer")) == 5
     spark.sql("DROP DATABASE docketrank_tests CASCADE")
+
+
+def test_only_new_files_are_loaded(spark, tmp_path):
+    from docketrank.plans.incremental import ActionLoads
+
+    def log(name, keys, *more):
+        lines = [
+            csv_line(ACTION_COLUMNS, WDID=k, STATUS="Active", **{"EFFECTIVE DATE": f"{1 + i % 12}/3/2015", "TOTAL ASSESSMENT AMOUNT": f"${i}.10"})
+            for i, k in enumerate(keys)
+        ]
+        write(tmp_path / "in" / name, header(ACTION_COLUMNS), *lines, *more)
+
+    (tmp_path / "in").mkdir()
+    log("one.csv", ["a", "b", "a"], "too,short")
+    log("two.csv", ["c", "a"])
+    loads = ActionLoads(spark, str(tmp_path / "warehouse"))
+    assert loads.run(str(tmp_path / "in")) == 1 and loads.rows().count() == 5
+    assert loads.run(str(tmp_path / "in")) == 0 and loads.rows().count() == 5
+    log("three.csv", ["a", "d"], "short,too")
+    assert loads.run(str(tmp_path / "in")) == 1 and loads.rows().count() == 7
+    assert sorted(r["record"] for r in loads.rejects().collect()) == ["short,too", "too,short"]
+    assert {r["load"]: r["n"] for r in loads.rows().groupBy("load").agg(F.count("*").alias("n")).collect()} == {0: 5, 1: 2}
+    whole = ops.daily_totals(ops.fact_actions(ops.stage_actions(sources.read_text_csv_tolerant(spark, str(tmp_path / "in"), ACTION_COLUMNS)[0])))
+    assert loads.totals().exceptAll(whole).count() == 0 and loads.totals().count() == whole.count() > 4
+    # A load that is tried again takes its own place.
+    loads._load(spark.createDataFrame([(str(tmp_path / "in" / "three.csv"),)], "path string"), 1)
+    assert loads.rows().count() == 7 and loads.totals().exceptAll(whole).count() == 0
