@@ -47,10 +47,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which all executors and the driver see.
 
-    Only where the session names none (tests, a laptop) a folder of this machine is made.
+    Only where the session names none and runs on this machine alone (tests, a laptop) a folder of
+    it is made; on a cluster executors would write where nobody else reads.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="docketrank-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -55,6 +55,8 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
         *(counted(kind) for kind in pii.KINDS[:4]),
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
+        *(counted(kind) for kind in pii.KINDS[4:]),
+        F.array_join(F.transform("spans", lambda s: F.round(s["score"], 2).cast("string")), ",").alias("scores"),
     )
 
 
