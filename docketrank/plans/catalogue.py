@@ -11,7 +11,7 @@ from docketrank.functions.dates import ACTION_DATE_FLOOR
 from docketrank.plans import refresh
 from docketrank.plans.layers import Layers
 from docketrank.session import apply_settings
-from docketrank.sources import csv_records, parse_csv_records
+from docketrank.sources import csv_lines, csv_records, parse_csv_records, ranked_csv_lines
 from docketrank.sources.schemas import ACTION_COLUMNS, OFFICE_LABELS, PARENT_LABELS, REGISTRY_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,6 +280,16 @@ def region_display(layers: Layers) -> DataFrame:
     return ops.region_display(ops.suboffice_rollup(layers.mart))
 
 
+def mart_export_lines(layers: Layers) -> DataFrame:
+    """The mart's export, line by line."""
+    return csv_lines(layers.mart)
+
+
+def priority_export_lines(layers: Layers) -> DataFrame:
+    """The ranked list's export with the number of each line."""
+    return ranked_csv_lines(layers.ranked)
+
+
 # --- profiles and checks ------------------------------------------------------------------
 
 
@@ -362,6 +372,8 @@ _QUERIES = (
     region_rollup_by_bitmaps,
     suboffice_rollup_by_bitmaps,
     region_display,
+    mart_export_lines,
+    priority_export_lines,
     key_match_profile,
     layer_row_counts,
     schema_snapshot,

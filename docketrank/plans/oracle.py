@@ -375,6 +375,30 @@ ORACLE["csv_round_trip"] = f"""SELECT * REPLACE (nullif(place_type, '') AS place
 ORACLE["csv_tolerant_round_trip"] = f"""SELECT * REPLACE (nullif(facility_name, '') AS facility_name,
        nullif(enforcement_action_type, '') AS enforcement_action_type) FROM ({ORACLE["stage_actions"]}) staged"""
 ORACLE["csv_repair_round_trip"] = ORACLE["csv_tolerant_round_trip"]
+
+
+def _line(text: tuple[str, ...], columns: tuple[str, ...]) -> str:
+    """A CSV line: texts quoted where they are empty, nothing for NULL, numbers as DuckDB writes them."""
+    cells = (
+        f"COALESCE(CASE WHEN {c} = '' THEN '\"\"' ELSE {c} END, '')" if c in text else f"COALESCE(CAST({c} AS VARCHAR), '')"
+        for c in columns
+    )
+    return " || ',' || ".join(cells)
+
+
+_MART_TEXT = ("wdid", "facility_name", "agency_name", "region", "county", "city", "place_type")
+_MART_COLUMNS = (
+    *_MART_TEXT, "latitude", "longitude", "month", "year", "enforcement_count", "formal_count", "total_assessment",
+    "total_liability", "total_paid", "total_outstanding", "active_count",
+)
+_RANKED_COLUMNS = (
+    "rank", "wdid", "facility_name", "region", "county", "place_type", "total_actions", "formal_actions", "actions_last_3yr",
+    "most_recent_action", "first_action", "total_assessed", "total_paid", "outstanding_balance",
+)
+ORACLE["mart_export_lines"] = f"""SELECT {_line(_MART_TEXT, _MART_COLUMNS)} AS text FROM ({ORACLE["mart_monthly"]}) mart"""
+ORACLE["priority_export_lines"] = f"""SELECT 0 AS line, '{",".join(_RANKED_COLUMNS)}' AS text UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY outstanding_balance DESC NULLS LAST, rank) AS INTEGER),
+       {_line(_MART_TEXT, _RANKED_COLUMNS)} FROM ({ORACLE["priority"]}) ranked"""
 ORACLE["kpis_by_bitmaps"] = f"""SELECT total_facilities, total_actions, total_outstanding FROM ({ORACLE["kpi_totals"]}) totals"""
 ORACLE["region_rollup_by_bitmaps"] = ORACLE["region_rollup"]
 ORACLE["suboffice_rollup_by_bitmaps"] = ORACLE["suboffice_rollup"]

@@ -23,11 +23,13 @@ from docketrank.sources.footers import footer_figures
 from docketrank.sources.sinks import (
     commit_table_version,
     commit_version,
+    csv_lines,
     current_version,
     export_csv,
     export_match_report,
     export_ranked_csv,
     export_schema,
+    ranked_csv_lines,
     read_parquet_layer,
     replace_parquet,
     replace_table,
@@ -39,6 +41,7 @@ __all__ = [
     "MissingExtract",
     "commit_table_version",
     "commit_version",
+    "csv_lines",
     "csv_records",
     "current_version",
     "describe",
@@ -50,6 +53,7 @@ __all__ = [
     "header_columns",
     "line_breaks_by_file",
     "parse_csv_records",
+    "ranked_csv_lines",
     "read_mart",
     "read_parquet_layer",
     "read_ranked",

@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 # Older versions that stay behind the current one, for readers that began before a switch.
@@ -142,17 +142,44 @@ def plain_double_text(value: Column) -> Column:
     return F.when(F.abs(value) >= 1e7, F.coalesce(plain, text)).otherwise(text)
 
 
+# How exports are written.
+_EXPORT = {"quote": '"', "escape": '"'}
+
+
+def _plain_numbers(df: DataFrame) -> DataFrame:
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
+    return df.withColumns({name: plain_double_text(F.col(name)) for name in doubles}) if doubles else df
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV folder with headers; ``single_file`` is for results known to be small."""
-    doubles = [name for name, kind in df.dtypes if kind == "double"]
-    out = df.withColumns({name: plain_double_text(F.col(name)) for name in doubles}) if doubles else df
+    out = _plain_numbers(df)
     out = out.coalesce(1) if single_file else out
-    out.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    out.write.mode("overwrite").options(header="true", **_EXPORT).csv(path)
+
+
+def csv_lines(df: DataFrame, *keep: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Columns ``keep`` and each row's line (column ``text``) as ``export_csv`` writes it."""
+    cells = F.struct(*(F.col(f"`{name}`") for name in columns or df.columns))
+    return _plain_numbers(df).select(*keep, F.to_csv(cells, _EXPORT).alias("text"))
+
+
+def _balance_first() -> list[Column]:
+    return [F.desc_nulls_last("outstanding_balance"), F.asc("rank")]
 
 
 def export_ranked_csv(ranked: DataFrame, path: str) -> None:
     """The ranked list as one CSV file, largest balance first; it is as short as its limit."""
-    export_csv(ranked.orderBy(F.desc_nulls_last("outstanding_balance"), "rank"), path, single_file=True)
+    export_csv(ranked.orderBy(*_balance_first()), path, single_file=True)
+
+
+def ranked_csv_lines(ranked: DataFrame) -> DataFrame:
+    """The lines of the ranked list's file with their numbers; the header is line 0."""
+    place = F.row_number().over(Window.orderBy(*_balance_first()))  # as many rows as the list is long
+    numbered = ranked.withColumn("line", place)
+    lines = csv_lines(numbered, "line", columns=ranked.columns)
+    header = ranked.sparkSession.createDataFrame([(0, ",".join(ranked.columns))], "line int, text string")
+    return header.unionByName(lines)
 
 
 def export_schema(snapshot: DataFrame, path: str) -> None:
