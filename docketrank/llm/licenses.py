@@ -32,14 +32,57 @@ TEMPLATES = {
         "public license as published by the free software foundation either version 3 of the license or at your "
         "option any later version",
     ),
+    "lgpl": ("gnu lesser general public license", "gnu library general public license"),
+    "agpl": ("gnu affero general public license",),
+    "mpl": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at",
+    ),
+    "epl": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license",
+    ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that "
         "the following conditions are met",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose "
+        "are disclaimed",
+    ),
+    "isc": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "zlib": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to "
+        "alter it and redistribute it freely subject to the following restrictions",
+    ),
+    "boost": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license the software to use reproduce display distribute execute "
+        "and transmit the software",
+    ),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain",
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+        "as a compiled binary for any purpose commercial or non commercial and by any means",
     ),
     "cc": (
-        "licensed under cc by nc 4 0",
+        "licensed under cc by 4 0",
         "licensed under cc by sa 4 0",
+        "licensed under cc by nd 4 0",
+        "licensed under cc by nc 4 0",
+        "licensed under cc by nc sa 4 0",
+        "licensed under cc by nc nd 4 0",
         "this work is licensed under a creative commons attribution 4 0 international license",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+        "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
+        "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license",
+        "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of "
+        "his or her rights to the work worldwide under copyright law",
     ),
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from docketrank.llm.licenses import TEMPLATES
+
 # Vectors of a label against each other; components by following links.
 OP2 = """
 WITH RECURSIVE named AS (
@@ -73,21 +75,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged
 """
 
-# Fixed values, repeated here on purpose: the templates of the license scan.
-_TEMPLATES = """
-    ('mit', 0, 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software'),
-    ('mit', 1, 'the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software'),
-    ('mit', 2, 'released under the mit license'),
-    ('apache', 0, 'licensed under the apache license version 2 0'),
-    ('apache', 1, 'you may not use this file except in compliance with the license you may obtain a copy of the license at'),
-    ('apache', 2, 'unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied'),
-    ('gpl', 0, 'this work is licensed under the gnu general public license version 3'),
-    ('gpl', 1, 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version'),
-    ('bsd', 0, 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
-    ('cc', 0, 'licensed under cc by nc 4 0'),
-    ('cc', 1, 'licensed under cc by sa 4 0'),
-    ('cc', 2, 'this work is licensed under a creative commons attribution 4 0 international license')
-"""  # noqa: E501
+# The templates of the license scan are fixed values; everything else about the scan is written anew.
+_TEMPLATES = ", ".join(f"('{label}', {i}, '{text}')" for label, texts in TEMPLATES.items() for i, text in enumerate(texts))
 
 OP7 = rf"""
 WITH docs AS (

@@ -35,6 +35,17 @@ def test_phrases_and_spans(documents):
     assert found[8]["n_base"] == 0 and found[8]["n_words"] == 4
 
 
+def test_every_template_is_found_and_kin_are_told_apart(documents):
+    texts = [(label, text) for label, ts in licenses.TEMPLATES.items() for text in ts]
+    found = scanned(documents([(i, f"Some words first: {text.title()}; and some behind.") for i, (_, text) in enumerate(texts)]))
+    for i, (label, _) in enumerate(texts):
+        assert label in found[i]["labels"].split(",") and found[i]["score"] == 1.0
+        assert set(found[i]["labels"].split(",")) <= {label, "gpl"} or label == "gpl"
+    notice = licenses.TEMPLATES["gpl"][1]
+    kin = scanned(documents([(1, notice), (2, notice.replace("general", "affero general")), (3, "Licensed under CC BY-NC-SA 4.0")]))
+    assert kin[1]["labels"] == "gpl" and "agpl" in kin[2]["labels"] and kin[3]["labels"] == "cc"
+
+
 def test_two_copies_are_two_spans(documents):
     text = licenses.TEMPLATES["bsd"][0]
     docs = documents([(1, text + " and then many other words follow here " * 3 + text)])
