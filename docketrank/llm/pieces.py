@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import heapq
+import re
 from functools import cache
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from docketrank.llm.common import let
 
 # Fixed value: what stands for a blank in pieces.
 BLANK = "▁"
+# Where words are cut: before runs of blanks, around line ends. Java and Python read it alike.
+WORD = f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 8_000_000
+# Longer words have their lattice made in overlapping windows of so many code points.
+WINDOW = 64
 # Score of a character without a piece, below the least score of the table.
 UNKNOWN_BELOW = 10.0
 
@@ -60,56 +69,59 @@ def public_model() -> PieceModel:
 def words_of(text: Column) -> Column:
     """A text cut where no piece can reach across: before runs of blanks, around line ends."""
     marked = F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK)))
-    cut = F.regexp_extract_all(marked, F.lit(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"), F.lit(0))
+    cut = F.regexp_extract_all(marked, F.lit(WORD), F.lit(0))
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(cut)
 
 
-def lattice(words: DataFrame, keys: list[str], table: DataFrame, longest: int) -> DataFrame:
-    """``keys``, ``word``, ``n`` (code points) and its edges: every substring that is a piece.
+def windows_of(word: Column, longest: int) -> Column:
+    """The windows of a word, each different one once: every piece in the word lies whole in one of them.
 
-    Substrings of up to ``longest`` code points are exploded and joined to the piece table, a table
-    of the vocabulary's size; the edges are gathered by word. Words without an edge have no row.
+    A word of up to ``WINDOW`` code points is its own window.
     """
-    sized = words.select(*keys, "word", F.length("word").alias("n"))
-    starts = sized.select(*keys, "word", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
-    upto = F.least(F.lit(longest), F.col("n") - F.col("start") + 1)
-    parts = starts.select(*keys, "word", "n", "start", F.explode(F.sequence(F.lit(1), upto)).alias("size"))
-    named = parts.select(*keys, "word", "n", "start", "size", F.substring("word", F.col("start"), F.col("size")).alias("sub"))
-    edges = named.join(F.broadcast(table), named["sub"] == table["piece"])
-    edge = F.struct(F.col("start"), F.col("size"), F.col("score"), F.col("id"))
-    return edges.groupBy(*keys, "word", "n").agg(F.collect_list(edge).alias("edges"))
-
-
-def _byte_ids(character: Column, first_byte: int) -> Column:
-    """Ids of the bytes of a character that is no piece."""
-    digits = F.hex(F.encode(character, "UTF-8"))
-    return F.transform(
-        F.sequence(F.lit(0), (F.length(digits) / 2 - 1).cast("int")),
-        lambda k: F.conv(F.substring(digits, 2 * k + 1, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte),
+    stride = WINDOW - longest + 1
+    strides = F.regexp_extract_all(word, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
+    windows = let(
+        strides,
+        lambda parts: F.transform(
+            parts, lambda part, i: F.concat(part, F.coalesce(F.substring(F.get(parts, i + 1), 1, longest - 1), F.lit("")))
+        ),
     )
+    return F.when(F.length(word) <= WINDOW, F.array(word)).otherwise(F.array_distinct(windows))
 
 
-def _key(start: Column, size: Column) -> Column:
-    return start * F.lit(1 << 12) + size
+def lattice(words: DataFrame, keys: list[str], table: DataFrame, smallest: int, longest: int) -> DataFrame:
+    """``keys``, ``word`` and its edges: substrings that are pieces.
 
+    ``window`` says whether a longer word needs it, ``no_word`` whether only longer words do.
 
-def _ids(word: Column, spans: Column, by_place: Column, first_byte: int) -> Column:
-    """Piece ids of the spans (start, size) a word was cut into."""
+    Substrings of ``smallest`` to ``longest`` code points are exploded and joined to the piece table,
+    a table of the vocabulary's size; the edges are gathered by word. Words without an edge have no
+    row. ``words`` has columns ``keys``, ``word`` and ``window``.
+    """
+    last = F.length("word") - smallest + 1
+    starts = words.where(last >= 1).select("*", F.explode(F.sequence(F.lit(1), last)).alias("start"))
+    upto = F.least(F.lit(longest), F.length("word") - F.col("start") + 1)
+    parts = starts.select("*", F.explode(F.sequence(F.lit(smallest), upto)).alias("size"))
+    named = parts.select("*", F.substring("word", F.col("start"), F.col("size")).alias("piece"))
+    edge = F.struct(F.col("start"), F.col("size"), _key(F.col("start"), F.col("size")).alias("key"), "id", "score")
+    return (
+        named.join(F.broadcast(table), "piece")
+        .groupBy(*keys, "word")
+        .agg(F.collect_list(edge).alias("edges"), F.max("window").alias("window"), F.min("window").alias("no_word"))
+    )
 
-    def of(span: Column) -> Column:
-        piece = F.try_element_at(by_place, _key(span["start"], span["size"]))
-        alone = _byte_ids(F.substring(word, span["start"], span["size"]), first_byte)
-        return F.when(piece.isNotNull(), F.array(piece["id"])).otherwise(alone)
 
-    return F.flatten(F.transform(spans, of))
+def _key(start: Column, size: Column) -> Column:
+    return (start * F.lit(1 << 12) + size).cast("int")
 
 
-def _viterbi_spans(n: Column, edges: Column, worst: float) -> Column:
+def _viterbi_starts(n: Column, edges: Column, worst: float) -> Column:
     """The path with the best sum of scores: a fold over the ends of edges, left to right.
 
-    The state holds, for every position so far, the best score and the start of the last edge;
+    The state holds, for every position so far, the best score and the size of the last edge;
     of equal paths the one with the longer last piece wins. A character without a piece is an
-    edge by itself with a score below all others.
+    edge by itself with a score below all others. The result is where the path's parts begin,
+    and an end mark.
     """
     unknown = worst - UNKNOWN_BELOW
 
@@ -128,82 +140,210 @@ def _viterbi_spans(n: Column, edges: Column, worst: float) -> Column:
     states = F.aggregate(F.sequence(F.lit(1), n), start, step)
 
     def back(states: Column) -> Column:
-        walked = F.aggregate(
-            F.sequence(F.lit(1), n),
-            F.struct(n.alias("at"), F.array().cast("array<struct<start:int,size:int>>").alias("spans")),
-            lambda done, _: F.when(
-                done["at"] > 0,
-                F.struct(
-                    (done["at"] - F.get(states, done["at"])["size"]).alias("at"),
-                    F.concat(
-                        F.array(
-                            F.struct(
-                                (done["at"] - F.get(states, done["at"])["size"] + 1).alias("start"),
-                                F.get(states, done["at"])["size"].alias("size"),
-                            )
-                        ),
-                        done["spans"],
-                    ).alias("spans"),
-                ),
-            ).otherwise(done),
-        )
-        return walked["spans"]
+        def earlier(starts: Column, _: Column) -> Column:
+            at = F.get(starts, F.lit(0))
+            return F.when(at > 1, F.concat(F.array(at - F.get(states, at - 1)["size"]), starts)).otherwise(starts)
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.array(n + 1), earlier)
 
     return let(states, back)
 
 
-def _merged_spans(n: Column, by_place: Column) -> Column:
+def _merged_starts(n: Column, keys: Column, values: Column) -> Column:
     """What byte-pair merging leaves of a word: a fold that each time joins the best neighbours.
 
-    The state holds where the parts begin and one end mark. A step joins the pair of neighbours
-    whose union is the piece with the highest score, of equal ones the leftmost; with none left it
-    changes nothing.
+    The state holds where the parts begin, with an end mark, and the score of each pair of neighbours'
+    union, NULL if it is no piece, with a NULL at both ends. A step joins the pair with the highest
+    score, of equal ones the leftmost, and looks up the two pairs that this changes; with none left
+    it changes nothing.
     """
 
-    def step(starts: Column, _: Column) -> Column:
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(starts) - 3, F.lit(0))),
-            lambda i: F.struct(
-                F.try_element_at(by_place, _key(F.get(starts, i), F.get(starts, i + 2) - F.get(starts, i)))["score"].alias("score"),
-                (-i).alias("i"),
-            ),
-        )
-        best = F.array_max(F.filter(pairs, lambda p: p["score"].isNotNull()))
-        return let(
-            best["i"],
-            lambda i: F.when(i.isNull(), starts).otherwise(
-                F.concat(F.slice(starts, 1, 1 - i), F.slice(starts, 3 - i, F.size(starts)))
-            ),
-        )
+    def score(start: Column, end: Column) -> Column:
+        return F.get(values, F.array_position(keys, _key(start, end - start)).cast("int") - 1)
 
-    starts = F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(1), n + 1), step)
-    return let(
-        starts,
-        lambda s: F.zip_with(
-            F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s)), lambda a, b: F.struct(a.alias("start"), (b - a).alias("size"))
-        ),
-    )
+    def step(state: Column, _: Column) -> Column:
+        starts, scores = state["starts"], state["scores"]
+
+        def joined(j: Column) -> Column:
+            left = score(F.get(starts, j - 3), F.get(starts, j))
+            right = score(F.get(starts, j - 2), F.get(starts, j + 1))
+            rest = F.size(starts)
+            return F.struct(
+                F.concat(F.slice(starts, F.lit(1), j - 1), F.slice(starts, j + 1, rest)).alias("starts"),
+                F.concat(F.slice(scores, F.lit(1), j - 2), F.array(left, right), F.slice(scores, j + 2, rest)).alias("scores"),
+            )
+
+        best = F.array_position(scores, F.array_max(scores)).cast("int")
+        return let(best, lambda j: F.when(j.isNull(), state).otherwise(joined(j)))
+
+    none = F.array(F.lit(None).cast("double"))
+    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: score(i, i + 2))
+    first = F.struct(F.sequence(F.lit(1), n + 1).alias("starts"), F.concat(none, pairs, none).alias("scores"))
+    return F.aggregate(F.sequence(F.lit(2), n), first, step, lambda state: state["starts"])
+
+
+def _tokens(word: Column, starts: Column, keys: Column, ids: Column) -> Column:
+    """The ids of a word's parts; a single character without an edge is minus its code point."""
+
+    def of(start: Column, i: Column) -> Column:
+        size = F.get(starts, i + 1) - start
+        place = F.array_position(keys, _key(start, size)).cast("int")
+        alone = -F.ascii(F.substring(word, start, F.lit(1)))
+        return F.coalesce(F.get(ids, place - 1), alone)
+
+    return F.transform(F.slice(starts, F.lit(1), F.size(starts) - 1), of)
 
 
 def encode_words(words: DataFrame, keys: list[str], model: PieceModel, spark: SparkSession) -> DataFrame:
-    """``keys``, ``word`` and its ``ids``, for distinct words."""
+    """Distinct words, longer ones as windows: ``tokens`` by the fold, ``edges`` where a window needs them."""
     table = spark.createDataFrame(list(model.pieces), "piece string, id int, score double")
-    edges = lattice(words, keys, table, model.longest)
-    placed = edges.withColumn(
-        "by_place",
-        F.map_from_entries(
-            F.transform(
-                "edges",
-                lambda e: F.struct(_key(e["start"], e["size"]), F.struct(e["score"].alias("score"), e["id"].alias("id"))),
-            )
-        ),
-    )
-    if model.kind == "bpe":
-        spans = _merged_spans(F.col("n"), F.col("by_place"))
-    else:
-        spans = _viterbi_spans(F.col("n"), F.col("edges"), min(score for _, _, score in model.pieces))
-    cut = placed.withColumn("spans", spans)
-    return cut.select(*keys, "word", _ids(F.col("word"), F.col("spans"), F.col("by_place"), model.first_byte).alias("ids"))
+    cut = words.select(
+        *keys, F.explode(windows_of(F.col("word"), model.longest)).alias("part_of"), (F.length("word") > WINDOW).alias("window")
+    ).withColumnRenamed("part_of", "word")
+    found = lattice(cut, keys, table, _smallest(model), model.longest)
+    n, edges = F.length("word"), F.col("edges")
+    worst = min(score for _, _, score in model.pieces)
+
+    def folded(keys: Column) -> Column:
+        if model.kind == "bpe":
+            starts = let(edges["score"], lambda values: _merged_starts(n, keys, values))
+        else:
+            starts = _viterbi_starts(n, edges, worst)
+        return let(starts, lambda s: let(edges["id"], lambda ids: _tokens(F.col("word"), s, keys, ids)))
+
+    tokens = let(edges["key"], folded)
+    whole = F.when(~F.col("no_word"), tokens)
+    return found.select(*keys, "word", whole.alias("tokens"), F.when(F.col("window"), edges).alias("edges"))
+
+
+def _smallest(model: PieceModel) -> int:
+    """Merging starts from single characters, so only longer pieces are edges of its lattice."""
+    return 2 if model.kind == "bpe" else 1
+
+
+def _long_merge(n: int, edges: dict[tuple[int, int], tuple[float, int]]) -> list[int]:
+    """As ``_merged_starts`` for a long word, with a heap of pairs; places count from 0."""
+    before, after = list(range(-1, n)), list(range(1, n + 2))
+    alive = [True] * n
+
+    def pair(start: int) -> tuple[float, int, int] | None:
+        if start < 0 or after[start] >= n:
+            return None
+        end = after[after[start]]
+        hit = edges.get((start, end - start))
+        return hit and (-hit[0], start, end)
+
+    heap = [p for p in map(pair, range(n)) if p]
+    heapq.heapify(heap)
+    while heap:
+        _, start, end = heapq.heappop(heap)
+        middle = after[start]
+        if not alive[start] or middle >= n or after[middle] != end:
+            continue
+        alive[middle] = False
+        after[start] = end
+        before[end] = start
+        for p in (pair(before[start]), pair(start)):
+            if p:
+                heapq.heappush(heap, p)
+    return [i for i in range(n) if alive[i]]
+
+
+def _long_viterbi(n: int, edges: dict[tuple[int, int], tuple[float, int]], longest: int, unknown: float) -> list[int]:
+    """As ``_viterbi_starts`` for a long word; places count from 0."""
+    best = [(0.0, 0)]
+    for end in range(1, n + 1):
+        reach = [(best[end - k][0] + edges[end - k, k][0], k) for k in range(1, min(longest, end) + 1) if (end - k, k) in edges]
+        best.append(max(reach) if reach else (best[end - 1][0] + unknown, 1))
+    starts, at = [], n
+    while at:
+        at -= best[at][1]
+        starts.append(at)
+    return starts[::-1]
+
+
+class _Words(dict):
+    """A group's words by number; those that the lattice left open are encoded when they are met.
+
+    ``flat`` and ``ends`` hold the tokens of all words one after another.
+    """
+
+    def __init__(self, coded: pa.Table, model: PieceModel):
+        whole = coded.filter(coded["tokens"].is_valid())
+        words = whole["word"].to_pylist()
+        super().__init__(zip(words, range(len(words))))
+        tokens = pa.concat_arrays([*whole["tokens"].chunks, pa.array([], whole["tokens"].type)])
+        self.tokens, self.lengths = tokens.flatten().to_numpy(), tokens.value_lengths().to_numpy()
+        windows = coded.filter(coded["edges"].is_valid())
+        self.windows = dict(zip(windows["word"].to_pylist(), windows["edges"].to_pylist()))
+        self.model, self.more = model, []
+        self.unknown = min(score for _, _, score in model.pieces) - UNKNOWN_BELOW
+        # Only words of up to a window have been folded whole; a longer one is no key here.
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.lengths) + len(self.more)
+        self.more.append(self._long(word) if len(word) > WINDOW else [-ord(c) for c in word])
+        return number
+
+    def _long(self, word: str) -> list[int]:
+        edges, stride, n = {}, WINDOW - self.model.longest + 1, len(word)
+        for at in range(0, n, stride):
+            for e in self.windows.get(word[at : at + WINDOW], ()):
+                edges[at + e["start"] - 1, e["size"]] = (e["score"], e["id"])
+        if self.model.kind == "bpe":
+            starts = _long_merge(n, edges)
+        else:
+            starts = _long_viterbi(n, edges, self.model.longest, self.unknown)
+        parts = zip(starts, [*starts[1:], n])
+        return [edges[a, b - a][1] if (a, b - a) in edges else -ord(word[a]) for a, b in parts]
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after another, and where each word's end."""
+        more = [np.array(tokens, "int32") for tokens in self.more]
+        tokens = np.concatenate([self.tokens, *more]).astype("int32")
+        lengths = np.concatenate([self.lengths, [len(tokens) for tokens in more]]).astype("int64")
+        alone = tokens < 0
+        points, which = np.unique(-tokens[alone], return_inverse=True)
+        single = {ord(piece): (i,) for piece, i, _ in self.model.pieces if len(piece) == 1}
+        first = self.model.first_byte
+        said = [single.get(p) or tuple(first + byte for byte in chr(p).encode()) for p in points.tolist()]
+        counts = np.ones(len(tokens), "int64")
+        counts[alone] = np.array([len(s) for s in said], "int64")[which]
+        flat = np.repeat(tokens, counts)
+        begin = np.cumsum(counts) - counts
+        table = np.zeros((len(said), 4), "int32")
+        for row, s in enumerate(said):
+            table[row, : len(s)] = s
+        for byte in range(4):
+            holds = np.flatnonzero(alone)[counts[alone] > byte]
+            flat[begin[holds] + byte] = table[which[counts[alone] > byte], byte]
+        token_ends = np.concatenate([[0], np.cumsum(counts)])
+        return flat, token_ends[np.cumsum(lengths)]
+
+
+def _assembled(model: PieceModel):
+    """Documents of a group from the ids of its words."""
+    word = re.compile(WORD)
+
+    def assemble(docs: pa.Table, coded: pa.Table) -> pa.Table:
+        known = _Words(coded, model)
+        numbers, sizes = [], []
+        for text in docs["text"].to_pylist():
+            cut = [known[w] for w in word.findall(BLANK + text.replace(" ", BLANK))] if text else []
+            numbers.append(np.array(cut, "int64"))
+        flat, ends = known.ids()
+        lengths = np.diff(ends, prepend=0)
+        parts = []
+        for cut in numbers:
+            counts = lengths[cut]
+            jump = np.repeat(ends[cut] - np.cumsum(counts), counts)
+            parts.append(flat[jump + np.arange(len(jump))])
+            sizes.append(len(jump))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), "int32")
+        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*parts, np.array([], "int32")]), "int32"))
+        return pa.table({"doc_id": docs["doc_id"], "ids": ids})
+
+    return assemble
 
 
 def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,40 +351,33 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
 
     NULL and empty texts have no ids; characters without a piece become their bytes. Rows that
     repeat an id, or have none, are encoded by themselves. Other columns are ignored; an empty
-    table gives an empty result.
+    table gives an empty result. A run without blanks may have any length: its lattice is made in
+    windows, and the path of so long a word is found by a heap (merging) or a plain loop (Viterbi)
+    beside the documents, as a fold over arrays would cost the square of its length.
 
     Rows are dealt once, evenly, into groups of about ``GROUP_CHARS`` characters. All that follows
     keeps to a group: its distinct words, their lattice, the way back to the documents. So the
     texts move once and words never do, and no group depends on how often a word or id occurs.
     """
     spark = docs.sparkSession
-    # A join by (group, word) may rest on rows that are dealt by group alone.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     # A group's words and edges are gathered in hash tables, which its size bounds; by default such
     # an aggregate begins to sort, and spill, all its rows after 128 keys.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(1, -(-total // GROUP_CHARS))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # The group follows from the row's values, so it is the same whenever a row is computed again; the
-    # number only tells rows of equal values apart.
-    dealt = rows.withColumn("row", F.monotonically_increasing_id()).withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"), F.lit(0))
-    )
-    # Both uses of the words below ask for the same columns without a filter, so that one shuffle
-    # of the texts serves both.
-    split = dealt.repartition(groups, "part").select("part", "row", "doc_id", words_of(F.col("text")).alias("words"))
-    placed = split.select("part", "row", "doc_id", F.posexplode_outer("words").alias("place", "word"))
-    by_word = placed.groupBy("part", "row", "doc_id", "word").agg(F.collect_list("place").alias("places"))
-    distinct = by_word.groupBy("part", "word").agg(F.count("*").alias("rows")).where("word IS NOT NULL AND rows > 0")
-    coded = encode_words(distinct.select("part", "word"), ["part"], model, spark)
-    word_ids = F.coalesce("ids", _byte_ids(F.col("word"), model.first_byte))
-    found = by_word.join(coded, ["part", "word"], "left").select("part", "row", "doc_id", "word", "places", word_ids.alias("ids"))
-    at_places = F.transform("places", lambda p: F.struct(p.alias("place"), F.col("ids").alias("ids")))
-    ids = found.groupBy("part", "row", "doc_id").agg(
-        F.array_sort(F.flatten(F.collect_list(F.when(F.col("word").isNotNull(), at_places)))).alias("parts")
-    )
-    return ids.select("doc_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    # The group follows from the row's values and its task, so it is the same whenever a row is computed
+    # again, and equal rows of different tasks part.
+    code = F.xxhash64("doc_id", "text", F.spark_partition_id())
+    dealt = rows.withColumn("part", F.pmod(code, F.lit(groups).cast("long")).cast("int"))
+    # Twice as many partitions as groups, so that few groups meet in one, but no more than the session wants.
+    split = dealt.repartition(min(2 * groups, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
+    # Both uses of the rows ask for the same columns, so that one shuffle of the texts serves both.
+    each = split.select(F.col("part").alias("home"), "doc_id", F.explode(words_of(F.col("text"))).alias("word"))
+    distinct = each.groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
+    coded = encode_words(distinct, ["home"], model, spark)
+    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
+    return split.groupBy("part").cogroup(coded.groupBy("home")).applyInArrow(_assembled(model), schema)
 
 
 def decode(coded: DataFrame, model: PieceModel, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:

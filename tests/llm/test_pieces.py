@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from functools import cache
 
 import public_tokenizers
 import pytest
@@ -33,6 +34,25 @@ def test_equals_the_library(documents, edge_rows, model):
     assert {r["doc_id"]: r["text"] for r in pieces.decode(coded, model).collect()} == {k: t or "" for k, t in texts.items()}
 
 
+def test_runs_without_blanks(documents, model):
+    """Words longer than a window, the lengths around it, and a run of 600,000 characters in seconds."""
+    sp = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    lengths = [*range(pieces.WINDOW - 2, pieces.WINDOW + 3), 97, 98, 99, 500, 20_000]
+    rows = [(n, "".join(rng.choices(letters, k=n))) for n in lengths for letters in ("ab", "theringaslo", "日本éa𝒳")]
+    rows += [(n, "a" * n) for n in (65, 113, 4001)] + [(7, "".join(rng.choices("ACGTthe", k=600_000)))]
+    coded = pieces.encode(documents([(i, t) for i, (_, t) in enumerate(rows)]), model)
+    assert {r["doc_id"]: r["ids"] for r in coded.collect()} == {i: sp.encode(t) for i, (_, t) in enumerate(rows)}
+
+
+def test_many_groups_equal_one(documents, model, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(["the", "thing", "zz", "é"], k=20))) for i in range(60)] + [(90, None)] * 9
+    one = pieces.encode(documents(rows), model).collect()
+    monkeypatch.setattr(pieces, "GROUP_CHARS", 100)
+    assert sorted(pieces.encode(documents(rows), model).collect()) == sorted(one)
+
+
 def test_repeated_rows_and_empty_table(documents, model):
     coded = pieces.encode(documents([(5, "word"), (5, "word"), (None, "x")]), model).collect()
     assert len(coded) == 3
@@ -53,6 +73,8 @@ def test_viterbi_for_unigram_models(documents):
     score = {i + 300: s for i, s in enumerate(table.values())}
     rng = random.Random(1)
     rows = [(i, "".join(rng.choices("abc ", k=rng.randrange(1, 9)))) for i in range(40)]
+    best = cache(best)
+    rows += [(90, "".join(rng.choices("abc", k=300)))]
     coded = pieces.encode(documents(rows), model)
     unknown = min(table.values()) - pieces.UNKNOWN_BELOW
     texts = dict(rows)
