@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import cache
 from typing import NamedTuple
 
@@ -52,6 +53,8 @@ def load_model(path: str) -> PieceModel:
     inner = [p for p, _, _ in pieces if len(p) > 1 and ("\n" in p or BLANK in p.lstrip(BLANK))]
     if inner:
         raise ValueError("pieces that hold line ends or blanks inside need another way of cutting words")
+    if max(len(p) for p, _, _ in pieces) > WINDOW // 2 or sp.get_piece_size() >= 1 << 24:
+        raise ValueError("only models of up to 2^24 pieces of up to half a window are supported")
     return PieceModel(
         "bpe" if proto.trainer_spec.model_type == 2 else "unigram",
         pieces,
@@ -89,30 +92,40 @@ def windows_of(word: Column, longest: int) -> Column:
     return F.when(F.length(word) <= WINDOW, F.array(word)).otherwise(F.array_distinct(windows))
 
 
-def lattice(words: DataFrame, keys: list[str], table: DataFrame, smallest: int, longest: int) -> DataFrame:
-    """``keys``, ``word`` and its edges: substrings that are pieces.
+def lattice(words: DataFrame, keys: list[str], model: PieceModel) -> DataFrame:
+    """``keys``, ``word`` and its edges, the substrings that are pieces, as whole numbers (see ``_codes``).
 
-    ``window`` says whether a longer word needs it, ``no_word`` whether only longer words do.
-
-    Substrings of ``smallest`` to ``longest`` code points are exploded and joined to the piece table,
-    a table of the vocabulary's size; the edges are gathered by word. Words without an edge have no
-    row. ``words`` has columns ``keys``, ``word`` and ``window``.
+    Substrings of bounded length are exploded and joined to the piece table, a table of the
+    vocabulary's size; the edges are gathered by word. Words without an edge have no row. ``words``
+    has columns ``keys``, ``word`` and ``window`` (whether it is a part of a longer word). For
+    unigram models ``scored`` holds the edges with their scores as well. Merging starts from single
+    characters, so only longer pieces are edges of its lattice.
     """
+    smallest = 2 if model.kind == "bpe" else 1
+    ranks = _ranks(model)
+    table = words.sparkSession.createDataFrame(
+        [(piece, score, ranks[score] << 24 | i) for piece, i, score in model.pieces], "piece string, score double, code long"
+    )
     last = F.length("word") - smallest + 1
     starts = words.where(last >= 1).select("*", F.explode(F.sequence(F.lit(1), last)).alias("start"))
-    upto = F.least(F.lit(longest), F.length("word") - F.col("start") + 1)
+    upto = F.least(F.lit(model.longest), F.length("word") - F.col("start") + 1)
     parts = starts.select("*", F.explode(F.sequence(F.lit(smallest), upto)).alias("size"))
     named = parts.select("*", F.substring("word", F.col("start"), F.col("size")).alias("piece"))
-    edge = F.struct(F.col("start"), F.col("size"), _key(F.col("start"), F.col("size")).alias("key"), "id", "score")
-    return (
-        named.join(F.broadcast(table), "piece")
-        .groupBy(*keys, "word")
-        .agg(F.collect_list(edge).alias("edges"), F.max("window").alias("window"), F.min("window").alias("no_word"))
-    )
+    place = F.shiftleft(((F.col("start") - 1) * WINDOW + F.col("size")).cast("long"), 48)
+    found = [F.collect_list(place.bitwiseOR(F.col("code"))).alias("edges")]
+    if model.kind != "bpe":
+        found += [F.collect_list(F.struct("start", "size", "score")).alias("scored"), F.min("window").alias("window")]
+    return named.join(F.broadcast(table), "piece").groupBy(*keys, "word").agg(*found)
 
 
-def _key(start: Column, size: Column) -> Column:
-    return (start * F.lit(1 << 12) + size).cast("int")
+def _ranks(model: PieceModel) -> dict[float, int]:
+    """Scores by their order, the highest first; equal scores are one."""
+    return {score: rank for rank, score in enumerate(sorted({score for _, _, score in model.pieces}, reverse=True))}
+
+
+def _codes(codes: list[int], at: int = 0) -> dict[int, tuple[int, int]]:
+    """Edges by place, ``(start - 1) * WINDOW + size``, with rank and id: what stands in the bits from 48, 24 and 0."""
+    return {(at * WINDOW) + (code >> 48): (code >> 24 & 0xFFFFFF, code & 0xFFFFFF) for code in codes}
 
 
 def _viterbi_starts(n: Column, edges: Column, worst: float) -> Column:
@@ -149,89 +162,49 @@ def _viterbi_starts(n: Column, edges: Column, worst: float) -> Column:
     return let(states, back)
 
 
-def _merged_starts(n: Column, keys: Column, values: Column) -> Column:
-    """What byte-pair merging leaves of a word: a fold that each time joins the best neighbours.
-
-    The state holds where the parts begin, with an end mark, and the score of each pair of neighbours'
-    union, NULL if it is no piece, with a NULL at both ends. A step joins the pair with the highest
-    score, of equal ones the leftmost, and looks up the two pairs that this changes; with none left
-    it changes nothing.
-    """
-
-    def score(start: Column, end: Column) -> Column:
-        return F.get(values, F.array_position(keys, _key(start, end - start)).cast("int") - 1)
-
-    def step(state: Column, _: Column) -> Column:
-        starts, scores = state["starts"], state["scores"]
-
-        def joined(j: Column) -> Column:
-            left = score(F.get(starts, j - 3), F.get(starts, j))
-            right = score(F.get(starts, j - 2), F.get(starts, j + 1))
-            rest = F.size(starts)
-            return F.struct(
-                F.concat(F.slice(starts, F.lit(1), j - 1), F.slice(starts, j + 1, rest)).alias("starts"),
-                F.concat(F.slice(scores, F.lit(1), j - 2), F.array(left, right), F.slice(scores, j + 2, rest)).alias("scores"),
-            )
-
-        best = F.array_position(scores, F.array_max(scores)).cast("int")
-        return let(best, lambda j: F.when(j.isNull(), state).otherwise(joined(j)))
-
-    none = F.array(F.lit(None).cast("double"))
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: score(i, i + 2))
-    first = F.struct(F.sequence(F.lit(1), n + 1).alias("starts"), F.concat(none, pairs, none).alias("scores"))
-    return F.aggregate(F.sequence(F.lit(2), n), first, step, lambda state: state["starts"])
-
-
-def _tokens(word: Column, starts: Column, keys: Column, ids: Column) -> Column:
-    """The ids of a word's parts; a single character without an edge is minus its code point."""
-
-    def of(start: Column, i: Column) -> Column:
-        size = F.get(starts, i + 1) - start
-        place = F.array_position(keys, _key(start, size)).cast("int")
-        alone = -F.ascii(F.substring(word, start, F.lit(1)))
-        return F.coalesce(F.get(ids, place - 1), alone)
-
-    return F.transform(F.slice(starts, F.lit(1), F.size(starts) - 1), of)
-
-
-def encode_words(words: DataFrame, keys: list[str], model: PieceModel, spark: SparkSession) -> DataFrame:
-    """Distinct words, longer ones as windows: ``tokens`` by the fold, ``edges`` where a window needs them."""
-    table = spark.createDataFrame(list(model.pieces), "piece string, id int, score double")
+def encode_words(words: DataFrame, keys: list[str], model: PieceModel) -> DataFrame:
+    """Distinct words, longer ones as their windows, with ``edges``; for unigram models ``starts`` by the fold."""
     cut = words.select(
         *keys, F.explode(windows_of(F.col("word"), model.longest)).alias("part_of"), (F.length("word") > WINDOW).alias("window")
     ).withColumnRenamed("part_of", "word")
-    found = lattice(cut, keys, table, _smallest(model), model.longest)
-    n, edges = F.length("word"), F.col("edges")
-    worst = min(score for _, _, score in model.pieces)
-
-    def folded(keys: Column) -> Column:
-        if model.kind == "bpe":
-            starts = let(edges["score"], lambda values: _merged_starts(n, keys, values))
-        else:
-            starts = _viterbi_starts(n, edges, worst)
-        return let(starts, lambda s: let(edges["id"], lambda ids: _tokens(F.col("word"), s, keys, ids)))
-
-    tokens = let(edges["key"], folded)
-    whole = F.when(~F.col("no_word"), tokens)
-    return found.select(*keys, "word", whole.alias("tokens"), F.when(F.col("window"), edges).alias("edges"))
+    found = lattice(cut, keys, model)
+    starts = F.lit(None).cast("array<int>")
+    if model.kind != "bpe":
+        worst = min(score for _, _, score in model.pieces)
+        starts = F.when(~F.col("window"), _viterbi_starts(F.length("word"), F.col("scored"), worst))
+    return found.select(*keys, "word", "edges", starts.alias("starts"))
 
 
-def _smallest(model: PieceModel) -> int:
-    """Merging starts from single characters, so only longer pieces are edges of its lattice."""
-    return 2 if model.kind == "bpe" else 1
+def _merged(n: int, edges: dict[int, tuple[int, int]]) -> list[int]:
+    """What byte-pair merging leaves of a word: where its parts begin, places counted from 0.
 
-
-def _long_merge(n: int, edges: dict[tuple[int, int], tuple[float, int]]) -> list[int]:
-    """As ``_merged_starts`` for a long word, with a heap of pairs; places count from 0."""
+    Each time the pair of neighbours joins whose union is the piece of the best rank, of equal ones
+    the leftmost; only the two pairs that this changes are looked up again.
+    """
+    none = (1 << 24, 0)
+    starts = list(range(n + 1))
+    ranks = [edges.get(i * WINDOW + 2, none)[0] for i in range(n - 1)]
+    while ranks and (best := min(ranks)) < none[0]:
+        i = ranks.index(best)
+        del starts[i + 1], ranks[i]
+        if i:
+            ranks[i - 1] = edges.get(starts[i - 1] * WINDOW + min(starts[i + 1] - starts[i - 1], WINDOW - 1), none)[0]
+        if i < len(ranks):
+            ranks[i] = edges.get(starts[i] * WINDOW + min(starts[i + 2] - starts[i], WINDOW - 1), none)[0]
+    return starts[:-1]
+
+
+def _long_merged(n: int, edges: dict[int, tuple[int, int]]) -> list[int]:
+    """As ``_merged``, with a heap of pairs, for a long word."""
     before, after = list(range(-1, n)), list(range(1, n + 2))
     alive = [True] * n
 
-    def pair(start: int) -> tuple[float, int, int] | None:
+    def pair(start: int) -> tuple[int, int, int] | None:
         if start < 0 or after[start] >= n:
             return None
         end = after[after[start]]
-        hit = edges.get((start, end - start))
-        return hit and (-hit[0], start, end)
+        hit = edges.get(start * WINDOW + min(end - start, WINDOW - 1))
+        return hit and (hit[0], start, end)
 
     heap = [p for p in map(pair, range(n)) if p]
     heapq.heapify(heap)
@@ -249,12 +222,16 @@ def _long_merge(n: int, edges: dict[tuple[int, int], tuple[float, int]]) -> list
     return [i for i in range(n) if alive[i]]
 
 
-def _long_viterbi(n: int, edges: dict[tuple[int, int], tuple[float, int]], longest: int, unknown: float) -> list[int]:
+def _long_viterbi(n: int, edges: dict[int, tuple[int, int]], scores: list[float], longest: int) -> list[int]:
     """As ``_viterbi_starts`` for a long word; places count from 0."""
     best = [(0.0, 0)]
     for end in range(1, n + 1):
-        reach = [(best[end - k][0] + edges[end - k, k][0], k) for k in range(1, min(longest, end) + 1) if (end - k, k) in edges]
-        best.append(max(reach) if reach else (best[end - 1][0] + unknown, 1))
+        reach = [
+            (best[end - k][0] + scores[edges[(end - k) * WINDOW + k][0]], k)
+            for k in range(1, min(longest, end) + 1)
+            if (end - k) * WINDOW + k in edges
+        ]
+        best.append(max(reach) if reach else (best[end - 1][0] + scores[-1] - UNKNOWN_BELOW, 1))
     starts, at = [], n
     while at:
         at -= best[at][1]
@@ -263,45 +240,50 @@ def _long_viterbi(n: int, edges: dict[tuple[int, int], tuple[float, int]], longe
 
 
 class _Words(dict):
-    """A group's words by number; those that the lattice left open are encoded when they are met.
+    """A group's words by number, encoded when they are met; ``tokens`` holds those of all words.
 
-    ``flat`` and ``ends`` hold the tokens of all words one after another.
+    A token is an id, or minus the code point of a character that no edge covers.
     """
 
     def __init__(self, coded: pa.Table, model: PieceModel):
-        whole = coded.filter(coded["tokens"].is_valid())
-        words = whole["word"].to_pylist()
-        super().__init__(zip(words, range(len(words))))
-        tokens = pa.concat_arrays([*whole["tokens"].chunks, pa.array([], whole["tokens"].type)])
-        self.tokens, self.lengths = tokens.flatten().to_numpy(), tokens.value_lengths().to_numpy()
-        windows = coded.filter(coded["edges"].is_valid())
-        self.windows = dict(zip(windows["word"].to_pylist(), windows["edges"].to_pylist()))
-        self.model, self.more = model, []
-        self.unknown = min(score for _, _, score in model.pieces) - UNKNOWN_BELOW
-        # Only words of up to a window have been folded whole; a longer one is no key here.
+        super().__init__()
+        self.model, self.scores = model, sorted(_ranks(model), reverse=True)
+        edges = pa.concat_arrays([*coded["edges"].chunks, pa.array([], coded["edges"].type)])
+        self.codes, lengths = edges.flatten().to_numpy(), edges.value_lengths().to_numpy()
+        self.ends = np.cumsum(lengths).tolist()
+        self.rows = {word: row for row, word in enumerate(coded["word"].to_pylist())}
+        self.starts = coded["starts"]
+        self.tokens, self.lengths = array("i"), array("q")
 
     def __missing__(self, word: str) -> int:
-        number = self[word] = len(self.lengths) + len(self.more)
-        self.more.append(self._long(word) if len(word) > WINDOW else [-ord(c) for c in word])
+        number = self[word] = len(self.lengths)
+        tokens = self._tokens(word)
+        self.tokens.extend(tokens)
+        self.lengths.append(len(tokens))
         return number
 
-    def _long(self, word: str) -> list[int]:
-        edges, stride, n = {}, WINDOW - self.model.longest + 1, len(word)
-        for at in range(0, n, stride):
-            for e in self.windows.get(word[at : at + WINDOW], ()):
-                edges[at + e["start"] - 1, e["size"]] = (e["score"], e["id"])
-        if self.model.kind == "bpe":
-            starts = _long_merge(n, edges)
+    def _edges(self, word: str, at: int = 0) -> dict[int, tuple[int, int]]:
+        row = self.rows.get(word)
+        return {} if row is None else _codes(self.codes[self.ends[row - 1] if row else 0 : self.ends[row]].tolist(), at)
+
+    def _tokens(self, word: str) -> list[int]:
+        n, bpe = len(word), self.model.kind == "bpe"
+        if n <= WINDOW:
+            edges = self._edges(word)
+            if not edges:
+                return [-ord(c) for c in word]
+            starts = _merged(n, edges) if bpe else [s - 1 for s in self.starts[self.rows[word]].as_py()[:-1]]
         else:
-            starts = _long_viterbi(n, edges, self.model.longest, self.unknown)
-        parts = zip(starts, [*starts[1:], n])
-        return [edges[a, b - a][1] if (a, b - a) in edges else -ord(word[a]) for a, b in parts]
+            edges = {}
+            for at in range(0, n, WINDOW - self.model.longest + 1):
+                edges.update(self._edges(word[at : at + WINDOW], at))
+            starts = _long_merged(n, edges) if bpe else _long_viterbi(n, edges, self.scores, self.model.longest)
+        parts = [edges.get(a * WINDOW + b - a) for a, b in zip(starts, [*starts[1:], n])]
+        return [part[1] if part else -ord(word[a]) for a, part in zip(starts, parts)]
 
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words one after another, and where each word's end."""
-        more = [np.array(tokens, "int32") for tokens in self.more]
-        tokens = np.concatenate([self.tokens, *more]).astype("int32")
-        lengths = np.concatenate([self.lengths, [len(tokens) for tokens in more]]).astype("int64")
+        tokens, lengths = np.array(self.tokens, "int32"), np.array(self.lengths, "int64")
         alone = tokens < 0
         points, which = np.unique(-tokens[alone], return_inverse=True)
         single = {ord(piece): (i,) for piece, i, _ in self.model.pieces if len(piece) == 1}
@@ -352,8 +334,9 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     NULL and empty texts have no ids; characters without a piece become their bytes. Rows that
     repeat an id, or have none, are encoded by themselves. Other columns are ignored; an empty
     table gives an empty result. A run without blanks may have any length: its lattice is made in
-    windows, and the path of so long a word is found by a heap (merging) or a plain loop (Viterbi)
-    beside the documents, as a fold over arrays would cost the square of its length.
+    windows. Unigram models are folded by Viterbi over the edges with ``aggregate``; merges are
+    replayed over the edges beside the documents, and so are runs longer than a window, as a fold
+    over arrays would cost the square of their length.
 
     Rows are dealt once, evenly, into groups of about ``GROUP_CHARS`` characters. All that follows
     keeps to a group: its distinct words, their lattice, the way back to the documents. So the
@@ -375,7 +358,7 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     # Both uses of the rows ask for the same columns, so that one shuffle of the texts serves both.
     each = split.select(F.col("part").alias("home"), "doc_id", F.explode(words_of(F.col("text"))).alias("word"))
     distinct = each.groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
-    coded = encode_words(distinct, ["home"], model, spark)
+    coded = encode_words(distinct, ["home"], model)
     schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
     return split.groupBy("part").cogroup(coded.groupBy("home")).applyInArrow(_assembled(model), schema)
 
