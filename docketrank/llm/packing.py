@@ -284,7 +284,9 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> D
             )
             start = islands.join(own, ["shard", "island"]).join(guest, ["shard", "island"])
         # One task each: a few kilobytes here are seconds of work, which no merging by size may gather.
-        start = start.repartition(n_shards * ISLANDS, "shard", "island")
+        # Beyond a multiple of the session's partitions a task evolves several, one after another.
+        most = 16 * int(start.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        start = start.repartition(min(n_shards * ISLANDS, most), "shard", "island")
         elites = stored(
             start.mapInPandas(_round(capacity, epoch), "shard long, island int, n_bins int, cost long, places array<int>")
         )
