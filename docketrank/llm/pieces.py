@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -19,8 +19,12 @@ from docketrank.llm.common import let
 BLANK = "▁"
 # Where words are cut: before runs of blanks, around line ends. Java and Python read it alike.
 WORD = f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"
+# Stands between words while a text is cut by plain replacements; texts that hold it are cut by the pattern.
+MARK = "\x00"
+# Replacements that put the mark where ``WORD`` cuts. Joining blanks twice joins runs of any length.
+CUTS = ((BLANK, " "), (" ", MARK + BLANK), *[(BLANK + MARK + BLANK, BLANK + BLANK)] * 2, ("\n", MARK + "\n" + MARK))
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
-GROUP_CHARS = 8_000_000
+GROUP_CHARS = 16_000_000
 # Longer words have their lattice made in overlapping windows of so many code points.
 WINDOW = 64
 # Score of a character without a piece, below the least score of the table.
@@ -70,10 +74,32 @@ def public_model() -> PieceModel:
 
 
 def words_of(text: Column) -> Column:
-    """A text cut where no piece can reach across: before runs of blanks, around line ends."""
+    """A text cut where no piece can reach across, before runs of blanks and around line ends; some words are empty."""
     marked = F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK)))
-    cut = F.regexp_extract_all(marked, F.lit(WORD), F.lit(0))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(cut)
+    cut = F.concat(F.lit(" "), text)
+    for old, new in CUTS:
+        cut = F.replace(cut, F.lit(old), F.lit(new))
+    words = F.when(F.contains(text, F.lit(MARK)), F.regexp_extract_all(marked, F.lit(WORD), F.lit(0))).otherwise(F.split(cut, MARK))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(words)
+
+
+def _neighbours(model: PieceModel) -> set[str]:
+    """The pairs of characters that stand side by side in some piece. Between any others every piece ends."""
+    return {piece[i : i + 2] for piece, _, _ in model.pieces for i in range(len(piece) - 1)}
+
+
+def parts_of(word: Column, model: PieceModel) -> Column:
+    """A word cut between neighbours that no piece holds; what two words have in common has one lattice."""
+    after: dict[str, set[str]] = {}
+    for first, second in _neighbours(model):
+        after.setdefault(first, set()).add(second)
+
+    def said(c: str) -> str:
+        return f"\\x{{{ord(c):x}}}"
+
+    held = sorted(after.items(), key=lambda item: (-len(item[1]), item[0]))
+    pairs = "|".join(f"{said(first)}(?=[{''.join(map(said, sorted(seconds)))}])" for first, seconds in held)
+    return F.regexp_extract_all(word, F.lit(f"(?s)(?:{pairs})*+." if pairs else "(?s)."), F.lit(0))
 
 
 def windows_of(word: Column, longest: int) -> Column:
@@ -239,51 +265,102 @@ def _long_viterbi(n: int, edges: dict[int, tuple[int, int]], scores: list[float]
     return starts[::-1]
 
 
-class _Words(dict):
-    """A group's words by number, encoded when they are met; ``tokens`` holds those of all words.
+def _joined(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``flat`` for a list of numbers, one after another, and how many each number has.
+
+    Number ``i`` stands for the entries up to ``ends[i]`` from those of the number before.
+    """
+    counts = np.diff(ends, prepend=0)[numbers]
+    jump = np.repeat(ends[numbers] - np.cumsum(counts), counts)
+    return flat[jump + np.arange(len(jump))], counts
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, as ``words_of`` cuts them, and how many each text has."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    marked = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))
+    for old, new in CUTS:
+        marked = pc.replace_substring(marked, old, new)
+    lists = pc.split_pattern(marked, MARK)
+    odd = pc.match_substring(texts, MARK)
+    if pc.any(odd).as_py():
+        word = re.compile(WORD)
+        by_pattern = [
+            word.findall(BLANK + text.replace(" ", BLANK)) if by else cut.as_py()
+            for text, by, cut in zip(texts.to_pylist(), odd.to_pylist(), lists, strict=True)
+        ]
+        lists = pa.array(by_pattern, lists.type)
+    words, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+    some = pc.and_(pc.greater(pc.binary_length(words), 0), pa.array(np.repeat(pc.binary_length(texts).to_numpy() > 0, sizes)))
+    row = np.repeat(np.arange(len(texts)), sizes)[some.to_numpy(zero_copy_only=False)]
+    return words.filter(some), np.bincount(row, minlength=len(texts))
+
+
+def _split_up(words: pa.Array, pairs: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all words one after another, cut as by ``parts_of``, and where each word's end."""
+    text = "".join(words.to_pylist())
+    points = np.frombuffer(text.encode("utf-32-le"), "uint32").astype("int64")
+    word_ends = np.cumsum(pc.utf8_length(words).to_numpy())
+    both = (points[:-1] << 32) | points[1:]
+    held = np.zeros(len(points), bool)
+    if len(both) and len(pairs):
+        held[:-1] = pairs[np.minimum(np.searchsorted(pairs, both), len(pairs) - 1)] == both
+    held[word_ends - 1] = False
+    part_ends = np.flatnonzero(~held) + 1
+    data = text.encode()
+    begins = np.append(np.flatnonzero((np.frombuffer(data, "uint8") & 0xC0) != 0x80), len(data))
+    offsets = begins[np.concatenate([[0], part_ends])].astype("int64")
+    parts = pa.LargeStringArray.from_buffers(len(part_ends), pa.py_buffer(offsets), pa.py_buffer(data))
+    return parts, np.searchsorted(part_ends, word_ends, "right")
+
+
+class _Parts:
+    """The ids of a group's parts of words, by the edges that the joins found.
 
     A token is an id, or minus the code point of a character that no edge covers.
     """
 
     def __init__(self, coded: pa.Table, model: PieceModel):
-        super().__init__()
         self.model, self.scores = model, sorted(_ranks(model), reverse=True)
         edges = pa.concat_arrays([*coded["edges"].chunks, pa.array([], coded["edges"].type)])
         self.codes, lengths = edges.flatten().to_numpy(), edges.value_lengths().to_numpy()
-        self.ends = np.cumsum(lengths).tolist()
-        self.rows = {word: row for row, word in enumerate(coded["word"].to_pylist())}
+        self.ends = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+        self.words = coded["word"].cast(pa.large_string()).combine_chunks()
+        self.rows: dict[str, int] = {}
         self.starts = coded["starts"]
-        self.tokens, self.lengths = array("i"), array("q")
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self.lengths)
-        tokens = self._tokens(word)
-        self.tokens.extend(tokens)
-        self.lengths.append(len(tokens))
-        return number
+    def _edges(self, row: int | None, at: int = 0) -> dict[int, tuple[int, int]]:
+        return {} if row is None else _codes(self.codes[self.ends[row] : self.ends[row + 1]].tolist(), at)
 
-    def _edges(self, word: str, at: int = 0) -> dict[int, tuple[int, int]]:
-        row = self.rows.get(word)
-        return {} if row is None else _codes(self.codes[self.ends[row - 1] if row else 0 : self.ends[row]].tolist(), at)
+    def _window_row(self, window: str) -> int | None:
+        if not self.rows:
+            self.rows = {word: row for row, word in enumerate(self.words.to_pylist())}
+        return self.rows.get(window)
 
-    def _tokens(self, word: str) -> list[int]:
+    def _tokens(self, word: str, row: int | None) -> list[int]:
         n, bpe = len(word), self.model.kind == "bpe"
         if n <= WINDOW:
-            edges = self._edges(word)
-            if not edges:
+            if row is None:
                 return [-ord(c) for c in word]
-            starts = _merged(n, edges) if bpe else [s - 1 for s in self.starts[self.rows[word]].as_py()[:-1]]
+            edges = self._edges(row)
+            starts = _merged(n, edges) if bpe else [s - 1 for s in self.starts[row].as_py()[:-1]]
         else:
             edges = {}
             for at in range(0, n, WINDOW - self.model.longest + 1):
-                edges.update(self._edges(word[at : at + WINDOW], at))
+                edges.update(self._edges(self._window_row(word[at : at + WINDOW]), at))
             starts = _long_merged(n, edges) if bpe else _long_viterbi(n, edges, self.scores, self.model.longest)
         parts = [edges.get(a * WINDOW + b - a) for a, b in zip(starts, [*starts[1:], n])]
         return [part[1] if part else -ord(word[a]) for a, part in zip(starts, parts)]
 
-    def ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words one after another, and where each word's end."""
-        tokens, lengths = np.array(self.tokens, "int32"), np.array(self.lengths, "int64")
+    def ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some parts one after another, and where each part's end."""
+        rows = pc.index_in(parts, value_set=self.words).to_pylist()
+        said = list(map(self._tokens, parts.to_pylist(), rows))
+        lengths = np.fromiter(map(len, said), "int64", len(said))
+        tokens = np.fromiter((t for part in said for t in part), "int32", lengths.sum())
+        return self._as_bytes(tokens, lengths)
+
+    def _as_bytes(self, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         alone = tokens < 0
         points, which = np.unique(-tokens[alone], return_inverse=True)
         single = {ord(piece): (i,) for piece, i, _ in self.model.pieces if len(piece) == 1}
@@ -304,25 +381,20 @@ class _Words(dict):
 
 
 def _assembled(model: PieceModel):
-    """Documents of a group from the ids of its words."""
-    word = re.compile(WORD)
+    """Documents of a group from the ids of its words, those from the ids of their parts."""
+    pairs = np.array(sorted(ord(p[0]) << 32 | ord(p[1]) for p in _neighbours(model)), "int64")
 
     def assemble(docs: pa.Table, coded: pa.Table) -> pa.Table:
-        known = _Words(coded, model)
-        numbers, sizes = [], []
-        for text in docs["text"].to_pylist():
-            cut = [known[w] for w in word.findall(BLANK + text.replace(" ", BLANK))] if text else []
-            numbers.append(np.array(cut, "int64"))
-        flat, ends = known.ids()
-        lengths = np.diff(ends, prepend=0)
-        parts = []
-        for cut in numbers:
-            counts = lengths[cut]
-            jump = np.repeat(ends[cut] - np.cumsum(counts), counts)
-            parts.append(flat[jump + np.arange(len(jump))])
-            sizes.append(len(jump))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), "int32")
-        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*parts, np.array([], "int32")]), "int32"))
+        words, sizes = _cut(docs["text"].combine_chunks())
+        named = words.dictionary_encode()
+        parts, ends = _split_up(named.dictionary, pairs)
+        each = parts.dictionary_encode()
+        flat, part_ends = _Parts(coded, model).ids(each.dictionary)
+        flat, counts = _joined(flat, part_ends, each.indices.to_numpy())
+        word_ends = np.concatenate([[0], np.cumsum(counts)])[ends]
+        flat, counts = _joined(flat, word_ends, named.indices.to_numpy())
+        doc_ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+        ids = pa.ListArray.from_arrays(pa.array(doc_ends, "int32"), pa.array(flat, "int32"))
         return pa.table({"doc_id": docs["doc_id"], "ids": ids})
 
     return assemble
@@ -357,8 +429,9 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     split = dealt.repartition(min(2 * groups, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
     # Both uses of the rows ask for the same columns, so that one shuffle of the texts serves both.
     each = split.select(F.col("part").alias("home"), "doc_id", F.explode(words_of(F.col("text"))).alias("word"))
-    distinct = each.groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
-    coded = encode_words(distinct, ["home"], model)
+    distinct = each.where("word <> ''").groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
+    parts = distinct.select("home", F.explode(parts_of(F.col("word"), model)).alias("part_of"))
+    coded = encode_words(parts.where(F.length("part_of") > 1).select("home", F.col("part_of").alias("word")).distinct(), ["home"], model)
     schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
     return split.groupBy("part").cogroup(coded.groupBy("home")).applyInArrow(_assembled(model), schema)
 

@@ -11,7 +11,7 @@ from docketrank.llm import pieces
 
 TEXTS = [
     "a  b", " a", "a ", "\n", "a\nb", "\t", "  ", "ﬁ x", "Ａ z", "a\n\n  b", "   a    bbbbb", "<s> </s>", "日本語のテキスト", "𝒳 y",
-    "x" * 90 + " mississippi", "The quick brown fox's 1234 jumps.", "wi th 　",
+    "a\x00b  c", "\x00", "a▁b ▁", " \n  \n\n x", "x" * 90 + " mississippi", "The quick brown fox's 1234 jumps.", "wi th 　",
 ]
 
 
