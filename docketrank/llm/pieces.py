@@ -10,6 +10,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -24,9 +25,13 @@ MARK = "\x00"
 # Replacements that put the mark where ``WORD`` cuts. Joining blanks twice joins runs of any length.
 CUTS = ((BLANK, " "), (" ", MARK + BLANK), *[(BLANK + MARK + BLANK, BLANK + BLANK)] * 2, ("\n", MARK + "\n" + MARK))
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
-GROUP_CHARS = 16_000_000
+GROUP_CHARS = 8_000_000
 # Longer words have their lattice made in overlapping windows of so many code points.
 WINDOW = 64
+# Words are merged together as long as their tables of edges have no more than so many cells.
+TABLE_CELLS = 2_000_000
+# Fixed value: the seed of Spark's xxhash64.
+HASH_SEED = 42
 # Score of a character without a piece, below the least score of the table.
 UNKNOWN_BELOW = 10.0
 
@@ -83,23 +88,23 @@ def words_of(text: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(words)
 
 
-def _neighbours(model: PieceModel) -> set[str]:
-    """The pairs of characters that stand side by side in some piece. Between any others every piece ends."""
-    return {piece[i : i + 2] for piece, _, _ in model.pieces for i in range(len(piece) - 1)}
-
+@cache
+def _breaks(model: PieceModel) -> tuple[str, str]:
+    """Letters of the model's pieces, and its other characters that follow none of these in any piece.
 
-def parts_of(word: Column, model: PieceModel) -> Column:
-    """A word cut between neighbours that no piece holds; what two words have in common has one lattice."""
-    after: dict[str, set[str]] = {}
-    for first, second in _neighbours(model):
-        after.setdefault(first, set()).add(second)
+    So no piece holds one of the first and then one of the second: every path breaks between them.
+    Latin letters only, as the pattern of ``parts_of`` has to name them.
+    """
+    letters = {c for piece, _, _ in model.pieces for c in piece if c.isalpha() and c < "\u0250"}
+    others = {c for piece, _, _ in model.pieces for c in piece if not c.isalpha()}
+    others -= {b for piece, _, _ in model.pieces for a, b in zip(piece, piece[1:]) if a in letters}
+    return "".join(sorted(letters)), "".join(sorted(others))
 
-    def said(c: str) -> str:
-        return f"\\x{{{ord(c):x}}}"
 
-    held = sorted(after.items(), key=lambda item: (-len(item[1]), item[0]))
-    pairs = "|".join(f"{said(first)}(?=[{''.join(map(said, sorted(seconds)))}])" for first, seconds in held)
-    return F.regexp_extract_all(word, F.lit(f"(?s)(?:{pairs})*+." if pairs else "(?s)."), F.lit(0))
+def parts_of(word: Column, model: PieceModel) -> Column:
+    """A word cut where every path breaks (``_breaks``); what words have in common has one lattice."""
+    before, after = ("".join(f"\\x{{{ord(c):x}}}" for c in chars) for chars in _breaks(model))
+    return F.split(word, f"(?<=[{before}])(?=[{after}])") if before and after else F.array(word)
 
 
 def windows_of(word: Column, longest: int) -> Column:
@@ -118,14 +123,12 @@ def windows_of(word: Column, longest: int) -> Column:
     return F.when(F.length(word) <= WINDOW, F.array(word)).otherwise(F.array_distinct(windows))
 
 
-def lattice(words: DataFrame, keys: list[str], model: PieceModel) -> DataFrame:
-    """``keys``, ``word`` and its edges, the substrings that are pieces, as whole numbers (see ``_codes``).
+def edges_of(words: DataFrame, model: PieceModel) -> DataFrame:
+    """The columns of ``words`` with ``start``, ``size``, ``score`` and ``edge`` (see ``_codes``) of every edge.
 
-    Substrings of bounded length are exploded and joined to the piece table, a table of the
-    vocabulary's size; the edges are gathered by word. Words without an edge have no row. ``words``
-    has columns ``keys``, ``word`` and ``window`` (whether it is a part of a longer word). For
-    unigram models ``scored`` holds the edges with their scores as well. Merging starts from single
-    characters, so only longer pieces are edges of its lattice.
+    Substrings of bounded length of the column ``word`` are exploded and joined to the piece table, a
+    table of the vocabulary's size. Merging starts from single characters, so for BPE models only
+    longer pieces are edges.
     """
     smallest = 2 if model.kind == "bpe" else 1
     ranks = _ranks(model)
@@ -138,10 +141,8 @@ def lattice(words: DataFrame, keys: list[str], model: PieceModel) -> DataFrame:
     parts = starts.select("*", F.explode(F.sequence(F.lit(smallest), upto)).alias("size"))
     named = parts.select("*", F.substring("word", F.col("start"), F.col("size")).alias("piece"))
     place = F.shiftleft(((F.col("start") - 1) * WINDOW + F.col("size")).cast("long"), 48)
-    found = [F.collect_list(place.bitwiseOR(F.col("code"))).alias("edges")]
-    if model.kind != "bpe":
-        found += [F.collect_list(F.struct("start", "size", "score")).alias("scored"), F.min("window").alias("window")]
-    return named.join(F.broadcast(table), "piece").groupBy(*keys, "word").agg(*found)
+    joined = named.join(F.broadcast(table), "piece")
+    return joined.select(*words.columns, "start", "size", "score", place.bitwiseOR(F.col("code")).alias("edge"))
 
 
 def _ranks(model: PieceModel) -> dict[float, int]:
@@ -188,40 +189,55 @@ def _viterbi_starts(n: Column, edges: Column, worst: float) -> Column:
     return let(states, back)
 
 
-def encode_words(words: DataFrame, keys: list[str], model: PieceModel) -> DataFrame:
-    """Distinct words, longer ones as their windows, with ``edges``; for unigram models ``starts`` by the fold."""
-    cut = words.select(
-        *keys, F.explode(windows_of(F.col("word"), model.longest)).alias("part_of"), (F.length("word") > WINDOW).alias("window")
-    ).withColumnRenamed("part_of", "word")
-    found = lattice(cut, keys, model)
-    starts = F.lit(None).cast("array<int>")
-    if model.kind != "bpe":
-        worst = min(score for _, _, score in model.pieces)
-        starts = F.when(~F.col("window"), _viterbi_starts(F.length("word"), F.col("scored"), worst))
-    return found.select(*keys, "word", "edges", starts.alias("starts"))
+def coded_words(words: DataFrame, model: PieceModel) -> DataFrame:
+    """What the documents of a group (``home``) need of its words' lattices; longer words go as their windows.
 
-
-def _merged(n: int, edges: dict[int, tuple[int, int]]) -> list[int]:
-    """What byte-pair merging leaves of a word: where its parts begin, places counted from 0.
-
-    Each time the pair of neighbours joins whose union is the piece of the best rank, of equal ones
-    the leftmost; only the two pairs that this changes are looked up again.
+    For BPE models one row per edge with the word's hash: a group's edges are put by word beside its
+    documents, where each is checked against its word. For unigram models edges are gathered by word,
+    with ``starts`` by the fold. Words without an edge have no row.
+    """
+    window = (F.length("word") > WINDOW).alias("window")
+    cut = words.select("home", F.explode(windows_of(F.col("word"), model.longest)).alias("part_of"), window)
+    edges = edges_of(cut.withColumnRenamed("part_of", "word"), model)
+    if model.kind == "bpe":
+        return edges.select("home", F.xxhash64("word").alias("hash"), "edge")
+    scored = F.collect_list(F.struct("start", "size", "score")).alias("scored")
+    found = edges.groupBy("home", "word").agg(F.collect_set("edge").alias("edges"), scored, F.min("window").alias("window"))
+    worst = min(score for _, _, score in model.pieces)
+    starts = F.when(~F.col("window"), _viterbi_starts(F.length("word"), F.col("scored"), worst))
+    return found.select("home", F.xxhash64("word").alias("hash"), "edges", starts.alias("starts"))
+
+
+def _merged(n: int, codes: np.ndarray, owner: np.ndarray, points: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """What byte-pair merging leaves of words of ``n`` characters: tokens one after another, and how many each word has.
+
+    In each step, in every word, the pair of neighbours joins whose union is the piece of the best
+    rank, of equal ones the leftmost. ``codes`` are edges of the words ``owner``; ``points`` has the
+    code points, a row a word. A token is an id, or the complement of the code point of a single character.
     """
-    none = (1 << 24, 0)
-    starts = list(range(n + 1))
-    ranks = [edges.get(i * WINDOW + 2, none)[0] for i in range(n - 1)]
-    while ranks and (best := min(ranks)) < none[0]:
-        i = ranks.index(best)
-        del starts[i + 1], ranks[i]
-        if i:
-            ranks[i - 1] = edges.get(starts[i - 1] * WINDOW + min(starts[i + 1] - starts[i - 1], WINDOW - 1), none)[0]
-        if i < len(ranks):
-            ranks[i] = edges.get(starts[i] * WINDOW + min(starts[i + 2] - starts[i], WINDOW - 1), none)[0]
-    return starts[:-1]
+    count, none = len(points), 1 << 24
+    table = np.full((count, n, longest + 2), none << 24, "int64")
+    table[owner, *np.divmod(codes >> 48, WINDOW)] = codes & ((1 << 48) - 1)
+    cuts = np.tile(np.arange(n + 1, dtype="int32"), (count, 1))  # where parts begin, then ``n`` for the rest
+    left, places = np.arange(count), np.arange(n + 1)
+    while n > 1 and len(left):
+        now = cuts[left]
+        begin, end = now[:, :-2], now[:, 2:]
+        rank = table[left[:, None], np.minimum(begin, n - 1), np.minimum(end - begin, longest + 1)] >> 24
+        rank[now[:, 1:-1] >= n] = none
+        best = rank.argmin(axis=1)
+        joins = rank[np.arange(len(left)), best] < none
+        left, now, best = left[joins], now[joins], best[joins]
+        later = np.concatenate([now[:, 1:], np.full((len(left), 1), n, "int32")], axis=1)
+        cuts[left] = np.where(places <= best[:, None], now, later)
+    word, at = np.nonzero(cuts[:, :-1] < n)
+    begin, size = cuts[word, at], cuts[word, at + 1] - cuts[word, at]
+    tokens = np.where(size == 1, ~points[word, begin].astype("int64"), table[word, begin, np.minimum(size, longest + 1)] & 0xFFFFFF)
+    return tokens, np.bincount(word, minlength=count)
 
 
 def _long_merged(n: int, edges: dict[int, tuple[int, int]]) -> list[int]:
-    """As ``_merged``, with a heap of pairs, for a long word."""
+    """As ``_merged``, with a heap of pairs, for one long word; where its parts begin, places counted from 0."""
     before, after = list(range(-1, n)), list(range(1, n + 2))
     alive = [True] * n
 
@@ -296,17 +312,16 @@ def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(some), np.bincount(row, minlength=len(texts))
 
 
-def _split_up(words: pa.Array, pairs: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+def _split_up(words: pa.Array, breaks: tuple[str, str]) -> tuple[pa.Array, np.ndarray]:
     """The parts of all words one after another, cut as by ``parts_of``, and where each word's end."""
     text = "".join(words.to_pylist())
-    points = np.frombuffer(text.encode("utf-32-le"), "uint32").astype("int64")
+    points = np.frombuffer(text.encode("utf-32-le"), "uint32")
     word_ends = np.cumsum(pc.utf8_length(words).to_numpy())
-    both = (points[:-1] << 32) | points[1:]
-    held = np.zeros(len(points), bool)
-    if len(both) and len(pairs):
-        held[:-1] = pairs[np.minimum(np.searchsorted(pairs, both), len(pairs) - 1)] == both
-    held[word_ends - 1] = False
-    part_ends = np.flatnonzero(~held) + 1
+    before, after = (np.array(list(map(ord, chars)), "uint32") for chars in breaks)
+    ends = np.isin(points, before, kind="table")
+    ends[:-1] &= np.isin(points[1:], after, kind="table")
+    ends[word_ends - 1] = True
+    part_ends = np.flatnonzero(ends) + 1
     data = text.encode()
     begins = np.append(np.flatnonzero((np.frombuffer(data, "uint8") & 0xC0) != 0x80), len(data))
     offsets = begins[np.concatenate([[0], part_ends])].astype("int64")
@@ -317,52 +332,109 @@ def _split_up(words: pa.Array, pairs: np.ndarray) -> tuple[pa.Array, np.ndarray]
 class _Parts:
     """The ids of a group's parts of words, by the edges that the joins found.
 
-    A token is an id, or minus the code point of a character that no edge covers.
+    Words are found by their hash (Spark's ``xxhash64``), and every edge is checked against the word's
+    text, so words that share a hash get their own edges. A token is an id, or the complement
+    of the code point of a character that no edge covers.
     """
 
     def __init__(self, coded: pa.Table, model: PieceModel):
         self.model, self.scores = model, sorted(_ranks(model), reverse=True)
-        edges = pa.concat_arrays([*coded["edges"].chunks, pa.array([], coded["edges"].type)])
-        self.codes, lengths = edges.flatten().to_numpy(), edges.value_lengths().to_numpy()
-        self.ends = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-        self.words = coded["word"].cast(pa.large_string()).combine_chunks()
-        self.rows: dict[str, int] = {}
-        self.starts = coded["starts"]
-
-    def _edges(self, row: int | None, at: int = 0) -> dict[int, tuple[int, int]]:
-        return {} if row is None else _codes(self.codes[self.ends[row] : self.ends[row + 1]].tolist(), at)
-
-    def _window_row(self, window: str) -> int | None:
-        if not self.rows:
-            self.rows = {word: row for row, word in enumerate(self.words.to_pylist())}
-        return self.rows.get(window)
-
-    def _tokens(self, word: str, row: int | None) -> list[int]:
-        n, bpe = len(word), self.model.kind == "bpe"
+        hashes = coded["hash"].to_numpy()
+        self.starts: dict[int, list] = {}
+        if model.kind == "bpe":
+            codes = coded["edge"].to_numpy()
+        else:
+            edges = pa.concat_arrays([*coded["edges"].chunks, pa.array([], coded["edges"].type)])
+            for number, starts in zip(hashes.tolist(), coded["starts"].to_pylist()):
+                self.starts.setdefault(number, []).append(starts)
+            hashes, codes = np.repeat(hashes, edges.value_lengths().to_numpy()), edges.flatten().to_numpy()
+        order = np.argsort(hashes, kind="stable")
+        self.codes = codes[order]
+        self.hashes, first = np.unique(hashes[order], return_index=True)
+        self.ends = np.append(first, len(codes))
+        self.piece = {i: piece for piece, i, _ in model.pieces}
+        self.spelled = np.zeros((1 + max(self.piece), model.longest), "uint32")
+        for i, piece in self.piece.items():
+            self.spelled[i, : len(piece)] = list(map(ord, piece))
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Where the edges of words are; -1 for words without any."""
+        wanted = np.array([xxhash.xxh64_intdigest(word.encode(), HASH_SEED) for word in words], "uint64").view("int64")
+        if not len(self.hashes):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == wanted, at, -1)
+
+    def _edges(self, word: str, at: int = 0) -> dict[int, tuple[int, int]]:
+        row = int(self._rows([word])[0])
+        codes = [] if row < 0 else self.codes[self.ends[row] : self.ends[row + 1]].tolist()
+        own = []
+        for code in codes:
+            start, size = divmod(code >> 48, WINDOW)
+            if self.piece[code & 0xFFFFFF] == word[start : start + size]:
+                own.append(code)
+        return _codes(own, at)
+
+    def _tokens(self, word: str, row: int) -> list[int]:
+        """One word: of a unigram model, or longer than a window."""
+        n = len(word)
         if n <= WINDOW:
-            if row is None:
-                return [-ord(c) for c in word]
-            edges = self._edges(row)
-            starts = _merged(n, edges) if bpe else [s - 1 for s in self.starts[row].as_py()[:-1]]
+            if row < 0:
+                return [~ord(c) for c in word]
+            edges, folded = self._edges(word), self.starts[int(self.hashes[row])]
+            if len(folded) == 1:
+                starts = [s - 1 for s in folded[0][:-1]]
+            else:
+                starts = _long_viterbi(n, edges, self.scores, self.model.longest)
         else:
             edges = {}
             for at in range(0, n, WINDOW - self.model.longest + 1):
-                edges.update(self._edges(self._window_row(word[at : at + WINDOW]), at))
+                edges.update(self._edges(word[at : at + WINDOW], at))
+            bpe = self.model.kind == "bpe"
             starts = _long_merged(n, edges) if bpe else _long_viterbi(n, edges, self.scores, self.model.longest)
         parts = [edges.get(a * WINDOW + b - a) for a, b in zip(starts, [*starts[1:], n])]
-        return [part[1] if part else -ord(word[a]) for a, part in zip(starts, parts)]
+        return [part[1] if part else ~ord(word[a]) for a, part in zip(starts, parts)]
 
     def ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some parts one after another, and where each part's end."""
-        rows = pc.index_in(parts, value_set=self.words).to_pylist()
-        said = list(map(self._tokens, parts.to_pylist(), rows))
-        lengths = np.fromiter(map(len, said), "int64", len(said))
-        tokens = np.fromiter((t for part in said for t in part), "int32", lengths.sum())
+        rows = self._rows(parts.to_pylist())
+        sizes = pc.utf8_length(parts).to_numpy()
+        together = (sizes <= WINDOW) & (self.model.kind == "bpe")
+        done = []  # numbers of parts, their tokens, how many each has
+        for n in np.unique(sizes[together]).tolist():
+            same = np.flatnonzero(together & (sizes == n))
+            step = max(1, TABLE_CELLS // (n * (self.model.longest + 2)))
+            done += [self._together(n, parts, chosen, rows[chosen]) for chosen in np.split(same, range(step, len(same), step))]
+        alone = np.flatnonzero(~together)
+        for number, word in zip(alone.tolist(), parts.take(pa.array(alone)).to_pylist()):
+            tokens = self._tokens(word, int(rows[number]))
+            done.append((np.array([number]), np.array(tokens, "int64"), np.array([len(tokens)])))
+        lengths = np.zeros(len(parts), "int64")
+        for numbers, _, counts in done:
+            lengths[numbers] = counts
+        ends = np.cumsum(lengths)
+        tokens = np.zeros(lengths.sum(), "int32")
+        for numbers, found, counts in done:
+            tokens[np.repeat(ends[numbers] - np.cumsum(counts), counts) + np.arange(len(found))] = found
         return self._as_bytes(tokens, lengths)
 
+    def _together(self, n: int, parts: pa.Array, chosen: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        points = np.frombuffer("".join(parts.take(pa.array(chosen)).to_pylist()).encode("utf-32-le"), "uint32").reshape(-1, n)
+        with_edges = np.flatnonzero(rows >= 0)
+        codes, counts = _joined(self.codes, self.ends[1:], rows[with_edges])
+        owner = np.repeat(with_edges, counts)
+        # Words with one hash have their edges together: only those that spell the word's own text are its.
+        start, size = np.divmod(codes >> 48, WINDOW)
+        letters = np.arange(self.model.longest)
+        padded = np.concatenate([points, np.zeros((len(points), WINDOW + self.model.longest - n), "uint32")], axis=1)
+        said = padded[owner[:, None], start[:, None] + letters]
+        own = ((said == self.spelled[codes & 0xFFFFFF]) | (letters >= size[:, None])).all(axis=1) & (start + size <= n)
+        tokens, sizes = _merged(n, codes[own], owner[own], points, self.model.longest)
+        return chosen, tokens, sizes
+
     def _as_bytes(self, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         alone = tokens < 0
-        points, which = np.unique(-tokens[alone], return_inverse=True)
+        points, which = np.unique(~tokens[alone], return_inverse=True)
         single = {ord(piece): (i,) for piece, i, _ in self.model.pieces if len(piece) == 1}
         first = self.model.first_byte
         said = [single.get(p) or tuple(first + byte for byte in chr(p).encode()) for p in points.tolist()]
@@ -382,12 +454,12 @@ class _Parts:
 
 def _assembled(model: PieceModel):
     """Documents of a group from the ids of its words, those from the ids of their parts."""
-    pairs = np.array(sorted(ord(p[0]) << 32 | ord(p[1]) for p in _neighbours(model)), "int64")
+    breaks = _breaks(model)
 
     def assemble(docs: pa.Table, coded: pa.Table) -> pa.Table:
         words, sizes = _cut(docs["text"].combine_chunks())
         named = words.dictionary_encode()
-        parts, ends = _split_up(named.dictionary, pairs)
+        parts, ends = _split_up(named.dictionary, breaks)
         each = parts.dictionary_encode()
         flat, part_ends = _Parts(coded, model).ids(each.dictionary)
         flat, counts = _joined(flat, part_ends, each.indices.to_numpy())
@@ -431,7 +503,7 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     each = split.select(F.col("part").alias("home"), "doc_id", F.explode(words_of(F.col("text"))).alias("word"))
     distinct = each.where("word <> ''").groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
     parts = distinct.select("home", F.explode(parts_of(F.col("word"), model)).alias("part_of"))
-    coded = encode_words(parts.where(F.length("part_of") > 1).select("home", F.col("part_of").alias("word")).distinct(), ["home"], model)
+    coded = coded_words(parts.where(F.length("part_of") > 1).select("home", F.col("part_of").alias("word")).distinct(), model)
     schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
     return split.groupBy("part").cogroup(coded.groupBy("home")).applyInArrow(_assembled(model), schema)
 
