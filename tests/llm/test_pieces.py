@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import random
+import re
 from functools import cache
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from docketrank.llm import pieces
@@ -31,7 +35,9 @@ def test_equals_the_library(documents, edge_rows, model):
     texts = {r[0]: r[1] for r in rows}
     ids = {r["doc_id"]: r["ids"] for r in coded.collect()}
     assert ids == {k: sp.encode(t or "") for k, t in texts.items()}
-    assert {r["doc_id"]: r["text"] for r in pieces.decode(coded, model).collect()} == {k: t or "" for k, t in texts.items()}
+    assert {r["doc_id"]: r["text"] for r in pieces.decode(coded, model).collect()} == {
+        k: (t or "").replace(pieces.BLANK, " ") for k, t in texts.items()
+    }
 
 
 def test_runs_without_blanks(documents, model):
@@ -82,3 +88,38 @@ def test_viterbi_for_unigram_models(documents):
         got = sum(score.get(i, unknown) for i in r["ids"])
         assert got == pytest.approx(best("▁" + texts[r["doc_id"]].replace(" ", "▁")))
     assert {r["doc_id"]: r["text"] for r in pieces.decode(coded, model).collect()} == texts
+
+
+def test_words_that_share_a_hash(model):
+    """Edges of two words under one hash: each word gets those that spell its own text."""
+    sp = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    ranks, words = pieces._ranks(model), ["▁the", "thing", "ring", "xing"]
+    table = {piece: ranks[score] << 24 | i for piece, i, score in model.pieces}
+    edges = [
+        (a * pieces.WINDOW + k) << 48 | table[word[a : a + k]]
+        for word in words
+        for a in range(len(word))
+        for k in range(2, len(word) - a + 1)
+        if word[a : a + k] in table
+    ]
+    coded = pa.table({"hash": pa.array([7] * len(edges), "int64"), "edge": edges})
+    group = pieces._Parts(coded, model)
+    group._rows = lambda names: np.zeros(len(names), "int64")
+    flat, ends = group.ids(pa.array(words, pa.large_string()))
+    whole = {"▁the": "the", "thing": "\nthing", "ring": "\nring", "xing": "\nxing"}
+    for word, begin, end in zip(words, [0, *ends[:-1]], ends):
+        said = sp.encode(whole[word])
+        assert flat[begin:end].tolist() == (said if word[0] == pieces.BLANK else said[2:])
+
+
+def test_cuts_agree(documents, model):
+    """The column and the column's twin in Arrow cut alike, and as the pattern says."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices([" ", "\n", "a", "b", "▁", ",", "\x00"], weights=[4, 2, 4, 2, 1, 2, x], k=rng.randrange(25))) for x in (0, 0.3) for _ in range(150)]
+    words, sizes = pieces._cut(pa.array(texts))
+    ends = np.cumsum(sizes).tolist()
+    mine = [words[a:b].to_pylist() for a, b in zip([0, *ends[:-1]], ends)]
+    pattern = [re.findall(pieces.WORD, "▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+    assert mine == pattern
+    rows = documents(list(enumerate(texts))).select("doc_id", F.filter(pieces.words_of(F.col("text")), lambda w: w != "").alias("w"))
+    assert {r["doc_id"]: r["w"] for r in rows.collect()} == dict(enumerate(pattern))
