@@ -25,7 +25,7 @@ MARK = "\x00"
 # Replacements that put the mark where ``WORD`` cuts. Joining blanks twice joins runs of any length.
 CUTS = ((BLANK, " "), (" ", MARK + BLANK), *[(BLANK + MARK + BLANK, BLANK + BLANK)] * 2, ("\n", MARK + "\n" + MARK))
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
-GROUP_CHARS = 8_000_000
+GROUP_CHARS = 4_000_000
 # Longer words have their lattice made in overlapping windows of so many code points.
 WINDOW = 64
 # Words are merged together as long as their tables of edges have no more than so many cells.
@@ -93,10 +93,10 @@ def _breaks(model: PieceModel) -> tuple[str, str]:
     """Letters of the model's pieces, and its other characters that follow none of these in any piece.
 
     So no piece holds one of the first and then one of the second: every path breaks between them.
-    Latin letters only, as the pattern of ``parts_of`` has to name them.
+    Of the first 256 characters only: Java looks these up in a set of bits, others one after another.
     """
-    letters = {c for piece, _, _ in model.pieces for c in piece if c.isalpha() and c < "\u0250"}
-    others = {c for piece, _, _ in model.pieces for c in piece if not c.isalpha()}
+    letters = {c for piece, _, _ in model.pieces for c in piece if c.isalpha() and c < "\u0100"}
+    others = {c for piece, _, _ in model.pieces for c in piece if not c.isalpha() and c < "\u0100"}
     others -= {b for piece, _, _ in model.pieces for a, b in zip(piece, piece[1:]) if a in letters}
     return "".join(sorted(letters)), "".join(sorted(others))
 
