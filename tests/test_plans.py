@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketrank import operators as ops
 from docketrank.plans.catalogue import CATALOGUE
 from docketrank.plans.layers import Layers
+from docketrank.session import apply_settings
 
 
 @pytest.fixture(scope="module")
@@ -159,3 +161,13 @@ def test_bitmaps_roll_up_by_month(spark, landed, plan):
     bitmaps.unpersist()
     numbers = [r["facility_no"] for r in ops.facility_numbers(landed["facilities"], parts=3).collect()]
     assert len(set(numbers)) == len(numbers) == landed["facilities"].count() and min(numbers) > 0
+
+
+def test_parts_of_totals_and_their_merge_share_no_task(spark, landed, plan):
+    apply_settings(spark)
+    late = F.pmod(F.xxhash64("enforcement_eid"), F.lit(2)) == 1
+    parts = (ops.daily_totals(landed["fact"].where(part)) for part in (~late, late))
+    merged = plan(ops.merge_totals(*parts))
+    # Above the union the rows are combined once, then shuffled.
+    above = merged[: re.search(r"^[\s:+*()\d-]*Union", merged, flags=re.MULTILINE).start()]
+    assert exchanges(above) == 1 and above.rindex("Exchange") > above.index("HashAggregate")
