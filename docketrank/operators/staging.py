@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docketrank.functions import floor_date, normalize_key, parse_date, parse_double, trim_text
+from docketrank.functions import floor_date, is_nonblank, normalize_key, parse_date, parse_double, trim_text
 from docketrank.functions.dates import ACTION_DATE_FLOOR
 from docketrank.functions.money import clean_money_text, finite_number
 from docketrank.sources.schemas import ACTION_STAGING, REGISTRY_STAGING, Staged
@@ -43,11 +43,11 @@ def stage(
         changed = {c.name: change[c.kind](F.col(c.name)) for c in columns if c.kind in change}
         return rows.withColumns(changed) if changed else rows
 
-    rows = step(raw.select(*(raw_column(c.raw).alias(c.name) for c in columns)), clean)
+    rows = raw.select(*(raw_column(c.raw).alias(c.name) for c in columns))
     for column in columns:
         if column.kind == "key":
-            rows = rows.where(F.col(column.name) != "")
-    return step(step(rows, read), guard)
+            rows = rows.where(is_nonblank(F.col(column.name)))
+    return step(step(step(rows, clean), read), guard)
 
 
 def stage_registry(raw: DataFrame) -> DataFrame:

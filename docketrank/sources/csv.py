@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
@@ -16,7 +17,8 @@ _RECORD = {"sep": ",", "quote": '"', "escape": '"'}
 _DIALECT = {"header": "true", **_RECORD}
 
 # A quote at the start of a field, looked for where well-formed quoted fields are gone.
-_OPEN_QUOTE = r'(?<![^,])"'
+# The lookbehind comes after the quote, so that it runs at quotes only.
+_OPEN_QUOTE = r'"(?<![^,]")'
 
 
 class MissingExtract(RuntimeError):
@@ -88,20 +90,22 @@ def _raw_records(spark: SparkSession, paths: list[str], schema: T.StructType) ->
 def _unquoted(record: Column) -> Column:
     """A raw record without its well-formed quoted fields."""
     # Doubled quotes go first: what is left of a quoted field has none inside.
-    return F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'(?s)(?<![^,])"[^"]*+"(?![^,])', "")
+    return F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), rf'(?s){_OPEN_QUOTE}[^"]*+"(?![^,])', "")
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
+    lines = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
+    return F.filter(lines, lambda line: F.trim(line) != "")
 
 
-def _is_one_record(record: Column, width: int) -> Column:
+def _is_one_record(record: Column, rest: Column, width: int) -> Column:
     """Whether a text of several lines can be one record: line breaks in well-formed quoted fields only.
 
-    It can't where each of its lines, or the first of one that is too wide, makes a record already.
+    ``rest`` is the text without these. It can't where each of its lines, or the first of one that is
+    too wide, makes a record already.
     """
-    rest, first = _unquoted(record), F.substring_index(record, "\n", 1)
-    sound = ~rest.rlike(r"[\r\n]") & ~rest.rlike(_OPEN_QUOTE)
+    first = F.substring_index(record, "\n", 1)
+    sound = ~F.contains(rest, F.lit("\n")) & ~F.contains(rest, F.lit("\r")) & ~rest.rlike(_OPEN_QUOTE)
     fields = _commas(rest) + 1
     alone = F.forall(_lines(record), lambda line: _commas(line) + 1 >= width)
     return sound & (fields >= width) & ~alone & ((fields == width) | (_commas(first) + 1 < width))
@@ -112,16 +116,21 @@ def _commas(text: Column) -> Column:
 
 
 def _single_records(records: DataFrame, width: int, strict: bool) -> DataFrame:
-    """Records as they are, but where a stray quote took lines for one field, each line as a record.
+    """Column ``records`` with a list of the record as it is, or, where a stray quote took lines for one field,
+    of its lines.
 
     With ``strict`` such a record fails.
     """
     record = F.col("record")
-    swallowed = F.contains(record, F.lit("\n")) & ~_is_one_record(record, width)
+    several = F.contains(record, F.lit("\n"))
+    # A column of its own, so that the pattern runs once per record.
+    records = records.select("record", F.when(several, _unquoted(record)).alias("q_rest"))
+    swallowed = several & ~_is_one_record(record, F.col("q_rest"), width)
     if strict:
         message = F.concat(F.lit("MALFORMED record, a quote opens and does not close: "), F.substring(record, 1, 200))
-        return records.select(F.when(swallowed, F.raise_error(message)).otherwise(record).alias("record"))
-    return records.select(F.explode(F.when(swallowed, _lines(record)).otherwise(F.array(record))).alias("record"))
+        record = F.when(swallowed, F.raise_error(message)).otherwise(record)
+        return records.select(F.array(record).alias("records"))
+    return records.select(F.when(swallowed, _lines(record)).otherwise(F.array(record)).alias("records"))
 
 
 def _field_count(record: Column) -> Column:
@@ -129,34 +138,58 @@ def _field_count(record: Column) -> Column:
     return _commas(_unquoted(record)) + 1
 
 
-def _parsed(records: DataFrame, columns: list[str], tolerant: bool) -> DataFrame:
-    """Columns of text from column ``record``; ``tolerant`` adds the raw text of malformed records."""
-    options = {**_RECORD, "mode": "PERMISSIVE" if tolerant else "FAILFAST", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    return records.select(F.from_csv("record", _ddl(columns, tolerant), options).alias("q_row")).select("q_row.*")
+def _from_csv(record: Column, columns: list[str], mode: str = "PERMISSIVE", **options) -> Column:
+    names = [*columns, *([CORRUPT_COLUMN] if mode == "PERMISSIVE" else [])]
+    ddl = ", ".join(f"`{name}` STRING" for name in names)
+    return F.from_csv(record, ddl, {**_RECORD, "mode": mode, "columnNameOfCorruptRecord": CORRUPT_COLUMN, **options})
 
 
-def _ddl(columns: list[str], tolerant: bool) -> str:
-    return ", ".join(f"`{name}` STRING" for name in (*columns, *([CORRUPT_COLUMN] if tolerant else [])))
+def _plain(raw: Column, columns: list[str]) -> Column:
+    """A malformed record with a quote that doesn't close, parsed with quotes as characters like others."""
+    return F.when(_unquoted(raw).rlike(_OPEN_QUOTE), _from_csv(raw, columns, quote=""))
 
 
-def _flagged(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows`` with ``rejected`` and ``cut``; a quote that doesn't close is a character like others.
+def _parsed(lists: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of text from lists of records, each of which has to be well formed."""
+    each = lists.select(F.explode("records").alias("record"))
+    return each.select(_from_csv(F.col("record"), columns, "FAILFAST").alias("q_row")).select("q_row.*")
 
-    A record with such a quote that has the right width once quotes mean nothing is taken so, and is
-    whole. Of the others those with too few fields are rejected, the rest is kept and says that it was cut.
+
+def _parsed_flagged(lists: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of text from lists of records, with those that ``_flagged`` adds.
+
+    All parsing is inside the generator: a filter on what it gives can't be moved below it, where each of
+    its mentions of a column would parse the record again.
+    """
+    rows = F.transform("records", lambda record: _from_csv(record, columns))
+    both = F.transform(rows, lambda row: F.struct(row.alias("q_row"), _plain(row[CORRUPT_COLUMN], columns).alias("q_plain")))
+    each = lists.select(F.inline(both))
+    return _flagged(each, columns, lambda name: F.col("q_row")[name], F.col("q_plain"))
+
+
+def _read_flagged(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """As ``_parsed_flagged``, of files read by lines."""
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    rows = _read(spark, paths, wide, "PERMISSIVE")
+    held = rows.select("*", _plain(F.col(CORRUPT_COLUMN), schema.names).alias("q_plain"))
+    return _flagged(held, schema.names, lambda name: F.col(f"`{name}`"), F.col("q_plain"))
+
+
+def _flagged(rows: DataFrame, columns: list[str], parsed: Callable[[str], Column], plain: Column) -> DataFrame:
+    """Rows with ``rejected`` and ``cut``; a quote that doesn't close is a character like others.
+
+    A record with such a quote that has the right width once quotes mean nothing (``plain``) is taken so, and
+    is whole. Of the others those with too few fields are rejected, the rest is kept and says that it was cut.
     """
-    options = {**_RECORD, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    raw = F.col(CORRUPT_COLUMN)
-    plain = F.when(_unquoted(raw).rlike(_OPEN_QUOTE), F.from_csv(raw, _ddl(columns, True), options))
-    held = rows.select("*", plain.alias("q_plain"))
+    raw = parsed(CORRUPT_COLUMN)
     # Spark refuses a CSV query that needs the raw record alone, as a row count would; the first
     # condition always holds and makes every such query read one more column.
-    readable = F.length(F.coalesce(held[f"`{columns[0]}`"], F.lit(""))) >= 0
-    fits = F.col("q_plain").isNotNull() & F.col(f"q_plain.{CORRUPT_COLUMN}").isNull()
+    readable = F.length(F.coalesce(parsed(columns[0]), F.lit(""))) >= 0
+    fits = plain.isNotNull() & plain[CORRUPT_COLUMN].isNull()
     malformed = readable & raw.isNotNull() & ~fits
     short = _field_count(raw) < len(columns)
-    return held.select(
-        *(F.when(fits, F.col(f"q_plain.`{name}`")).otherwise(F.col(f"`{name}`")).alias(name) for name in columns),
+    return rows.select(
+        *(F.when(fits, plain[name]).otherwise(parsed(name)).alias(name) for name in columns),
         F.when(malformed, raw).alias(CORRUPT_COLUMN),
         F.coalesce(malformed & short, F.lit(False)).alias("rejected"),
         F.coalesce(malformed & ~short, F.lit(False)).alias("cut"),
@@ -177,7 +210,7 @@ def read_text_csv(
     parts = [_read(spark, by_lines, schema, "FAILFAST")] if by_lines else []
     if whole:
         records = _single_records(_raw_records(spark, whole, schema), len(schema), strict=True)
-        parts.append(_parsed(records, schema.names, tolerant=False))
+        parts.append(_parsed(records, schema.names))
     return reduce(DataFrame.union, parts)
 
 
@@ -197,11 +230,10 @@ def read_text_csv_flagged(
     by_lines, whole = _files(spark, path, multi_line)
     parts = []
     if by_lines:
-        wide = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-        parts.append(_flagged(_read(spark, by_lines, wide, "PERMISSIVE"), schema.names))
+        parts.append(_read_flagged(spark, by_lines, schema))
     if whole:
         records = _single_records(_raw_records(spark, whole, schema), len(schema), strict=False)
-        parts.append(_flagged(_parsed(records, schema.names, tolerant=True), schema.names))
+        parts.append(_parsed_flagged(records, schema.names))
     return reduce(DataFrame.union, parts)
 
 
@@ -226,9 +258,10 @@ def parse_csv_records(records: DataFrame, columns: tuple[str, ...], tolerant: bo
     A malformed record fails; with ``tolerant`` a short one is left out and a long one cut, and lines that
     a stray quote made one record are records again.
     """
-    single = _single_records(records, len(columns), strict=not tolerant)
-    rows = _parsed(single, list(columns), tolerant)
-    return _flagged(rows, list(columns)).where(~F.col("rejected")).select(*(F.col(f"`{c}`") for c in columns)) if tolerant else rows
+    single, names = _single_records(records, len(columns), strict=not tolerant), list(columns)
+    if not tolerant:
+        return _parsed(single, names)
+    return _parsed_flagged(single, names).where(~F.col("rejected")).select(*(F.col(f"`{c}`") for c in names))
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:

@@ -171,3 +171,10 @@ def test_parts_of_totals_and_their_merge_share_no_task(spark, landed, plan):
     # Above the union the rows are combined once, then shuffled.
     above = merged[: re.search(r"^[\s:+*()\d-]*Union", merged, flags=re.MULTILINE).start()]
     assert exchanges(above) == 1 and above.rindex("Exchange") > above.index("HashAggregate")
+
+
+def test_no_filter_parses_a_record_again(spark, tables, plan):
+    for name in ("csv_tolerant_round_trip", "csv_repair_round_trip"):
+        lines = plan(CATALOGUE[name](spark, tables)).splitlines()
+        filters = [line for line in lines if re.match(r"[\s:+*()\d-]*Filter ", line)]
+        assert filters and not any("from_csv" in line for line in filters), name
