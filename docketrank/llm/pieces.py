@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 
 from docketrank.llm.common import let
 
@@ -26,6 +27,13 @@ MARK = "\x00"
 CUTS = ((BLANK, " "), (" ", MARK + BLANK), *[(BLANK + MARK + BLANK, BLANK + BLANK)] * 2, ("\n", MARK + "\n" + MARK))
 # Documents are encoded in groups of about so many characters; a group knows each of its words once.
 GROUP_CHARS = 4_000_000
+# A task knows so many parts of words before it forgets them all; what it knows has its lattice made once.
+KNOWN_PARTS = 600_000
+# Edges are small: they travel in batches of so many rows, texts in batches of so many bytes.
+EDGE_ROWS, BATCH_BYTES = 50_000, 2 << 20
+# What a row is on the way from the cut texts to the ids: a word with its edges, parts of words in
+# the order of their numbers, parts that are numbered from 0 again, a document as numbers of parts.
+EDGES, PARTS, PARTS_ANEW, DOCUMENT = range(4)
 # Longer words have their lattice made in overlapping windows of so many code points.
 WINDOW = 64
 # Words are merged together as long as their tables of edges have no more than so many cells.
@@ -127,24 +135,28 @@ def edges_of(words: DataFrame, model: PieceModel) -> DataFrame:
     """The columns of ``words`` with ``start``, ``size``, ``score`` and ``edge`` (see ``_codes``) of every edge.
 
     Substrings of bounded length of the column ``word`` are exploded and joined to the piece table, a
-    table of the vocabulary's size. Merging starts from single characters, so for BPE models only
-    longer pieces are edges.
+    table of the vocabulary's size: by their hash, which is quick to look up, and then their text.
+    Substrings that are no piece, and words that are NULL or too short, have a row without an edge. Merging
+    starts from single characters, so for BPE models only longer pieces are edges.
     """
     smallest = 2 if model.kind == "bpe" else 1
     ranks = _ranks(model)
     table = words.sparkSession.createDataFrame(
         [(piece, score, ranks[score] << 24 | i) for piece, i, score in model.pieces], "piece string, score double, code long"
-    )
+    ).select("piece", "score", "code", F.xxhash64("piece").alias("key"))
     last = F.length("word") - smallest + 1
-    starts = words.where(last >= 1).select("*", F.explode(F.sequence(F.lit(1), last)).alias("start"))
+    starts = words.select("*", F.explode_outer(F.when(last >= 1, F.sequence(F.lit(1), last))).alias("start"))
     upto = F.least(F.lit(model.longest), F.length("word") - F.col("start") + 1)
-    parts = starts.select("*", F.explode(F.sequence(F.lit(smallest), upto)).alias("size"))
-    named = parts.select("*", F.substring("word", F.col("start"), F.col("size")).alias("piece"))
+    parts = starts.select("*", F.explode_outer(F.when(F.col("start").isNotNull() & (upto >= smallest), F.sequence(F.lit(smallest), upto))).alias("size"))
+    named = parts.select("*", F.substring("word", F.col("start"), F.col("size")).alias("said_there"))
+    named = named.withColumn("key", F.when(F.col("size").isNotNull(), F.xxhash64("said_there")))
+    joined = named.join(F.broadcast(table), "key", "left")
     place = F.shiftleft(((F.col("start") - 1) * WINDOW + F.col("size")).cast("long"), 48)
-    joined = named.join(F.broadcast(table), "piece")
-    return joined.select(*words.columns, "start", "size", "score", place.bitwiseOR(F.col("code")).alias("edge"))
+    edge = F.when(F.col("said_there") == F.col("piece"), place.bitwiseOR(F.col("code")))
+    return joined.select(*words.columns, "start", "size", "score", edge.alias("edge"))
 
 
+@cache
 def _ranks(model: PieceModel) -> dict[float, int]:
     """Scores by their order, the highest first; equal scores are one."""
     return {score: rank for rank, score in enumerate(sorted({score for _, _, score in model.pieces}, reverse=True))}
@@ -190,17 +202,13 @@ def _viterbi_starts(n: Column, edges: Column, worst: float) -> Column:
 
 
 def coded_words(words: DataFrame, model: PieceModel) -> DataFrame:
-    """What the documents of a group (``home``) need of its words' lattices; longer words go as their windows.
+    """What the documents of a group (``home``) need of its words' lattices, for unigram models; longer words go as their windows.
 
-    For BPE models one row per edge with the word's hash: a group's edges are put by word beside its
-    documents, where each is checked against its word. For unigram models edges are gathered by word,
-    with ``starts`` by the fold. Words without an edge have no row.
+    Edges are gathered by word, with ``starts`` by the fold. Words without an edge have no row.
     """
     window = (F.length("word") > WINDOW).alias("window")
     cut = words.select("home", F.explode(windows_of(F.col("word"), model.longest)).alias("part_of"), window)
-    edges = edges_of(cut.withColumnRenamed("part_of", "word"), model)
-    if model.kind == "bpe":
-        return edges.select("home", F.xxhash64("word").alias("hash"), "edge")
+    edges = edges_of(cut.withColumnRenamed("part_of", "word"), model).where("edge IS NOT NULL")
     scored = F.collect_list(F.struct("start", "size", "score")).alias("scored")
     found = edges.groupBy("home", "word").agg(F.collect_set("edge").alias("edges"), scored, F.min("window").alias("window"))
     worst = min(score for _, _, score in model.pieces)
@@ -215,25 +223,38 @@ def _merged(n: int, codes: np.ndarray, owner: np.ndarray, points: np.ndarray, lo
     rank, of equal ones the leftmost. ``codes`` are edges of the words ``owner``; ``points`` has the
     code points, a row a word. A token is an id, or the complement of the code point of a single character.
     """
-    count, none = len(points), 1 << 24
-    table = np.full((count, n, longest + 2), none << 24, "int64")
-    table[owner, *np.divmod(codes >> 48, WINDOW)] = codes & ((1 << 48) - 1)
-    cuts = np.tile(np.arange(n + 1, dtype="int32"), (count, 1))  # where parts begin, then ``n`` for the rest
-    left, places = np.arange(count), np.arange(n + 1)
+    count, none, width = len(points), 1 << 24, longest + 2
+    table = np.full(count * n * width, none << 24, "int64")
+    start, size = np.divmod(codes >> 48, WINDOW)
+    table[(owner * n + start) * width + size] = codes & ((1 << 48) - 1)
+
+    def ranks(row: np.ndarray, begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+        found = table[(row * n + np.minimum(begin, n - 1)) * width + np.minimum(end - begin, longest + 1)] >> 24
+        return np.where(middle < n, found, none)
+
+    # Where parts begin, then ``n`` for the rest, and the ranks of neighbours; both of the words that still change.
+    left, places = np.arange(count), np.arange(n + 2)
+    now = np.minimum(np.tile(places, (count, 1)), n)
+    rank = ranks(left[:, None], now[:, :-3], now[:, 1:-2], now[:, 2:-1])
+    cuts = now[:, :-1].copy()
     while n > 1 and len(left):
-        now = cuts[left]
-        begin, end = now[:, :-2], now[:, 2:]
-        rank = table[left[:, None], np.minimum(begin, n - 1), np.minimum(end - begin, longest + 1)] >> 24
-        rank[now[:, 1:-1] >= n] = none
         best = rank.argmin(axis=1)
         joins = rank[np.arange(len(left)), best] < none
-        left, now, best = left[joins], now[joins], best[joins]
-        later = np.concatenate([now[:, 1:], np.full((len(left), 1), n, "int32")], axis=1)
-        cuts[left] = np.where(places <= best[:, None], now, later)
+        cuts[left[~joins]] = now[~joins, :-1]
+        left, now, rank, best = left[joins], now[joins], rank[joins], best[joins]
+        after = places <= best[:, None]
+        now[:, :-1] = np.where(after[:, :-1], now[:, :-1], now[:, 1:])
+        rank[:, :-1] = np.where(after[:, 1 : n - 1], rank[:, :-1], rank[:, 1:])
+        rank[:, -1] = none
+        row = np.arange(len(left))
+        # Only the joined part's pairs with its neighbours are new.
+        rank[row, best] = np.where(best < n - 1, ranks(left, *(now[row, np.minimum(best + k, n + 1)] for k in range(3))), none)
+        row, inner = row[best > 0], best[best > 0] - 1
+        rank[row, inner] = ranks(left[row], *(now[row, inner + k] for k in range(3)))
     word, at = np.nonzero(cuts[:, :-1] < n)
     begin, size = cuts[word, at], cuts[word, at + 1] - cuts[word, at]
-    tokens = np.where(size == 1, ~points[word, begin].astype("int64"), table[word, begin, np.minimum(size, longest + 1)] & 0xFFFFFF)
-    return tokens, np.bincount(word, minlength=count)
+    joined = table[(word * n + begin) * width + np.minimum(size, longest + 1)] & 0xFFFFFF
+    return np.where(size == 1, ~points[word, begin].astype("int64"), joined), np.bincount(word, minlength=count)
 
 
 def _long_merged(n: int, edges: dict[int, tuple[int, int]]) -> list[int]:
@@ -312,23 +333,39 @@ def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(some), np.bincount(row, minlength=len(texts))
 
 
+def _utf8(words: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of all words one after another, and where each begins, with an end mark; no word may be NULL."""
+    _, offsets, data = words.cast(pa.large_string()).buffers()
+    offsets = np.frombuffer(offsets, "int64")[words.offset : words.offset + len(words) + 1]
+    return (data or pa.py_buffer(b""))[int(offsets[0]) : int(offsets[-1])], offsets - offsets[0]
+
+
 def _split_up(words: pa.Array, breaks: tuple[str, str]) -> tuple[pa.Array, np.ndarray]:
     """The parts of all words one after another, cut as by ``parts_of``, and where each word's end."""
-    text = "".join(words.to_pylist())
-    points = np.frombuffer(text.encode("utf-32-le"), "uint32")
+    data, _ = _utf8(words)
+    points = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), "uint32")
     word_ends = np.cumsum(pc.utf8_length(words).to_numpy())
     before, after = (np.array(list(map(ord, chars)), "uint32") for chars in breaks)
     ends = np.isin(points, before, kind="table")
     ends[:-1] &= np.isin(points[1:], after, kind="table")
     ends[word_ends - 1] = True
     part_ends = np.flatnonzero(ends) + 1
-    data = text.encode()
     begins = np.append(np.flatnonzero((np.frombuffer(data, "uint8") & 0xC0) != 0x80), len(data))
     offsets = begins[np.concatenate([[0], part_ends])].astype("int64")
     parts = pa.LargeStringArray.from_buffers(len(part_ends), pa.py_buffer(offsets), pa.py_buffer(data))
     return parts, np.searchsorted(part_ends, word_ends, "right")
 
 
+@cache
+def _spelled(model: PieceModel) -> tuple[dict[int, str], np.ndarray]:
+    """The pieces by id, as texts and as rows of code points."""
+    piece = {i: piece for piece, i, _ in model.pieces}
+    points = np.zeros((1 + max(piece), model.longest), "uint32")
+    for i, text in piece.items():
+        points[i, : len(text)] = list(map(ord, text))
+    return piece, points
+
+
 class _Parts:
     """The ids of a group's parts of words, by the edges that the joins found.
 
@@ -352,21 +389,20 @@ class _Parts:
         self.codes = codes[order]
         self.hashes, first = np.unique(hashes[order], return_index=True)
         self.ends = np.append(first, len(codes))
-        self.piece = {i: piece for piece, i, _ in model.pieces}
-        self.spelled = np.zeros((1 + max(self.piece), model.longest), "uint32")
-        for i, piece in self.piece.items():
-            self.spelled[i, : len(piece)] = list(map(ord, piece))
+        self.piece, self.spelled = _spelled(model)
 
-    def _rows(self, words: list[str]) -> np.ndarray:
+    def _rows(self, words: pa.Array) -> np.ndarray:
         """Where the edges of words are; -1 for words without any."""
-        wanted = np.array([xxhash.xxh64_intdigest(word.encode(), HASH_SEED) for word in words], "uint64").view("int64")
+        data, offsets = _utf8(words)
+        said, places = data.to_pybytes(), offsets.tolist()
+        wanted = np.array([xxhash.xxh64_intdigest(said[a:b], HASH_SEED) for a, b in zip(places, places[1:])], "uint64").view("int64")
         if not len(self.hashes):
             return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
         return np.where(self.hashes[at] == wanted, at, -1)
 
     def _edges(self, word: str, at: int = 0) -> dict[int, tuple[int, int]]:
-        row = int(self._rows([word])[0])
+        row = int(self._rows(pa.array([word], pa.large_string()))[0])
         codes = [] if row < 0 else self.codes[self.ends[row] : self.ends[row + 1]].tolist()
         own = []
         for code in codes:
@@ -397,7 +433,7 @@ class _Parts:
 
     def ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some parts one after another, and where each part's end."""
-        rows = self._rows(parts.to_pylist())
+        rows = self._rows(parts)
         sizes = pc.utf8_length(parts).to_numpy()
         together = (sizes <= WINDOW) & (self.model.kind == "bpe")
         done = []  # numbers of parts, their tokens, how many each has
@@ -419,16 +455,21 @@ class _Parts:
         return self._as_bytes(tokens, lengths)
 
     def _together(self, n: int, parts: pa.Array, chosen: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
-        points = np.frombuffer("".join(parts.take(pa.array(chosen)).to_pylist()).encode("utf-32-le"), "uint32").reshape(-1, n)
+        data, _ = _utf8(parts.take(pa.array(chosen)))
+        points = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), "uint32").reshape(-1, n)
         with_edges = np.flatnonzero(rows >= 0)
         codes, counts = _joined(self.codes, self.ends[1:], rows[with_edges])
         owner = np.repeat(with_edges, counts)
         # Words with one hash have their edges together: only those that spell the word's own text are its.
         start, size = np.divmod(codes >> 48, WINDOW)
-        letters = np.arange(self.model.longest)
-        padded = np.concatenate([points, np.zeros((len(points), WINDOW + self.model.longest - n), "uint32")], axis=1)
-        said = padded[owner[:, None], start[:, None] + letters]
-        own = ((said == self.spelled[codes & 0xFFFFFF]) | (letters >= size[:, None])).all(axis=1) & (start + size <= n)
+        own = start + size <= n
+        some, text, spelled = np.flatnonzero(own), points.ravel(), self.spelled.ravel()
+        at, letter = owner * n + start, (codes & 0xFFFFFF) * self.model.longest
+        for k in range(self.model.longest):
+            some = some[size[some] > k]
+            some = some[text[at[some] + k] == spelled[letter[some] + k]]
+            own &= size != k + 1
+            own[some[size[some] == k + 1]] = True
         tokens, sizes = _merged(n, codes[own], owner[own], points, self.model.longest)
         return chosen, tokens, sizes
 
@@ -472,27 +513,154 @@ def _assembled(model: PieceModel):
     return assemble
 
 
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a batch, up to about so many bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype("int64")
+    begins = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=-1)).tolist()
+    for begin, end in zip(begins, [*begins[1:], len(batch)]):
+        yield batch.slice(begin, end - begin)
+
+
+def _packed(parts: pa.Array) -> bytes:
+    batch = pa.record_batch([parts], ["part"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _lattices(parts: pa.Array, longest: int) -> pa.Array:
+    """The words whose edges the ids of some parts need: the parts, and the windows of longer ones."""
+    sizes = pc.utf8_length(parts).to_numpy()
+    short = parts.filter(pa.array((sizes > 1) & (sizes <= WINDOW)))
+    stride = WINDOW - longest + 1
+    windows = {part[at : at + WINDOW] for part in parts.filter(pa.array(sizes > WINDOW)).to_pylist() for at in range(0, len(part), stride)}
+    return pa.concat_arrays([short, pa.array(sorted(windows), short.type)])
+
+
+def _numbered(model: PieceModel, most: int, most_known: int):
+    """Texts cut into parts of words, numbered by task in the order they first come (see ``encode``)."""
+    breaks = _breaks(model)
+
+    def rows(kind: int, place: np.ndarray, **columns: pa.Array) -> pa.RecordBatch:
+        columns = {"kind": pa.array(np.full(len(place), kind, "int8")), "place": pa.array(place, "int64")} | columns
+        return pa.record_batch(columns)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place = pa.array([], pa.large_string()), 0
+        for docs in (part for batch in batches for part in _slices(batch, most)):
+            words, sizes = _cut(docs["text"])
+            named = words.dictionary_encode()
+            parts, ends = _split_up(named.dictionary, breaks)
+            each = parts.dictionary_encode()
+            anew = not place or len(known) > most_known
+            known = known[:0] if anew else known
+            found = pc.index_in(each.dictionary, value_set=known)
+            new = each.dictionary.filter(found.is_null())
+            mine = found.fill_null(-1).to_numpy(zero_copy_only=False).astype("int32")
+            mine[mine < 0] = len(known) + np.arange(len(new))
+            known = pa.concat_arrays([known, new])
+
+            lattices, id_type = _lattices(new, model.longest).cast(pa.string()), docs["doc_id"].type
+            nothing = {"doc_id": pa.nulls(len(lattices), id_type), "word": lattices, "said": pa.nulls(len(lattices), pa.binary())}
+            yield rows(EDGES, place + np.arange(len(lattices)), **nothing)
+            place += len(lattices)
+            packed = {"doc_id": pa.nulls(1, id_type), "word": pa.nulls(1, pa.string()), "said": pa.array([_packed(new)], pa.binary())}
+            yield rows(PARTS_ANEW if anew else PARTS, np.array([place]), **packed)
+            flat, counts = _joined(mine[each.indices.to_numpy()], ends, named.indices.to_numpy())
+            doc_ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+            buffers = [None, pa.py_buffer((4 * doc_ends).astype("int32")), pa.py_buffer(flat.astype("<i4"))]
+            numbers = pa.Array.from_buffers(pa.binary(), len(docs), buffers)
+            yield rows(DOCUMENT, place + 1 + np.arange(len(docs)), doc_id=docs["doc_id"], word=pa.nulls(len(docs), pa.string()), said=numbers)
+            place += 1 + len(docs)
+
+    return number
+
+
+def _numbers(said: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The whole numbers that some binaries hold, one after another, and how many each has."""
+    _, offsets, data = said.buffers()
+    offsets = np.frombuffer(offsets, "int32")[said.offset : said.offset + len(said) + 1]
+    return np.frombuffer(data[int(offsets[0]) : int(offsets[-1])], "<i4") if data else np.zeros(0, "int32"), np.diff(offsets) // 4
+
+
+def _spoken(model: PieceModel):
+    """The way back from ``_numbered``: ids of new parts from their edges, then documents from the ids of their parts."""
+
+    def speak(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges, flat, ends, place = [], np.zeros(0, "int32"), np.zeros(0, "int64"), -1
+        for batch in batches:
+            places, kinds = batch["place"].to_numpy(), batch["kind"].to_numpy()
+            if (np.diff(places, prepend=place) < (kinds != EDGES)).any():
+                raise RuntimeError("rows of a task have to keep their order on the way through the join")
+            place = places[-1] if len(batch) else place
+            begins = np.flatnonzero(np.diff(kinds, prepend=-1)).tolist()
+            for begin, end in zip(begins, [*begins[1:], len(batch)]):
+                kind, run = kinds[begin], batch.slice(begin, end - begin)
+                if kind == EDGES:
+                    edges.append((run["hash"], run["edge"]))
+                elif kind == DOCUMENT:
+                    numbers, sizes = _numbers(run["said"])
+                    ids, counts = _joined(flat, ends, numbers)
+                    doc_ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+                    lists = pa.ListArray.from_arrays(pa.array(doc_ends, "int32"), pa.array(ids, "int32"))
+                    yield pa.record_batch([run["doc_id"], lists], ["doc_id", "ids"])
+                else:
+                    for packed in run["said"]:
+                        parts = pa.ipc.open_stream(packed.as_buffer()).read_all()["part"].combine_chunks()
+                        if kind == PARTS_ANEW:
+                            flat, ends = np.zeros(0, "int32"), np.zeros(0, "int64")
+                        coded = pa.table({name: pa.chunked_array([run[i] for run in edges], "int64") for i, name in enumerate(("hash", "edge"))})
+                        if len(parts):
+                            new, new_ends = _Parts(coded, model).ids(parts)
+                            flat, ends = np.concatenate([flat, new]), np.concatenate([ends, len(flat) + new_ends])
+                        edges = []
+
+    return speak
+
+
 def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` of every row, as the SentencePiece library gives them.
 
     NULL and empty texts have no ids; characters without a piece become their bytes. Rows that
     repeat an id, or have none, are encoded by themselves. Other columns are ignored; an empty
     table gives an empty result. A run without blanks may have any length: its lattice is made in
-    windows. Unigram models are folded by Viterbi over the edges with ``aggregate``; merges are
-    replayed over the edges beside the documents, and so are runs longer than a window, as a fold
-    over arrays would cost the square of their length.
+    windows. For BPE models merges are replayed over the edges beside the documents; unigram models
+    are folded by Viterbi (``_encode_unigram``).
+
+    Nothing is shuffled, sorted or gathered for it: a task cuts its texts, in slices of about ``GROUP_CHARS``, into parts
+    of words, and numbers each different part as it first comes. Rows then go in their order through the explosion into
+    substrings and the join with the piece table, which is broadcast: a slice's new parts, then its documents as
+    numbers. Behind the join the edges give the parts' ids, and these the documents'. What a task keeps are its
+    parts and their ids, ``KNOWN_PARTS`` and those of a slice at most. The order is checked on the way.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if model.kind != "bpe":
+        return _encode_unigram(rows, model)
+    for key, most in (("maxRecordsPerBatch", EDGE_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        docs.sparkSession.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+    id_field = StructField("doc_id", rows.schema["doc_id"].dataType)
+    types = [StructField("word", StringType()), StructField("said", BinaryType())]
+    numbered = StructType([StructField("kind", ByteType()), StructField("place", LongType()), id_field, *types])
+    edges = edges_of(rows.mapInArrow(_numbered(model, GROUP_CHARS, KNOWN_PARTS), numbered), model)
+    needed = edges.where("edge IS NOT NULL OR said IS NOT NULL")
+    coded = needed.select("kind", "place", "doc_id", "said", F.xxhash64("word").alias("hash"), "edge")
+    return coded.mapInArrow(_spoken(model), StructType([id_field, StructField("ids", ArrayType(IntegerType()))]))
+
+
+def _encode_unigram(rows: DataFrame, model: PieceModel) -> DataFrame:
+    """``encode`` for unigram models, whose fold is a Spark aggregate over the edges of a word.
 
     Rows are dealt once, evenly, into groups of about ``GROUP_CHARS`` characters. All that follows
     keeps to a group: its distinct words, their lattice, the way back to the documents. So the
     texts move once and words never do, and no group depends on how often a word or id occurs.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     # A group's words and edges are gathered in hash tables, which its size bounds; by default such
     # an aggregate begins to sort, and spill, all its rows after 128 keys.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
-    total = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_CHARS))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # The group follows from the row's values and its task, so it is the same whenever a row is computed
     # again, and equal rows of different tasks part.
     code = F.xxhash64("doc_id", "text", F.spark_partition_id())
@@ -504,7 +672,7 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     distinct = each.where("word <> ''").groupBy("home", "word").agg(F.count("doc_id").alias("n")).where("n >= 0").select("home", "word")
     parts = distinct.select("home", F.explode(parts_of(F.col("word"), model)).alias("part_of"))
     coded = coded_words(parts.where(F.length("part_of") > 1).select("home", F.col("part_of").alias("word")).distinct(), model)
-    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
+    schema = StructType([rows.schema["doc_id"], StructField("ids", ArrayType(IntegerType()))])
     return split.groupBy("part").cogroup(coded.groupBy("home")).applyInArrow(_assembled(model), schema)
 
 

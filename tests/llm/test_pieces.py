@@ -123,3 +123,36 @@ def test_cuts_agree(documents, model):
     assert mine == pattern
     rows = documents(list(enumerate(texts))).select("doc_id", F.filter(pieces.words_of(F.col("text")), lambda w: w != "").alias("w"))
     assert {r["doc_id"]: r["w"] for r in rows.collect()} == dict(enumerate(pattern))
+
+
+def test_nothing_is_shuffled_sorted_or_gathered(documents, model):
+    """What a task holds follows from its slices: no sort or hash table has the edges of many groups."""
+    plan = pieces.encode(documents([(1, "the thing")]), model)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Sort|Aggregate|CoGroup|hashpartitioning|rangepartitioning", plan)
+    assert plan.count("MapInArrow") == 2 and "BroadcastHashJoin" in plan
+
+
+def test_parts_known_and_forgotten(documents, model, monkeypatch):
+    """Slices of a few rows in one task: later ones use the parts of earlier ones, windows too, until all are forgotten."""
+    sp = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(8)
+    words = ["the", "thing", "ring", "x" * 70 + "the", "é", "日本", "12", "mississippi", "\n", "a\x00b"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(9)))) for i in range(80)]
+    for known in (0, 5, 1000):
+        monkeypatch.setattr(pieces, "GROUP_CHARS", 90)
+        monkeypatch.setattr(pieces, "KNOWN_PARTS", known)
+        coded = pieces.encode(documents(rows).coalesce(1), model).collect()
+        assert {r["doc_id"]: r["ids"] for r in coded} == {i: sp.encode(text) for i, text in rows}
+
+
+def test_rows_out_of_order_fail(model):
+    """Ids would be wrong if the join gave rows in another order, or twice."""
+    number = pieces._numbered(model, 1000, 1000)
+    made = [b for b in number(iter([pa.record_batch({"doc_id": [1, 2], "text": ["1", "2"]})])) if len(b)]
+    none = {"hash": pa.nulls(2, "int64"), "edge": pa.nulls(2, "int64")}
+    rows = [b.drop_columns(["word"]) for b in made if b["kind"][0].as_py() != pieces.EDGES]
+    rows = [pa.record_batch({c: b[c] for c in b.schema.names} | {k: v[: len(b)] for k, v in none.items()}) for b in rows]
+    assert sum(len(b) for b in pieces._spoken(model)(iter(rows))) == 2
+    for wrong in ([*rows, rows[0]], [*rows, rows[-1]], [rows[0], *rows]):
+        with pytest.raises(RuntimeError, match="order"):
+            list(pieces._spoken(model)(iter(wrong)))
