@@ -30,14 +30,14 @@ GROUP_CHARS = 4_000_000
 # A task knows so many parts of words before it forgets them all; what it knows has its lattice made once.
 KNOWN_PARTS = 600_000
 # Edges are small: they travel in batches of so many rows, texts in batches of so many bytes.
-EDGE_ROWS, BATCH_BYTES = 50_000, 2 << 20
+EDGE_ROWS, BATCH_BYTES = 50_000, 1 << 20
 # What a row is on the way from the cut texts to the ids: a word with its edges, parts of words in
 # the order of their numbers, parts that are numbered from 0 again, a document as numbers of parts.
 EDGES, PARTS, PARTS_ANEW, DOCUMENT = range(4)
 # Longer words have their lattice made in overlapping windows of so many code points.
 WINDOW = 64
 # Words are merged together as long as their tables of edges have no more than so many cells.
-TABLE_CELLS = 2_000_000
+TABLE_CELLS = 1_000_000
 # Fixed value: the seed of Spark's xxhash64.
 HASH_SEED = 42
 # Score of a character without a piece, below the least score of the table.
