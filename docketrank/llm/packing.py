@@ -245,7 +245,8 @@ def _laid_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for shard, pieces, places in batch.itertuples(index=False):
             out = pd.DataFrame.from_records([dict(p.asDict() if hasattr(p, "asDict") else p) for p in pieces])
-            at = np.asarray(places)
+            # Bins come as 32-bit numbers; ids of sequences need 64 from the 64th shard on.
+            at = np.asarray(places, dtype="int64")
             out["sequence_id"] = 2 * ((int(shard) << 24) + at)
             out["offset"] = out.groupby(at)["length"].cumsum() - out["length"]
             out["doc_id"] = out["doc_id"].astype("Int64")

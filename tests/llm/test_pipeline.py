@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docketrank.llm import pii, simhash
+from docketrank.llm import packing, pii, simhash
 from tests.llm.test_packing import checked
 from tests.llm.test_quality import measures
 
@@ -82,3 +82,12 @@ def test_edge_tables(spark, tables, documents, edge_rows):
         out.count()
         if out.columns[:2] == ["doc_id", "text"]:
             assert out.columns == docs.columns
+
+
+def test_packing_stage_of_many_shards(spark, tables, documents, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 1)
+    texts = {i: ["word " * (i % 40)] for i in range(300)}
+    rows = corpus_pipeline.best_fit_packing(spark, documents([(i, t) for i, (t,) in texts.items()]), tables).collect()
+    checked(rows, texts)
+    shards = {r["sequence_id"] >> 25 for r in rows}
+    assert min(shards) >= 0 and 128 <= max(shards) < 300
