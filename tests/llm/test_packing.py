@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 from tokenizers import Tokenizer
 
 from docketrank.llm import packing
@@ -89,3 +90,12 @@ def test_many_shards(documents, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 7)
     rows = [(i, "word " * (i * 7 % 900)) for i in range(60)]
     checked(packing.pack(documents(rows), packing.public_vocabulary()).collect(), {i: [t] for i, t in rows})
+
+
+def test_ids_of_far_shards():
+    pieces = [{"doc_id": i, "piece": 0, "start": 0, "length": 300 + i, "ids_crc32": i} for i in range(3)]
+    for shard in (0, 63, 64, 127, 128, 10**6):
+        batch = pd.DataFrame({"shard": [shard], "pieces": [pieces], "places": [np.array([1, 0, 1], "int32")]})
+        (out,) = packing._laid_out(iter([batch]))
+        assert out["sequence_id"].tolist() == [2 * (shard * 2**24 + at) for at in (1, 0, 1)]
+        assert out["offset"].tolist() == [0, 0, 300]
