@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -240,17 +241,17 @@ def _round(capacity: int, epoch: int):
     return run
 
 
-def _laid_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per piece: its bin and, in order of the pieces, its place there."""
     for batch in batches:
-        for shard, pieces, places in batch.itertuples(index=False):
-            out = pd.DataFrame.from_records([dict(p.asDict() if hasattr(p, "asDict") else p) for p in pieces])
+        for shard, pieces, places in zip(batch["shard"], batch["pieces"], batch["places"], strict=True):
             # Bins come as 32-bit numbers; ids of sequences need 64 from the 64th shard on.
-            at = np.asarray(places, dtype="int64")
-            out["sequence_id"] = 2 * ((int(shard) << 24) + at)
-            out["offset"] = out.groupby(at)["length"].cumsum() - out["length"]
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+            at = places.values.to_numpy().astype("int64")
+            columns = {name: pieces.values.field(name) for name in ("doc_id", "piece", "start", "length", "ids_crc32")}
+            lengths = pd.Series(columns["length"].to_numpy())
+            columns["sequence_id"] = pa.array(2 * ((shard.as_py() << 24) + at))
+            columns["offset"] = pa.array((lengths.groupby(at).cumsum() - lengths).to_numpy())
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 def pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> DataFrame:
@@ -293,7 +294,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> D
         )
     best = elites.groupBy("shard").agg(F.min(F.struct("n_bins", "cost", "island", "places")).alias("best"))
     chosen = shards.join(best, "shard").select("shard", "pieces", F.col("best.places").alias("places"))
-    packed = chosen.mapInPandas(_laid_out, PIECES + ", sequence_id long, offset long")
+    packed = chosen.mapInArrow(_laid_out, PIECES + ", sequence_id long, offset long")
     full = pieces.where(F.col("length") == capacity).select(
         *(F.col(name) for name in ("doc_id", "piece", "start", "length", "ids_crc32")),
         (2 * F.col("uid") + 1).alias("sequence_id"),

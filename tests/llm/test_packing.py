@@ -5,7 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from docketrank.llm import packing
@@ -93,9 +93,10 @@ def test_many_shards(documents, monkeypatch):
 
 
 def test_ids_of_far_shards():
-    pieces = [{"doc_id": i, "piece": 0, "start": 0, "length": 300 + i, "ids_crc32": i} for i in range(3)]
+    pieces = [{"doc_id": i or None, "piece": 0, "start": 0, "length": 300 + i, "ids_crc32": i} for i in range(3)]
     for shard in (0, 63, 64, 127, 128, 10**6):
-        batch = pd.DataFrame({"shard": [shard], "pieces": [pieces], "places": [np.array([1, 0, 1], "int32")]})
-        (out,) = packing._laid_out(iter([batch]))
-        assert out["sequence_id"].tolist() == [2 * (shard * 2**24 + at) for at in (1, 0, 1)]
-        assert out["offset"].tolist() == [0, 0, 300]
+        places = pa.array([[1, 0, 1]], pa.list_(pa.int32()))
+        (out,) = packing._laid_out(iter([pa.RecordBatch.from_pydict({"shard": [shard], "pieces": [pieces], "places": places})]))
+        assert out["sequence_id"].to_pylist() == [2 * (shard * 2**24 + at) for at in (1, 0, 1)]
+        assert out["offset"].to_pylist() == [0, 0, 300]
+        assert out["doc_id"].to_pylist() == [None, 1, 2]
